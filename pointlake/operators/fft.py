@@ -2,134 +2,126 @@
 
 Points are dealt to L partitions by ``part_id = pmod(point_id, L)`` (deterministic,
 balanced by construction). Instead of loading a partition into one task, the
-traversal runs as ``n_centers`` distributed passes over a persisted state table
-``(part_id, point_id, point, weight, mind, near, chosen)``:
-
-* ``mind``/``near``: distance to, and step of, the nearest center chosen so far
-  in the point's partition (strict ``<``, so the earliest step wins ties);
-* ``chosen``: the step at which the point itself became a center.
-
-Each pass picks, per partition, the point with the largest ``mind`` (lowest
-point_id on ties) with a partial + final aggregate that emits one row per
-partition, ships those ≤ L centers to every task (broadcast, size-checked) and
-updates the state with one distance per point — the incremental O(n·k) work of
-the sequential traversal, spread over the cluster. A partition whose points are
-all at distance 0 from its centers stops (no duplicate centers). The last pass
-also fixes every point's nearest center, which gives the coreset weights.
-
-Lineage is cut into the shared checkpoint folder every ``checkpoint_every``
-passes; in between, the previous state stays persisted.
+traversal runs as ``n_centers`` distributed passes over the (persisted) points:
+
+* the centers chosen so far — at most L·n_centers points, a bound fixed by the
+  parameters and checked — travel with the tasks as one constant
+  ``map<part_id, array<struct<step, point_id, point>>>``;
+* a pass computes, for every point, its distance to the nearest center of its
+  partition (a JVM higher-order-function scan of ``cs``) and picks per
+  partition the point with the largest such distance (lowest point_id on
+  ties) with a partial + final aggregate that emits one row per partition.
+
+Nothing is written per step and the plan of every pass has the same size (no
+lineage growth); a lost executor only re-reads its own input split. A
+partition whose points are all at distance 0 from its centers stops (no
+duplicate centers). A last pass assigns every point to its nearest center
+(earliest step on ties), which gives the coreset weights.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.distance import euclidean
 from ..plans.limits import check_broadcast_bound, point_bytes
-from ..plans.session import cut_lineage
-
-
-def _absorb(state: DataFrame, centers: DataFrame, step: int) -> DataFrame:
-    """Fold the new per-partition centers of ``step`` into the state."""
-    j = state.join(F.broadcast(centers), "part_id", "left")
-    has = F.col("c").isNotNull()
-    d = euclidean("point", F.col("c.point"))
-    closer = has & (d < F.col("mind"))
-    return j.select(
-        "part_id", "point_id", "point", "weight",
-        F.when(closer, d).otherwise(F.col("mind")).alias("mind"),
-        F.when(closer, F.lit(step)).otherwise(F.col("near")).alias("near"),
-        F.when(has & (F.col("point_id") == F.col("c.point_id")), F.lit(step))
-         .otherwise(F.col("chosen")).alias("chosen"),
-    )
-
-
-def _centers_schema(state: DataFrame) -> T.StructType:
-    point_t = state.schema["point"].dataType
-    return T.StructType([
-        T.StructField("part_id", T.IntegerType()),
-        T.StructField("c", T.StructType([T.StructField("point_id", T.LongType()),
-                                         T.StructField("point", point_t)])),
-    ])
-
-
-def fft_state(points: DataFrame, n_centers: int, parts: int,
-              checkpoint_every: int = 3, dim_hint: int = 64) -> DataFrame:
-    """Run the traversal; returns the final (persisted) state table.
-
-    One Spark job per step: the aggregate that picks the next centers also
-    materialises the persisted state of the previous step. The ≤ L picked
-    centers (bounded by ``parts``, checked) come back as a local relation and
-    are broadcast into the next update.
-    """
-    if n_centers < 1:
-        raise ValueError("number of centers must be >= 1")
-    if parts < 1:
-        raise ValueError("number of partitions must be >= 1")
-    check_broadcast_bound(parts, point_bytes(dim_hint), "per-step partition centers")
-    spark = points.sparkSession
+from ..plans.session import cut_lineage, scoped_conf, small_step_conf
+
+
+def _prepare(points: DataFrame, parts: int) -> DataFrame:
     w = F.col("weight") if "weight" in points.columns else F.lit(1)
-    state = points.select(
+    return points.select(
         F.pmod(F.col("point_id"), F.lit(parts)).cast("int").alias("part_id"),
         F.col("point_id").cast("bigint").alias("point_id"),
         F.col("point"),
-        w.cast("bigint").alias("weight"),
-        F.lit(float("inf")).alias("mind"),
-        F.lit(None).cast("int").alias("near"),
-        F.lit(None).cast("int").alias("chosen"),
-    )
-    schema = _centers_schema(state)
-    pick = state.groupBy("part_id").agg(F.min(F.struct("point_id", "point")).alias("c"))
-    persisted = []
-    for step in range(n_centers):
-        rows = pick.collect()  # ≤ parts rows; also materialises the cached state
-        if not rows:
+        w.cast("bigint").alias("weight"))
+
+
+_CENTER_T = "array<struct<step:int,point_id:bigint,point:array<double>>>"
+
+
+def _centers_value(chosen: dict[int, list]):
+    """The chosen centers as one constant ``map<part_id, array<struct<step,
+    point_id, point>>>`` (a JSON literal that the optimizer folds once); its
+    size is bounded by L·n_centers points and checked by the caller."""
+    payload = json.dumps({str(pid): [{"step": s, "point_id": i, "point": p} for (s, i, p) in cs]
+                          for pid, cs in chosen.items()})
+    return F.from_json(F.lit(payload), f"map<string,{_CENTER_T}>")
+
+
+def _with_nearest(pts: DataFrame, centers) -> DataFrame:
+    """Adds ``near = struct(dist, step)``: nearest chosen center of the point's
+    partition, earliest step on ties."""
+    cs = F.element_at(centers, F.col("part_id").cast("string"))
+    near = F.array_min(F.transform(
+        cs, lambda c: F.struct(euclidean(F.col("point"), c["point"]).alias("dist"),
+                               c["step"].alias("step"))))
+    return pts.withColumn("near", near)
+
+
+def traverse(points: DataFrame, n_centers: int, parts: int,
+             dim_hint: int = 64) -> tuple[DataFrame, dict[int, list]]:
+    """Run the traversal. Returns (persisted prepared points, chosen centers as
+    ``{part_id: [(step, point_id, point), ...]}``). Caller unpersists."""
+    if n_centers < 1:
+        raise ValueError("number of centers must be >= 1")
+    if parts < 1:
+        raise ValueError("number of partitions must be >= 1")
+    check_broadcast_bound(parts * n_centers, point_bytes(dim_hint), "traversal centers")
+    pts = _prepare(points, parts).persist(StorageLevel.MEMORY_AND_DISK)
+    with scoped_conf(points.sparkSession, small_step_conf(parts)):
+        chosen = _traverse_steps(pts, n_centers)
+    return pts, chosen
+
+
+def _traverse_steps(pts: DataFrame, n_centers: int) -> dict[int, list]:
+    first = (pts.groupBy("part_id")
+             .agg(F.min(F.struct("point_id", "point")).alias("c")).collect())
+    chosen = {r["part_id"]: [(0, r["c"]["point_id"], list(r["c"]["point"]))] for r in first}
+    for step in range(1, n_centers):
+        picks = (_with_nearest(pts, _centers_value(chosen))
+                 .filter(F.col("near.dist") > 0)
+                 .groupBy("part_id")
+                 .agg(F.max_by(F.struct("point_id", "point"),
+                               F.struct(F.col("near.dist"), -F.col("point_id"))).alias("c"))
+                 .collect())  # ≤ parts rows
+        if not picks:
             break
-        centers = spark.createDataFrame(rows, schema)
-        state = _absorb(state, centers, step).persist(StorageLevel.MEMORY_AND_DISK)
-        persisted.append(state)
-        if (step + 1) % checkpoint_every == 0:
-            reliable = cut_lineage(state).persist(StorageLevel.MEMORY_AND_DISK)
-            for old in persisted:
-                old.unpersist()
-            persisted = [reliable]
-            state = reliable
-        elif len(persisted) > 2:
-            persisted.pop(0).unpersist()
-        pick = (state.filter(F.col("mind") > 0).groupBy("part_id")
-                .agg(F.max_by(F.struct("point_id", "point"),
-                              F.struct(F.col("mind"), -F.col("point_id"))).alias("c")))
-    state.count()
-    for old in persisted[:-1]:
-        old.unpersist()
-    return state
+        for r in picks:
+            chosen[r["part_id"]].append((step, r["c"]["point_id"], list(r["c"]["point"])))
+    return chosen
 
 
 def fft_coreset(points: DataFrame, n_centers: int, parts: int,
-                checkpoint_every: int = 3, dim_hint: int = 64) -> DataFrame:
+                dim_hint: int = 64) -> DataFrame:
     """Weighted coreset ``(part_id, step, point_id, point, weight)``: per partition
     up to ``n_centers`` traversal centers, each weighted by the (weight of the)
     partition points whose nearest center it is (earliest step on ties)."""
-    state = fft_state(points, n_centers, parts, checkpoint_every, dim_hint)
-    weights = (state.groupBy("part_id", F.col("near").alias("step"))
+    pts, chosen = traverse(points, n_centers, parts, dim_hint)
+    weights = (_with_nearest(pts, _centers_value(chosen))
+               .groupBy("part_id", F.col("near.step").alias("step"))
                .agg(F.sum("weight").cast("bigint").alias("weight")))
-    centers = state.filter(F.col("chosen").isNotNull()).select(
-        "part_id", F.col("chosen").alias("step"), "point_id", "point")
-    coreset = cut_lineage(centers.join(weights, ["part_id", "step"], "left")
-                          .select("part_id", "step", "point_id", "point",
-                                  F.coalesce("weight", F.lit(0).cast("bigint")).alias("weight")))
-    state.unpersist()
+    flat = _centers_frame(points.sparkSession, chosen)
+    coreset = cut_lineage(flat.join(weights, ["part_id", "step"], "left").select(
+        "part_id", "step", "point_id", "point",
+        F.coalesce("weight", F.lit(0).cast("bigint")).alias("weight")))
+    pts.unpersist()
     return coreset
 
 
-def fft_centers(points: DataFrame, n_centers: int, parts: int = 1, **kw) -> DataFrame:
+def fft_centers(points: DataFrame, n_centers: int, parts: int = 1,
+                dim_hint: int = 64) -> DataFrame:
     """Traversal centers only: ``(part_id, step, point_id, point)``."""
-    state = fft_state(points, n_centers, parts, **kw)
-    out = cut_lineage(state.filter(F.col("chosen").isNotNull()).select(
-        "part_id", F.col("chosen").alias("step"), "point_id", "point"))
-    state.unpersist()
-    return out
+    pts, chosen = traverse(points, n_centers, parts, dim_hint)
+    pts.unpersist()
+    return _centers_frame(points.sparkSession, chosen)
+
+
+def _centers_frame(spark, chosen: dict[int, list]) -> DataFrame:
+    rows = [(pid, s, i, p) for pid, cs in sorted(chosen.items()) for (s, i, p) in cs]
+    return spark.createDataFrame(
+        rows, "part_id int, step int, point_id bigint, point array<double>")

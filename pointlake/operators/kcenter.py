@@ -24,17 +24,17 @@ input is linear (traversal passes, weights, objective).
 
 from __future__ import annotations
 
+import json
 import math
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.distance import euclidean
 from ..plans.limits import check_broadcast_bound, point_bytes
-from ..plans.session import cut_lineage
+from ..plans.session import cut_lineage, scoped_conf, small_step_conf
 from .fft import fft_coreset
 from .geometry import kcenter_objective
 
@@ -88,9 +88,39 @@ def _positive_min_all(P: DataFrame) -> float | None:
     return m
 
 
+def ball_weights(P: DataFrame, uncovered: DataFrame, radius: float,
+                 max_points: int = MAX_SOLVER_POINTS, dim_hint: int = 64) -> DataFrame:
+    """(idx, point_id, ball_weight): for every x in P, the weight of the
+    ``uncovered`` points within ``radius`` of x (one guess, one round)."""
+    check_broadcast_bound(max_points, point_bytes(dim_hint), "uncovered set")
+    u_val = uncovered.select(F.collect_list(F.struct("point", "weight")).alias("u")).scalar()
+    bw = F.aggregate(
+        "_u", F.lit(0).cast("bigint"),
+        lambda acc, y: acc + F.when(euclidean(F.col("point"), y["point"]) <= F.lit(float(radius)),
+                                    y["weight"]).otherwise(F.lit(0).cast("bigint")))
+    return P.withColumn("_u", u_val).select("idx", "point_id", bw.alias("ball_weight"))
+
+
+def heaviest_ball(weights: DataFrame) -> DataFrame:
+    """One row: the x with the largest positive ball weight, lowest idx on ties."""
+    return (weights.filter(F.col("ball_weight") > 0)
+            .agg(F.max_by(F.struct("idx", "point_id", "ball_weight"),
+                          F.struct(F.col("ball_weight"), -F.col("idx"))).alias("b"))
+            .select("b.idx", "b.point_id", "b.ball_weight")
+            .filter(F.col("idx").isNotNull()))
+
+
+def ball_removal(uncovered: DataFrame, center: DataFrame, radius: float) -> DataFrame:
+    """Uncovered points left after removing those within ``radius`` of the
+    (one-row) ``center`` — an anti-filter against a one-point value."""
+    c_val = center.select(F.first("point").alias("c")).scalar()
+    return (uncovered.withColumn("_c", c_val)
+            .filter(F.col("_c").isNull() | (euclidean(F.col("_c"), F.col("point")) > F.lit(float(radius))))
+            .drop("_c"))
+
+
 def solve_weighted_outliers(P: DataFrame, k: int, z: int, alpha: int = 0,
-                            dim_hint: int = 64, checkpoint_every: int = 3,
-                            max_points: int = MAX_SOLVER_POINTS) -> KCenterSolution:
+                            dim_hint: int = 64, max_points: int = MAX_SOLVER_POINTS) -> KCenterSolution:
     """Greedy weighted k-center with z outliers over ``P[idx, point_id, point, weight]``.
 
     ``idx`` orders the points (ties, "first k+z+1"). Returns ≤ k centers in
@@ -131,46 +161,8 @@ def solve_weighted_outliers(P: DataFrame, k: int, z: int, alpha: int = 0,
 
     r1 = _guess_radius(r0, coef1)
     r2 = _guess_radius(r0, coef2)
-    cands = P.select(_ladder(n_guesses), "idx", "point_id", "point")
-    U = P.select(_ladder(n_guesses), "idx", "point", "weight").persist(StorageLevel.MEMORY_AND_DISK)
-    persisted = [U]
-    chosen_schema = T.StructType([T.StructField("g", T.IntegerType()),
-                                  T.StructField("cpoint", P.schema["point"].dataType)])
-    picks: list[tuple[int, int, int, int, list]] = []
-    for t in range(k):
-        u_arr = U.groupBy("g").agg(F.collect_list(F.struct("point", "weight")).alias("ys"))
-        j = cands.join(F.broadcast(u_arr), "g")
-        bw = F.aggregate(
-            "ys", F.lit(0).cast("bigint"),
-            lambda acc, y: acc + F.when(euclidean(F.col("point"), y["point"]) <= r1, y["weight"])
-                                  .otherwise(F.lit(0).cast("bigint")))
-        best = (j.select("g", "idx", "point_id", "point", bw.alias("bw"))
-                .filter(F.col("bw") > 0).groupBy("g")
-                .agg(F.max_by(F.struct("idx", "point_id", "point"),
-                              F.struct(F.col("bw"), -F.col("idx"))).alias("c")))
-        rows = best.collect()  # ≤ n_guesses rows
-        if not rows:
-            break
-        for r in rows:
-            picks.append((r["g"], t, r["c"]["idx"], r["c"]["point_id"], list(r["c"]["point"])))
-        chosen = spark.createDataFrame([(r["g"], list(r["c"]["point"])) for r in rows],
-                                       chosen_schema)
-        U = (U.join(F.broadcast(chosen), "g", "left")
-             .filter(F.col("cpoint").isNull() | (euclidean(F.col("cpoint"), F.col("point")) > r2))
-             .select("g", "idx", "point", "weight")
-             .persist(StorageLevel.MEMORY_AND_DISK))
-        persisted.append(U)
-        if (t + 1) % checkpoint_every == 0:
-            reliable = cut_lineage(U).persist(StorageLevel.MEMORY_AND_DISK)
-            for old in persisted:
-                old.unpersist()
-            persisted, U = [reliable], reliable
-        elif len(persisted) > 2:
-            persisted.pop(0).unpersist()
-    left = {r["g"]: r["w"] for r in
-            U.groupBy("g").agg(F.sum("weight").alias("w")).collect()}
-    for old in persisted:
-        old.unpersist()
+    with scoped_conf(spark, small_step_conf(n_guesses)):
+        picks, left = _cover_rounds(P, k, n_guesses, r1, r2)
     feasible = [g for g in range(1, n_guesses + 1) if (left.get(g) or 0) <= z]
     if not feasible:
         raise RuntimeError("no feasible radius guess (should not happen)")
@@ -190,6 +182,56 @@ def solve_weighted_outliers(P: DataFrame, k: int, z: int, alpha: int = 0,
     return KCenterSolution(centers, report, float(r0), float(final_guess), g_star)
 
 
+def _centers_so_far(picks: list) -> Column:
+    """Chosen centers per guess as one constant ``map<g, array<point>>``
+    (≤ k·G points, bounded by the parameters)."""
+    by_g: dict[str, list] = {}
+    for g, _t, _idx, _pid, point in picks:
+        by_g.setdefault(str(g), []).append(point)
+    return F.from_json(F.lit(json.dumps(by_g)), "map<string,array<array<double>>>")
+
+
+def _uncovered(U0: DataFrame, picks: list, r2: Column) -> DataFrame:
+    """Points of each guess not within (3+4α)r of a center chosen for it."""
+    if not picks:
+        return U0
+    cs = F.element_at(_centers_so_far(picks), F.col("g").cast("string"))
+    covered = F.exists(F.coalesce(cs, F.array().cast("array<array<double>>")),
+                       lambda c: euclidean(c, F.col("point")) <= r2)
+    return U0.filter(~covered)
+
+
+def _cover_rounds(P: DataFrame, k: int, n_guesses: int, r1: Column, r2: Column):
+    """k greedy rounds for all guesses at once. Each round is one job: the
+    uncovered sets (recomputed from the ladder × points and the centers so
+    far, so the plan never grows) are gathered per guess and broadcast, every
+    (guess, candidate) pair scans its guess's set for the ball weight, and a
+    per-guess argmax (≤ G rows) comes back."""
+    cands = P.select(_ladder(n_guesses), "idx", "point_id", "point")
+    U0 = P.select(_ladder(n_guesses), "idx", "point", "weight")
+    picks: list[tuple[int, int, int, int, list]] = []
+    for t in range(k):
+        U = _uncovered(U0, picks, r2)
+        u_arr = U.groupBy("g").agg(F.collect_list(F.struct("point", "weight")).alias("ys"))
+        bw = F.aggregate(
+            "ys", F.lit(0).cast("bigint"),
+            lambda acc, y: acc + F.when(euclidean(F.col("point"), y["point"]) <= r1, y["weight"])
+                                  .otherwise(F.lit(0).cast("bigint")))
+        rows = (cands.join(F.broadcast(u_arr), "g")
+                .select("g", "idx", "point_id", "point", bw.alias("bw"))
+                .filter(F.col("bw") > 0).groupBy("g")
+                .agg(F.max_by(F.struct("idx", "point_id", "point"),
+                              F.struct(F.col("bw"), -F.col("idx"))).alias("c"))
+                .collect())  # ≤ n_guesses rows
+        if not rows:
+            break
+        for r in rows:
+            picks.append((r["g"], t, r["c"]["idx"], r["c"]["point_id"], list(r["c"]["point"])))
+    U = _uncovered(U0, picks, r2)
+    left = {r["g"]: r["w"] for r in U.groupBy("g").agg(F.sum("weight").alias("w")).collect()}
+    return picks, left
+
+
 def seq_weighted_outliers(points: DataFrame, k: int, z: int, alpha: int = 0,
                           **kw) -> KCenterSolution:
     """The solver on a (bounded) point set ordered by ``point_id``."""

@@ -8,6 +8,7 @@ are already present (notably ``spark.checkpoint.dir``).
 from __future__ import annotations
 
 import os
+from contextlib import contextmanager
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -70,3 +71,30 @@ def table_path(sf_dir: str, name: str) -> str:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
+
+
+@contextmanager
+def scoped_conf(spark: SparkSession, conf: dict[str, str]):
+    """Apply SQL settings for the duration of a block and restore them after.
+
+    Used by the iterative operators for their per-step aggregates, whose
+    output is bounded by a parameter (≤ L or ≤ number of guesses rows): those
+    are planned with that many reduce partitions and without adaptive
+    re-planning, which would cost more than the step itself.
+    """
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def small_step_conf(groups: int) -> dict[str, str]:
+    return {"spark.sql.adaptive.enabled": "false",
+            "spark.sql.shuffle.partitions": str(max(1, min(int(groups), 64)))}
