@@ -23,26 +23,28 @@ def purchases(txn: DataFrame, country: str = ALL, on_error: str | None = None) -
     ``on_error='fail'`` a passing row without a country or a valid customer id
     raises; with ``'drop'`` it is skipped; ``None`` trusts typed input.
     """
-    rows = txn.filter(F.col("quantity") > 0)
+    qty_ok = F.col("quantity") > 0
+    match = F.lit(True) if country == ALL else (F.col("country") == F.lit(country))
+    if on_error is None:
+        # trusted typed input: plain conjuncts, so the country test is pushed down
+        return txn.filter(qty_ok & match) if country != ALL else txn.filter(qty_ok)
+    if on_error not in ("fail", "drop"):
+        raise ValueError("on_error must be None, 'fail' or 'drop'")
+    # One predicate whose CASE nesting fixes the evaluation order (a filter is
+    # never pruned and CASE branches are evaluated lazily).
     if on_error == "fail":
-        rows = rows.withColumn(
-            "country",
-            F.when(F.col("country").isNull(),
-                   F.raise_error(F.lit("transaction row without a country field")))
-             .otherwise(F.col("country")))
-    elif on_error == "drop":
-        rows = rows.filter(F.col("country").isNotNull())
-    if country != ALL:
-        rows = rows.filter(F.col("country") == F.lit(country))
-    if on_error == "fail":
-        rows = rows.withColumn(
-            "customer_id",
-            F.when(F.col("customer_id").isNull(),
-                   F.raise_error(F.lit("transaction row with a malformed customer id")))
-             .otherwise(F.col("customer_id")))
-    elif on_error == "drop":
-        rows = rows.filter(F.col("customer_id").isNotNull())
-    return rows
+        country_ok = F.when(F.col("country").isNull(),
+                            F.raise_error(F.lit("transaction row without a country field"))) \
+                      .otherwise(match)
+        customer_ok = F.when(F.col("customer_id").isNull(),
+                             F.raise_error(F.lit("transaction row with a malformed customer id"))) \
+                       .otherwise(F.lit(True))
+    else:
+        country_ok = F.col("country").isNotNull() & F.coalesce(match, F.lit(False))
+        customer_ok = F.col("customer_id").isNotNull()
+    pred = F.when(qty_ok, F.when(country_ok, customer_ok).otherwise(F.lit(False))) \
+            .otherwise(F.lit(False))
+    return txn.filter(pred)
 
 
 def product_customer_pairs(txn: DataFrame, country: str = ALL,
