@@ -19,14 +19,15 @@ def _col(c: Column | str) -> Column:
 def split_lines(text: Column | str) -> Column:
     """Split a text column into lines the way a text-file reader does.
 
-    ``\\n``, ``\\r\\n`` and ``\\r`` end a line; blank lines are kept; the empty
-    piece after a final line break is dropped, so ``''`` gives no lines and
-    ``'a\\n'`` gives ``['a']``.
+    ``\n``, ``\r\n`` and ``\r`` end a line; blank lines are kept; a final line
+    break does not start another line, so ``''`` gives no lines and ``'a\n'``
+    gives ``['a']``. One regex split per text: the final terminator (anchored
+    at the absolute end, ``\z``) is stripped first.
     """
-    parts = F.split(_col(text), LINE_BREAK_REGEX, -1)
-    n = F.size(parts)
-    return F.when(F.element_at(parts, -1) == F.lit(""), F.slice(parts, 1, n - 1)) \
-            .otherwise(parts)
+    t = _col(text)
+    body = F.regexp_replace(t, f"(?:{LINE_BREAK_REGEX})\\z", "")
+    return F.when(t == F.lit(""), F.array().cast("array<string>")) \
+            .otherwise(F.split(body, LINE_BREAK_REGEX, -1))
 
 
 def java_space_split(line: Column | str) -> Column:

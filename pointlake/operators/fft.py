@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from ..functions.distance import euclidean
 from ..plans.limits import check_broadcast_bound, point_bytes
-from ..plans.session import cut_lineage, scoped_conf, small_step_conf
+from ..plans.session import cut_lineage, scoped_conf, small_step_conf, spread
 
 
 def _prepare(points: DataFrame, parts: int) -> DataFrame:
@@ -72,7 +72,7 @@ def traverse(points: DataFrame, n_centers: int, parts: int,
     if parts < 1:
         raise ValueError("number of partitions must be >= 1")
     check_broadcast_bound(parts * n_centers, point_bytes(dim_hint), "traversal centers")
-    pts = _prepare(points, parts).persist(StorageLevel.MEMORY_AND_DISK)
+    pts = spread(_prepare(points, parts)).persist(StorageLevel.MEMORY_AND_DISK)
     with scoped_conf(points.sparkSession, small_step_conf(parts)):
         chosen = _traverse_steps(pts, n_centers)
     return pts, chosen

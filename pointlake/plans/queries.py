@@ -16,7 +16,7 @@ from ..operators import baskets as B
 from ..operators import wordcount as W
 from ..sources.text import lines_of_documents
 from ..sources.transactions import TXN_SQL, transactions_from_tables
-from .session import read_table
+from .session import read_table, spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -136,7 +136,8 @@ def q_top_products_country(spark, sf):
 # ---------------------------------------------------------------- word count
 
 def doc_lines(spark: SparkSession, sf: str) -> DataFrame:
-    return lines_of_documents(read_table(spark, sf, "documents").select("doc_id", "text"))
+    docs = spread(read_table(spark, sf, "documents").select("doc_id", "text"))
+    return lines_of_documents(docs)
 
 
 _LINES = r"""

@@ -65,6 +65,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Inputs with fewer splits than the cluster has cores (small files, a
+    single row group) are spread once over all cores before CPU-heavy or
+    repeated per-row work; inputs with enough splits keep their scan
+    partitioning, so no shuffle is added at scale."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
