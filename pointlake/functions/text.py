@@ -17,7 +17,7 @@ def _col(c: Column | str) -> Column:
 
 
 def split_lines(text: Column | str) -> Column:
-    """Split a text column into lines the way a text-file reader does.
+    r"""Split a text column into lines the way a text-file reader does.
 
     ``\n``, ``\r\n`` and ``\r`` end a line; blank lines are kept; a final line
     break does not start another line, so ``''`` gives no lines and ``'a\n'``
