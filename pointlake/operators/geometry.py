@@ -19,10 +19,13 @@ def centers_value(centers: DataFrame, max_centers: int, dim_hint: int = 64) -> C
     """The center set as one ``array<struct<center_no, point>>`` value, sorted by
     ``center_no``. ``max_centers`` is the proven bound (k) that is checked."""
     check_broadcast_bound(max_centers, point_bytes(dim_hint), "center set")
-    arr = centers.select(F.sort_array(F.collect_list(
+    arr = F.sort_array(F.collect_list(
         F.struct(F.col("center_no").cast("bigint").alias("center_no"),
-                 F.col("point").alias("point")))).alias("c"))
-    return arr.scalar()
+                 F.col("point").alias("point"))))
+    guarded = F.when(F.size(arr) > F.lit(max_centers),
+                     F.raise_error(F.lit(f"center set larger than its bound {max_centers}"))) \
+               .otherwise(arr)
+    return centers.select(guarded.alias("c")).scalar()
 
 
 def with_centers(points: DataFrame, centers: DataFrame, max_centers: int,

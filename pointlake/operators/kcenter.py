@@ -28,13 +28,14 @@ import json
 import math
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.distance import euclidean
 from ..plans.limits import check_broadcast_bound, point_bytes
-from ..plans.session import cut_lineage, scoped_conf, small_step_conf
+from ..plans.session import scoped_conf, small_step_conf
 from .fft import fft_coreset
 from .geometry import kcenter_objective
 
@@ -92,7 +93,10 @@ def ball_weights(P: DataFrame, uncovered: DataFrame, radius: float,
                  max_points: int = MAX_SOLVER_POINTS, dim_hint: int = 64) -> DataFrame:
     """(idx, point_id, ball_weight): for every x in P, the weight of the
     ``uncovered`` points within ``radius`` of x (one guess, one round)."""
-    check_broadcast_bound(max_points, point_bytes(dim_hint), "uncovered set")
+    n = uncovered.count()
+    if n > max_points:
+        raise ValueError(f"uncovered set of {n} points exceeds the bound {max_points}")
+    check_broadcast_bound(n, point_bytes(dim_hint), "uncovered set")
     u_val = uncovered.select(F.collect_list(F.struct("point", "weight")).alias("u")).scalar()
     bw = F.aggregate(
         "_u", F.lit(0).cast("bigint"),
@@ -134,7 +138,16 @@ def solve_weighted_outliers(P: DataFrame, k: int, z: int, alpha: int = 0,
     P = P.select(F.col("idx").cast("bigint").alias("idx"),
                  F.col("point_id").cast("bigint").alias("point_id"),
                  "point", F.col("weight").cast("bigint").alias("weight"))
-    P = cut_lineage(P)
+    P = P.persist(StorageLevel.MEMORY_AND_DISK)  # small (bounded), read once per round
+    try:
+        return _solve(P, k, z, alpha, dim_hint, max_points)
+    finally:
+        P.unpersist()
+
+
+def _solve(P: DataFrame, k: int, z: int, alpha: int, dim_hint: int,
+           max_points: int) -> KCenterSolution:
+    spark = P.sparkSession
     stats = initial_guess(P, k, z)
     m = int(stats["n_points"])
     if m == 0:
