@@ -96,11 +96,91 @@ def _traverse_steps(pts: DataFrame, n_centers: int) -> dict[int, list]:
     return chosen
 
 
+# Partitions up to this many points are traversed inside one task (their size
+# is counted first); larger ones use the distributed passes above.
+MAX_GROUP_POINTS = 250_000
+
+CORESET_SCHEMA = "part_id int, step int, point_id bigint, point array<double>, weight bigint"
+
+
+def _group_traversal(n_centers: int):
+    """Traversal + weights of one partition in NumPy. Squared distances are
+    accumulated coordinate by coordinate from 0.0 (the order of the JVM
+    expression), so every distance is bit-identical to the distributed path."""
+    import numpy as np
+    import pandas as pd
+
+    def run(pdf: "pd.DataFrame") -> "pd.DataFrame":
+        pdf = pdf.sort_values("point_id", kind="stable")
+        ids = pdf["point_id"].to_numpy()
+        X = np.stack(pdf["point"].to_numpy()).astype(np.float64)
+        w = pdf["weight"].to_numpy()
+
+        def dist_to(c):
+            acc = np.zeros(len(X))
+            for j in range(X.shape[1]):
+                diff = X[:, j] - c[j]
+                acc += diff * diff
+            return np.sqrt(acc)
+
+        centers = [0]
+        mind = dist_to(X[0])
+        near = np.zeros(len(X), dtype=np.int64)
+        for step in range(1, n_centers):
+            best = int(np.argmax(mind))  # first index of the maximum
+            if not mind[best] > 0:
+                break
+            centers.append(best)
+            d = dist_to(X[best])
+            closer = d < mind
+            mind = np.where(closer, d, mind)
+            near = np.where(closer, step, near)
+        weights = np.bincount(near, weights=w, minlength=len(centers)).astype(np.int64)
+        part = int(pdf["part_id"].iloc[0])
+        return pd.DataFrame({
+            "part_id": np.full(len(centers), part, dtype=np.int32),
+            "step": np.arange(len(centers), dtype=np.int32),
+            "point_id": ids[centers].astype(np.int64),
+            "point": [X[c].tolist() for c in centers],
+            "weight": weights[: len(centers)],
+        })
+
+    return run
+
+
+def _grouped_coreset(points: DataFrame, n_centers: int, parts: int) -> DataFrame:
+    prepared = _prepare(points, parts).select(
+        "part_id", "point_id", F.col("point").cast("array<double>").alias("point"), "weight")
+    return prepared.groupBy("part_id").applyInPandas(_group_traversal(n_centers), CORESET_SCHEMA)
+
+
+def _largest_partition(points: DataFrame, parts: int) -> int:
+    sizes = (points.groupBy(F.pmod(F.col("point_id"), F.lit(parts)).alias("p"))
+             .count().agg(F.max("count")).first()[0])
+    return int(sizes or 0)
+
+
 def fft_coreset(points: DataFrame, n_centers: int, parts: int,
-                dim_hint: int = 64) -> DataFrame:
+                dim_hint: int = 64, max_group_points: int = MAX_GROUP_POINTS) -> DataFrame:
     """Weighted coreset ``(part_id, step, point_id, point, weight)``: per partition
     up to ``n_centers`` traversal centers, each weighted by the (weight of the)
-    partition points whose nearest center it is (earliest step on ties)."""
+    partition points whose nearest center it is (earliest step on ties).
+
+    Partitions are counted first (L rows); if none exceeds ``max_group_points``
+    each is traversed inside one task, else the distributed passes run."""
+    if n_centers < 1:
+        raise ValueError("number of centers must be >= 1")
+    if parts < 1:
+        raise ValueError("number of partitions must be >= 1")
+    check_broadcast_bound(parts * n_centers, point_bytes(dim_hint), "coreset")
+    if _largest_partition(points, parts) <= max_group_points:
+        return cut_lineage(_grouped_coreset(points, n_centers, parts))
+    return distributed_coreset(points, n_centers, parts, dim_hint)
+
+
+def distributed_coreset(points: DataFrame, n_centers: int, parts: int,
+                        dim_hint: int = 64) -> DataFrame:
+    """The coreset by distributed passes (any partition size)."""
     pts, chosen = traverse(points, n_centers, parts, dim_hint)
     weights = (_with_nearest(pts, _centers_value(chosen))
                .groupBy("part_id", F.col("near.step").alias("step"))
@@ -114,8 +194,11 @@ def fft_coreset(points: DataFrame, n_centers: int, parts: int,
 
 
 def fft_centers(points: DataFrame, n_centers: int, parts: int = 1,
-                dim_hint: int = 64) -> DataFrame:
+                dim_hint: int = 64, max_group_points: int = MAX_GROUP_POINTS) -> DataFrame:
     """Traversal centers only: ``(part_id, step, point_id, point)``."""
+    if n_centers >= 1 and parts >= 1 and _largest_partition(points, parts) <= max_group_points:
+        core = fft_coreset(points, n_centers, parts, dim_hint, max_group_points)
+        return core.select("part_id", "step", "point_id", "point")
     pts, chosen = traverse(points, n_centers, parts, dim_hint)
     pts.unpersist()
     return _centers_frame(points.sparkSession, chosen)

@@ -270,7 +270,7 @@ class MRSolution:
 
 def mr_kcenter_outliers(points: DataFrame, k: int, z: int, parts: int,
                         alpha: int = 2, with_objective: bool = True,
-                        dim_hint: int = 64) -> MRSolution:
+                        dim_hint: int = 64, max_group_points: int | None = None) -> MRSolution:
     """Two rounds: weighted coreset of k+z+1 traversal centers per partition,
     then the greedy solver (α = 2) on the union; objective over all points."""
     if k < 1:
@@ -279,7 +279,8 @@ def mr_kcenter_outliers(points: DataFrame, k: int, z: int, parts: int,
         raise ValueError("z must be >= 0")
     per_part = k + z + 1
     check_broadcast_bound(parts * per_part, point_bytes(dim_hint), "coreset")
-    coreset = fft_coreset(points, per_part, parts, dim_hint=dim_hint)
+    kw = {} if max_group_points is None else {"max_group_points": max_group_points}
+    coreset = fft_coreset(points, per_part, parts, dim_hint=dim_hint, **kw)
     sol = solve_weighted_outliers(coreset_order(coreset, per_part), k, z, alpha,
                                   dim_hint=dim_hint)
     summary = coreset.agg(F.count(F.lit(1)).alias("n"),

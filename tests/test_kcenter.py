@@ -72,6 +72,18 @@ def test_two_round_fixture(spark, fixture_path, name, k, z, L, m, w, r0, rf, ng,
     assert rep.objective == pytest.approx(obj, abs=TOL)
 
 
+@pytest.mark.parametrize("case", [c for c in MR_CASES if c[0] == "points_16.txt"])
+def test_two_round_fixture_distributed_path(spark, fixture_path, case):
+    name, k, z, L, m, w, r0, rf, ng, centers, obj = case
+    pts = read_points(spark, fixture_path(name))
+    mr = KC.mr_kcenter_outliers(pts, k, z, L, alpha=2, dim_hint=2, max_group_points=0)
+    rep = mr.report.first()
+    assert (rep.coreset_points, rep.coreset_weight, rep.n_guesses) == (m, w, ng)
+    assert rep.final_guess == pytest.approx(rf, abs=TOL)
+    assert _ids(mr.solution.centers) == centers
+    assert rep.objective == pytest.approx(obj, abs=TOL)
+
+
 def test_point_parsing(spark):
     df = spark.createDataFrame([("1.0,2.0,",), ("-50.0, -50.0",)], "v string")
     assert [r.p for r in df.select(parse_point("v").alias("p")).collect()] == \
@@ -173,3 +185,25 @@ def test_fft_centers_64d(spark):
     pts = _points(spark, coords)
     got = [r.point_id for r in fft_centers(pts, 6, 1).orderBy("step").collect()]
     assert got == BF.fft(list(enumerate(coords)), 6)
+
+
+@settings(max_examples=5, deadline=None)
+@given(point_sets, st.integers(1, 6), st.integers(1, 3))
+def test_grouped_and_distributed_coresets_agree(spark, coords, k, L):
+    from pointlake.operators.fft import distributed_coreset
+    pts = _points(spark, [list(c) for c in coords])
+    a = sorted((r.part_id, r.step, r.point_id, r.weight, tuple(r.point))
+               for r in fft_coreset(pts, k, L, dim_hint=2).collect())
+    b = sorted((r.part_id, r.step, r.point_id, r.weight, tuple(r.point))
+               for r in distributed_coreset(pts, k, L, dim_hint=2).collect())
+    assert a == b
+
+
+def test_grouped_and_distributed_agree_64d(spark):
+    from pointlake.operators.fft import distributed_coreset
+    rnd = random.Random(11)
+    coords = [[rnd.uniform(-1, 1) for _ in range(64)] for _ in range(60)]
+    pts = _points(spark, coords)
+    a = sorted(map(tuple, fft_coreset(pts, 7, 3).select("part_id", "step", "point_id", "weight").collect()))
+    b = sorted(map(tuple, distributed_coreset(pts, 7, 3).select("part_id", "step", "point_id", "weight").collect()))
+    assert a == b
