@@ -245,6 +245,33 @@ def _cover_rounds(P: DataFrame, k: int, n_guesses: int, r1: Column, r2: Column):
     return picks, left
 
 
+def greedy_cover(P: DataFrame, k: int, r: float, alpha: int = 0,
+                 dim_hint: int = 64, max_points: int = MAX_SOLVER_POINTS):
+    """Greedy cover at one fixed radius guess ``r``: up to k centers, picked by
+    heaviest (1+2α)r ball and removing (3+4α)r balls. Returns (centers
+    ``(center_no, point_id, point)``, uncovered weight)."""
+    if k < 1:
+        raise ValueError("k must be >= 1")
+    spark = P.sparkSession
+    P = P.select(F.col("idx").cast("bigint").alias("idx"),
+                 F.col("point_id").cast("bigint").alias("point_id"),
+                 "point", F.col("weight").cast("bigint").alias("weight")).persist()
+    try:
+        m = P.count()
+        if m > max_points:
+            raise ValueError(f"{m} points exceed the solver bound {max_points}")
+        check_broadcast_bound(m, point_bytes(dim_hint), "cover point set")
+        with scoped_conf(spark, small_step_conf(1)):
+            picks, left = _cover_rounds(P, k, 1, _guess_radius(r, 1 + 2 * alpha),
+                                        _guess_radius(r, 3 + 4 * alpha))
+    finally:
+        P.unpersist()
+    centers = spark.createDataFrame(
+        [(t, pid, point) for (_g, t, _idx, pid, point) in picks],
+        "center_no int, point_id bigint, point array<double>")
+    return centers, int(left.get(1) or 0)
+
+
 def seq_weighted_outliers(points: DataFrame, k: int, z: int, alpha: int = 0,
                           **kw) -> KCenterSolution:
     """The solver on a (bounded) point set ordered by ``point_id``."""

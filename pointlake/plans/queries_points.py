@@ -217,3 +217,25 @@ def q_kcenter_outliers(spark, sf):
     f"FROM {_S2['report']} r")))
 def q_kcenter_report(spark, sf):
     return _mr(spark, sf).report
+
+
+def _cover0(spark, sf):
+    P = _solver_input(spark, sf).persist()
+    st = KC.initial_guess(P, K, Z)
+    return KC.greedy_cover(P, K, st["head_min"] / 2, alpha=0, dim_hint=2)
+
+
+@register("greedy_cover", O.with_ctes(_PT2 + _CORE2 + _P2 + _SOLVE0, (
+    "SELECT CAST(center_no AS INTEGER) AS center_no, point_id FROM ("
+    + " UNION ALL ".join(f"SELECT * FROM s0_c{t}" for t in range(1, K + 1))
+    + ") WHERE g = 1")))
+def q_greedy_cover(spark, sf):
+    centers, _ = _cover0(spark, sf)
+    return centers.select("center_no", "point_id")
+
+
+@register("greedy_cover_uncovered", O.with_ctes(_PT2 + _CORE2 + _P2 + _SOLVE0, (
+    "SELECT CAST(wz AS BIGINT) AS uncovered_weight FROM s0_left WHERE g = 1")))
+def q_greedy_cover_uncovered(spark, sf):
+    _, left = _cover0(spark, sf)
+    return spark.createDataFrame([(left,)], "uncovered_weight bigint")
