@@ -64,21 +64,29 @@ def _ladder(n_guesses: int) -> Column:
 
 
 def initial_guess(P: DataFrame, k: int, z: int) -> dict:
-    """Guess statistics (two one-row aggregates): ``head_min`` = smallest
-    positive distance among the first k+z+1 points (by ``idx``), ``reach`` =
-    largest distance from the first point, ``n_points``, ``total_weight``."""
-    head = P.orderBy("idx").limit(k + z + 1)
-    head_val = head.select(
-        F.sort_array(F.collect_list(F.struct("idx", "point"))).alias("h")).scalar()
-    head_min = head.withColumn("_h", head_val).select(F.array_min(F.filter(
-        F.transform("_h", lambda y: euclidean(F.col("point"), y["point"])),
-        lambda d: d > 0)).alias("m")).agg(F.min("m").alias("head_min")).first()
-    first_point = F.element_at(F.col("_h"), 1)["point"]
-    rest = P.withColumn("_h", head_val).agg(
-                 F.max(euclidean(F.col("point"), first_point)).alias("reach"),
-                 F.count(F.lit(1)).alias("n_points"),
-                 F.sum("weight").cast("bigint").alias("total_weight")).first()
-    return {**head_min.asDict(), **rest.asDict()}
+    """Guess statistics: ``head_min`` = smallest positive distance among the
+    first k+z+1 points (by ``idx``), ``reach`` = largest distance from the first
+    point, ``n_points``, ``total_weight``.
+
+    The head (≤ k+z+1 points, a parameter bound) is taken with a top-k and
+    travels back to the tasks as one constant; everything else is a single
+    aggregate over P."""
+    head = P.orderBy("idx").limit(k + z + 1).select("idx", "point").collect()
+    if not head:
+        return {"head_min": None, "reach": None, "n_points": 0, "total_weight": 0}
+    check_broadcast_bound(len(head), point_bytes(len(head[0]["point"])), "head of the order")
+    last = head[-1]["idx"]
+    head_val = F.from_json(F.lit(json.dumps([list(r["point"]) for r in head])),
+                           "array<array<double>>")
+    pos_min = F.array_min(F.filter(
+        F.transform(head_val, lambda y: euclidean(F.col("point"), y)), lambda d: d > 0))
+    first_point = F.element_at(head_val, 1)
+    row = P.agg(
+        F.min(F.when(F.col("idx") <= F.lit(last), pos_min)).alias("head_min"),
+        F.max(euclidean(F.col("point"), first_point)).alias("reach"),
+        F.count(F.lit(1)).alias("n_points"),
+        F.sum("weight").cast("bigint").alias("total_weight")).first()
+    return row.asDict()
 
 
 def _positive_min_all(P: DataFrame) -> float | None:
