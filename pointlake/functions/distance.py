@@ -23,21 +23,44 @@ def sq_distance(a: Column | str, b: Column | str) -> Column:
 
 
 def euclidean(a: Column | str, b: Column | str) -> Column:
+    """Distance; points of different dimension fail the query (rather than
+    ``zip_with`` padding the shorter one with NULLs)."""
+    a, b = _col(a), _col(b)
+    return F.when(F.size(a) != F.size(b),
+                  F.raise_error(F.lit("points of different dimension"))) \
+            .otherwise(F.sqrt(sq_distance(a, b)))
+
+
+def plain_distance(a: Column | str, b: Column | str) -> Column:
+    """Distance without the dimension check (callers check once per point)."""
     return F.sqrt(sq_distance(a, b))
 
 
+def same_dimension(point: Column, centers: Column, value: Column,
+                   point_field: str | None = "point") -> Column:
+    """``value``, or a failure when ``point`` and the first element of the set
+    differ in dimension (all centers come from the same point set)."""
+    first = F.element_at(centers, 1)
+    first = first[point_field] if point_field else first
+    return F.when(F.size(centers) > 0,
+                  F.when(F.size(point) != F.size(first),
+                         F.raise_error(F.lit("points of different dimension")))
+                   .otherwise(value))
+
+
 def nearest(point: Column | str, centers: Column, id_field: str = "center_no",
             point_field: str = "point") -> Column:
     """``struct(dist, id)`` of the nearest element of ``centers`` (an array of
     structs); ties go to the lowest id. NULL when ``centers`` is empty."""
     p = _col(point)
     cands = F.transform(
-        centers, lambda c: F.struct(euclidean(p, c[point_field]).alias("dist"),
+        centers, lambda c: F.struct(plain_distance(p, c[point_field]).alias("dist"),
                                     c[id_field].alias("id")))
-    return F.array_min(cands)
+    return same_dimension(p, centers, F.array_min(cands), point_field)
 
 
 def min_distance(point: Column | str, centers: Column, point_field: str = "point") -> Column:
     """Distance to the nearest element of ``centers``; NULL when empty."""
     p = _col(point)
-    return F.array_min(F.transform(centers, lambda c: euclidean(p, c[point_field])))
+    d = F.array_min(F.transform(centers, lambda c: plain_distance(p, c[point_field])))
+    return same_dimension(p, centers, d, point_field)

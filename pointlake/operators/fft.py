@@ -27,7 +27,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.distance import euclidean
+from ..functions.distance import plain_distance, same_dimension
 from ..plans.limits import check_broadcast_bound, point_bytes
 from ..plans.session import cut_lineage, scoped_conf, small_step_conf, spread
 
@@ -58,9 +58,9 @@ def _with_nearest(pts: DataFrame, centers) -> DataFrame:
     partition, earliest step on ties."""
     cs = F.element_at(centers, F.col("part_id").cast("string"))
     near = F.array_min(F.transform(
-        cs, lambda c: F.struct(euclidean(F.col("point"), c["point"]).alias("dist"),
+        cs, lambda c: F.struct(plain_distance(F.col("point"), c["point"]).alias("dist"),
                                c["step"].alias("step"))))
-    return pts.withColumn("near", near)
+    return pts.withColumn("near", same_dimension(F.col("point"), cs, near))
 
 
 def traverse(points: DataFrame, n_centers: int, parts: int,

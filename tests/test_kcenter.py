@@ -207,3 +207,13 @@ def test_grouped_and_distributed_agree_64d(spark):
     a = sorted(map(tuple, fft_coreset(pts, 7, 3).select("part_id", "step", "point_id", "weight").collect()))
     b = sorted(map(tuple, distributed_coreset(pts, 7, 3).select("part_id", "step", "point_id", "weight").collect()))
     assert a == b
+
+
+def test_mixed_dimensions_fail(spark):
+    pts = spark.createDataFrame([(0, [0.0, 0.0], 1), (1, [1.0, 0.0, 2.0], 1), (2, [3.0, 3.0], 1)],
+                                "point_id bigint, point array<double>, weight bigint")
+    from pointlake.operators.fft import distributed_coreset
+    with pytest.raises(Exception):
+        distributed_coreset(pts, 3, 1, dim_hint=3).collect()
+    with pytest.raises(Exception):
+        fft_coreset(pts, 3, 1, dim_hint=3).collect()

@@ -66,3 +66,10 @@ def test_documents_as_lines(spark):
     assert [(r.doc_id, r.line_no, r.value) for r in rows] == [(1, 0, "a b"), (1, 1, "c")]
     assert {r.word: r.n for r in W.word_count(lines_of_documents(docs)).collect()} == \
         {"a": 1, "b": 1, "c": 1}
+
+
+def test_utf16_length(spark):
+    from pointlake.functions.text import utf16_length
+    df = spark.createDataFrame([("a\U0001F600b",), ("héllo",)], "w string")
+    rows = df.select(utf16_length("w").alias("u"), F.length("w").alias("c")).collect()
+    assert [(r.u, r.c) for r in rows] == [(4, 3), (5, 5)]
