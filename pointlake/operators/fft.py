@@ -1,8 +1,11 @@
 """Farthest-first traversal per partition and the weighted coreset (Round 1).
 
 Points are dealt to L partitions by ``part_id = pmod(point_id, L)`` (deterministic,
-balanced by construction). Instead of loading a partition into one task, the
-traversal runs as ``n_centers`` distributed passes over the (persisted) points:
+balanced when ids are dense). Partition sizes are counted first. Partitions of
+at most ``MAX_GROUP_POINTS`` points are traversed inside one task each
+(grouped map, NumPy). Beyond that bound — large inputs or skewed ids — no
+partition is loaded into one task; the traversal runs as ``n_centers``
+distributed passes over the (persisted) points:
 
 * the centers chosen so far — at most L·n_centers points, a bound fixed by the
   parameters and checked — travel with the tasks as one constant
