@@ -1,6 +1,5 @@
 import pytest
 from pyspark.errors import PySparkException
-from pyspark.sql import functions as F
 
 from pointlake.operators import baskets as B
 from pointlake.sources.transactions import parse_transactions, read_transactions
