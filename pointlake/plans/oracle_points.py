@@ -93,7 +93,7 @@ def solver_ctes(tag: str, P: str, k: int, z: int, alpha: int) -> tuple[list[str]
     for t in range(1, k + 1):
         dcu = dist("c.point", "u.point")
         ctes.append(
-            f"{tag}_bw{t} AS (SELECT l.g, c.idx, c.point_id, c.point, sum(u.weight) AS bw "
+            f"{tag}_bw{t} AS (SELECT l.g, c.idx, c.point_id, c.point, CAST(sum(u.weight) AS BIGINT) AS bw "
             f"FROM {tag}_lad l CROSS JOIN {P} c JOIN {tag}_u{t - 1} u "
             f"ON u.g = l.g AND {dcu} <= CAST({c1} AS DOUBLE) * l.r "
             f"GROUP BY l.g, c.idx, c.point_id, c.point)")

@@ -46,6 +46,19 @@ def test_query_matches_oracle(spark, duck, name):
     assert got == want
 
 
+_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+          "array<double>": "DOUBLE[]"}
+
+
+@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+def test_query_types_match_oracle(spark, duck, name):
+    df = E.queries()[name](spark, SF)
+    got = {f.name: _TYPES.get(f.dataType.simpleString(), f.dataType.simpleString())
+           for f in df.schema.fields}
+    want = {r[0]: r[1] for r in duck.execute(f"DESCRIBE ({E.oracle_sql()[name]})").fetchall()}
+    assert got == want
+
+
 def test_every_query_has_oracle():
     assert set(E.queries()) == set(E.oracle_sql())
 
