@@ -34,8 +34,8 @@ def with_dense_index(df: DataFrame, name: str = "row_id") -> DataFrame:
     w = Window.orderBy("_file", "_first").rowsBetween(Window.unboundedPreceding, -1)
     offsets = splits.select(
         "_file", "_pid", "_first",
-        F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_base"))
-    n_splits = offsets.count()
+        F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_base")).persist()
+    n_splits = offsets.count()  # one scan; the join below reuses the cached table
     if n_splits <= MAX_BROADCAST_SPLITS:
         offsets = F.broadcast(offsets)
     out = tagged.join(offsets, ["_file", "_pid"])
