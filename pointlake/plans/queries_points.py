@@ -239,3 +239,10 @@ def q_greedy_cover(spark, sf):
 def q_greedy_cover_uncovered(spark, sf):
     _, left = _cover0(spark, sf)
     return spark.createDataFrame([(left,)], "uncovered_weight bigint")
+
+
+@register("coreset_weights", O.with_ctes(_PT2 + _CORE2, (
+    f"SELECT part_id, step, weight FROM {_CORE2_NAME}")))
+def q_coreset_weights(spark, sf):
+    """A17: weight of each traversal center = points of its partition nearest to it."""
+    return _coreset2(spark, sf).select("part_id", "step", "weight")
