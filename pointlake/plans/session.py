@@ -70,10 +70,12 @@ def spread(df: DataFrame) -> DataFrame:
     single row group) are spread once over all cores before CPU-heavy or
     repeated per-row work; inputs with enough splits keep their scan
     partitioning, so no shuffle is added at scale."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # sessions without RDD access: keep the scan layout
+        return df
+    return df.repartition(cores) if splits < cores else df
 
 
 def table_path(sf_dir: str, name: str) -> str:
