@@ -8,10 +8,10 @@ while fewer than k centers and uncovered weight > 0, pick the point x of P
 point within (3+4α)r of x covered. A guess succeeds when the uncovered weight
 is ≤ z; the sequential algorithm doubles r from r0 until one does.
 
-Here all guesses r0·2^(g-1), g = 1..G, run together, so the cover takes k Spark
-rounds instead of k × (number of guesses); the answer is the smallest feasible
-g, which is exactly what the doubling loop returns (doubling is exact in
-floating point). G is chosen so that the last guess covers everything with one
+Here the guesses r0·2^(g-1), g = 1..G, run together in chunks (smallest
+first), so a chunk takes k Spark rounds instead of k × (its guesses); the
+answer is the smallest feasible g, which is exactly what the doubling loop
+returns (doubling is exact in floating point). G is chosen so that the last guess covers everything with one
 ball: (3+4α)·r0·2^(G-1) ≥ 2·max_x d(x, first point) ≥ diameter.
 
 The solver is for bounded inputs — a coreset, whose size is fixed by k, z and
@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 
 from ..functions.distance import euclidean
 from ..plans.limits import check_broadcast_bound, point_bytes
-from ..plans.session import scoped_conf, small_step_conf
+from ..plans.session import scoped_conf, small_step_conf, spread
 from .fft import fft_coreset
 from .geometry import kcenter_objective
 
@@ -59,8 +59,8 @@ def _guess_radius(r0: float, coef: int) -> Column:
     return F.lit(float(coef)) * r
 
 
-def _ladder(n_guesses: int) -> Column:
-    return F.explode(F.sequence(F.lit(1), F.lit(int(n_guesses)))).alias("g")
+def _ladder(first: int, last: int) -> Column:
+    return F.explode(F.sequence(F.lit(int(first)), F.lit(int(last)))).alias("g")
 
 
 def initial_guess(P: DataFrame, k: int, z: int) -> dict:
@@ -132,7 +132,8 @@ def ball_removal(uncovered: DataFrame, center: DataFrame, radius: float) -> Data
 
 
 def solve_weighted_outliers(P: DataFrame, k: int, z: int, alpha: int = 0,
-                            dim_hint: int = 64, max_points: int = MAX_SOLVER_POINTS) -> KCenterSolution:
+                            dim_hint: int = 64, max_points: int = MAX_SOLVER_POINTS,
+                            guess_chunk: int = 4) -> KCenterSolution:
     """Greedy weighted k-center with z outliers over ``P[idx, point_id, point, weight]``.
 
     ``idx`` orders the points (ties, "first k+z+1"). Returns ≤ k centers in
@@ -146,15 +147,16 @@ def solve_weighted_outliers(P: DataFrame, k: int, z: int, alpha: int = 0,
     P = P.select(F.col("idx").cast("bigint").alias("idx"),
                  F.col("point_id").cast("bigint").alias("point_id"),
                  "point", F.col("weight").cast("bigint").alias("weight"))
-    P = P.persist(StorageLevel.MEMORY_AND_DISK)  # small (bounded), read once per round
+    # small (bounded) but read once per round with m² work: spread over all cores
+    P = spread(P).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return _solve(P, k, z, alpha, dim_hint, max_points)
+        return _solve(P, k, z, alpha, dim_hint, max_points, max(1, int(guess_chunk)))
     finally:
         P.unpersist()
 
 
 def _solve(P: DataFrame, k: int, z: int, alpha: int, dim_hint: int,
-           max_points: int) -> KCenterSolution:
+           max_points: int, guess_chunk: int) -> KCenterSolution:
     spark = P.sparkSession
     stats = initial_guess(P, k, z)
     m = int(stats["n_points"])
@@ -182,12 +184,19 @@ def _solve(P: DataFrame, k: int, z: int, alpha: int, dim_hint: int,
 
     r1 = _guess_radius(r0, coef1)
     r2 = _guess_radius(r0, coef2)
-    with scoped_conf(spark, small_step_conf(n_guesses)):
-        picks, left = _cover_rounds(P, k, n_guesses, r1, r2)
-    feasible = [g for g in range(1, n_guesses + 1) if (left.get(g) or 0) <= z]
-    if not feasible:
+    # Guesses run in chunks, smallest first; the first chunk holding a feasible
+    # guess ends the search (the doubling loop's answer is the smallest one).
+    g_star, picks = None, []
+    with scoped_conf(spark, small_step_conf(min(n_guesses, guess_chunk))):
+        for lo in range(1, n_guesses + 1, guess_chunk):
+            hi = min(n_guesses, lo + guess_chunk - 1)
+            picks, left = _cover_rounds(P, k, lo, hi, r1, r2)
+            feasible = [g for g in range(lo, hi + 1) if (left.get(g) or 0) <= z]
+            if feasible:
+                g_star = feasible[0]
+                break
+    if g_star is None:
         raise RuntimeError("no feasible radius guess (should not happen)")
-    g_star = feasible[0]
     final_guess = r0 * 2.0 ** (g_star - 1)
     center_rows = sorted((p for p in picks if p[0] == g_star), key=lambda p: p[1])
     centers = spark.createDataFrame(
@@ -222,14 +231,14 @@ def _uncovered(U0: DataFrame, picks: list, r2: Column) -> DataFrame:
     return U0.filter(~covered)
 
 
-def _cover_rounds(P: DataFrame, k: int, n_guesses: int, r1: Column, r2: Column):
+def _cover_rounds(P: DataFrame, k: int, first: int, last: int, r1: Column, r2: Column):
     """k greedy rounds for all guesses at once. Each round is one job: the
     uncovered sets (recomputed from the ladder × points and the centers so
     far, so the plan never grows) are gathered per guess and broadcast, every
     (guess, candidate) pair scans its guess's set for the ball weight, and a
     per-guess argmax (≤ G rows) comes back."""
-    cands = P.select(_ladder(n_guesses), "idx", "point_id", "point")
-    U0 = P.select(_ladder(n_guesses), "idx", "point", "weight")
+    cands = P.select(_ladder(first, last), "idx", "point_id", "point")
+    U0 = P.select(_ladder(first, last), "idx", "point", "weight")
     picks: list[tuple[int, int, int, int, list]] = []
     for t in range(k):
         U = _uncovered(U0, picks, r2)
@@ -243,7 +252,7 @@ def _cover_rounds(P: DataFrame, k: int, n_guesses: int, r1: Column, r2: Column):
                 .filter(F.col("bw") > 0).groupBy("g")
                 .agg(F.max_by(F.struct("idx", "point_id", "point"),
                               F.struct(F.col("bw"), -F.col("idx"))).alias("c"))
-                .collect())  # ≤ n_guesses rows
+                .collect())  # ≤ last - first + 1 rows
         if not rows:
             break
         for r in rows:
@@ -270,7 +279,7 @@ def greedy_cover(P: DataFrame, k: int, r: float, alpha: int = 0,
             raise ValueError(f"{m} points exceed the solver bound {max_points}")
         check_broadcast_bound(m, point_bytes(dim_hint), "cover point set")
         with scoped_conf(spark, small_step_conf(1)):
-            picks, left = _cover_rounds(P, k, 1, _guess_radius(r, 1 + 2 * alpha),
+            picks, left = _cover_rounds(P, k, 1, 1, _guess_radius(r, 1 + 2 * alpha),
                                         _guess_radius(r, 3 + 4 * alpha))
     finally:
         P.unpersist()

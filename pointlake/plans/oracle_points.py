@@ -17,6 +17,7 @@ def dist(a: str, b: str) -> str:
 
 PT2_SQL = ("SELECT CAST(c_custkey AS BIGINT) AS point_id, "
            "[c_acctbal / 1000.0, CAST(c_nationkey AS DOUBLE)]::DOUBLE[] AS point FROM customer")
+PEV_SQL = "SELECT CAST(event_id AS BIGINT) AS point_id, [value]::DOUBLE[] AS point FROM events"
 PT64_SQL = ("SELECT CAST(vec_id AS BIGINT) AS point_id, CAST(embedding AS DOUBLE[]) AS point "
             "FROM embeddings")
 

@@ -246,3 +246,51 @@ def q_greedy_cover_uncovered(spark, sf):
 def q_coreset_weights(spark, sf):
     """A17: weight of each traversal center = points of its partition nearest to it."""
     return _coreset2(spark, sf).select("part_id", "step", "weight")
+
+
+# ---------------------------------------------------------------- event values
+# Events as 1-D points [value] (id event_id). The value has a long right tail
+# and many repeated values, so the outlier-aware solve is non-trivial at α = 2.
+EK, EZ, EL = 4, 50, 8
+
+_PEV = [f"pev AS ({O.PEV_SQL})"]
+_COREEV, _COREEV_NAME = O.coreset_ctes("ke", "pev", EK + EZ + 1, EL)
+_PE = [f"solver_ev AS (SELECT CAST(part_id AS BIGINT) * {EK + EZ + 1} + step AS idx, point_id, "
+       f"point, weight FROM {_COREEV_NAME})"]
+_SOLVEEV, _SE = O.solver_ctes("se", "solver_ev", EK, EZ, 2)
+_OBJEV = [f"objev AS (SELECT p.point_id, min({O.dist('p.point', 'c.point')}) AS dist "
+          f"FROM pev p, {_SE['centers']} c GROUP BY p.point_id)"]
+
+
+def pev(spark: SparkSession, sf: str) -> DataFrame:
+    return points_from_columns(read_table(spark, sf, "events"), "event_id", ["value"])
+
+
+def _mr_events(spark, sf, with_objective=True):
+    return KC.mr_kcenter_outliers(pev(spark, sf), EK, EZ, EL, alpha=2,
+                                  with_objective=with_objective, dim_hint=1)
+
+
+@register("event_kcenter_mr", O.with_ctes(_PEV + _COREEV + _PE + _SOLVEEV,
+                                          f"SELECT center_no, point_id FROM {_SE['centers']}"))
+def q_event_kcenter_mr(spark, sf):
+    return _mr_events(spark, sf, with_objective=False).solution.centers.select(
+        "center_no", "point_id")
+
+
+@register("event_kcenter_report", O.with_ctes(_PEV + _COREEV + _PE + _SOLVEEV + _OBJEV, (
+    f"SELECT r.k, r.z, CAST({EL} AS INTEGER) AS parts, r.alpha, "
+    f"(SELECT count(*) FROM {_COREEV_NAME}) AS coreset_points, "
+    f"(SELECT CAST(sum(weight) AS BIGINT) FROM {_COREEV_NAME}) AS coreset_weight, "
+    "r.initial_guess, r.final_guess, r.n_guesses, r.n_centers, "
+    f"(SELECT dist FROM objev ORDER BY dist DESC LIMIT 1 OFFSET {EZ}) AS objective "
+    f"FROM {_SE['report']} r")))
+def q_event_kcenter_report(spark, sf):
+    return _mr_events(spark, sf).report
+
+
+@register("event_kcenter_outliers", O.with_ctes(_PEV + _COREEV + _PE + _SOLVEEV + _OBJEV, (
+    f"SELECT point_id, dist FROM objev ORDER BY dist DESC, point_id LIMIT {EZ}")))
+def q_event_kcenter_outliers(spark, sf):
+    mr = _mr_events(spark, sf, with_objective=False)
+    return G.kcenter_outliers(pev(spark, sf), mr.solution.centers, EZ, EK)
