@@ -9,7 +9,8 @@ import pytest
 import __spark_entry__ as E
 
 SF = "/root/testdata/sf0.001"
-TABLES = ["nation", "customer", "orders", "lineitem", "documents", "embeddings"]
+TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
+          "pages benchmark labels conversations").split()
 
 
 def _norm(v):
