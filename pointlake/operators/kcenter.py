@@ -73,7 +73,8 @@ def initial_guess(P: DataFrame, k: int, z: int) -> dict:
     aggregate over P."""
     head = P.orderBy("idx").limit(k + z + 1).select("idx", "point").collect()
     if not head:
-        return {"head_min": None, "reach": None, "n_points": 0, "total_weight": 0}
+        return {"head_min": None, "reach": None, "n_points": 0, "total_weight": 0,
+                "dim_min": None, "dim_max": None}
     check_broadcast_bound(len(head), point_bytes(len(head[0]["point"])), "head of the order")
     last = head[-1]["idx"]
     head_val = F.from_json(F.lit(json.dumps([list(r["point"]) for r in head])),
@@ -85,7 +86,9 @@ def initial_guess(P: DataFrame, k: int, z: int) -> dict:
         F.min(F.when(F.col("idx") <= F.lit(last), pos_min)).alias("head_min"),
         F.max(euclidean(F.col("point"), first_point)).alias("reach"),
         F.count(F.lit(1)).alias("n_points"),
-        F.sum("weight").cast("bigint").alias("total_weight")).first()
+        F.sum("weight").cast("bigint").alias("total_weight"),
+        F.min(F.size("point")).alias("dim_min"),
+        F.max(F.size("point")).alias("dim_max")).first()
     return row.asDict()
 
 
@@ -162,6 +165,8 @@ def _solve(P: DataFrame, k: int, z: int, alpha: int, dim_hint: int,
     m = int(stats["n_points"])
     if m == 0:
         raise ValueError("no points to cluster")
+    if stats["dim_min"] != stats["dim_max"]:
+        raise ValueError("points of different dimension")
     if m > max_points:
         raise ValueError(f"{m} points exceed the solver bound {max_points}; "
                          "use mr_kcenter_outliers (coreset) for large inputs")

@@ -217,3 +217,10 @@ def test_mixed_dimensions_fail(spark):
         distributed_coreset(pts, 3, 1, dim_hint=3).collect()
     with pytest.raises(Exception):
         fft_coreset(pts, 3, 1, dim_hint=3).collect()
+
+
+def test_solver_rejects_mixed_dimensions(spark):
+    pts = spark.createDataFrame([(0, [0.0, 0.0], 1), (1, [1.0, 0.0, 2.0], 1)],
+                                "point_id bigint, point array<double>, weight bigint")
+    with pytest.raises(ValueError):
+        KC.seq_weighted_outliers(pts, 1, 0, dim_hint=3)
