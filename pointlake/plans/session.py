@@ -44,8 +44,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder named by the session.
 
-    ``spark.checkpoint.dir`` is read from the session; only when it is unset (a
-    local test run) is a fresh scratch folder created and registered.
+    ``spark.checkpoint.dir`` is read from the session; only when it is unset on
+    a local-mode session (tests) is a fresh scratch folder created; on a
+    cluster an unset folder is an error (a machine-local folder is not shared).
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -53,6 +54,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
+        # local run (tests): a scratch folder on this machine is the shared folder
         configured = tempfile.mkdtemp(prefix="pointlake-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
