@@ -136,7 +136,7 @@ def ball_removal(uncovered: DataFrame, center: DataFrame, radius: float) -> Data
 
 def solve_weighted_outliers(P: DataFrame, k: int, z: int, alpha: int = 0,
                             dim_hint: int = 64, max_points: int = MAX_SOLVER_POINTS,
-                            guess_chunk: int = 4) -> KCenterSolution:
+                            guess_chunk: int = 4, engine: str | None = None) -> KCenterSolution:
     """Greedy weighted k-center with z outliers over ``P[idx, point_id, point, weight]``.
 
     ``idx`` orders the points (ties, "first k+z+1"). Returns ≤ k centers in
@@ -153,13 +153,13 @@ def solve_weighted_outliers(P: DataFrame, k: int, z: int, alpha: int = 0,
     # small (bounded) but read once per round with m² work: spread over all cores
     P = spread(P).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return _solve(P, k, z, alpha, dim_hint, max_points, max(1, int(guess_chunk)))
+        return _solve(P, k, z, alpha, dim_hint, max_points, max(1, int(guess_chunk)), engine)
     finally:
         P.unpersist()
 
 
 def _solve(P: DataFrame, k: int, z: int, alpha: int, dim_hint: int,
-           max_points: int, guess_chunk: int) -> KCenterSolution:
+           max_points: int, guess_chunk: int, engine: str | None) -> KCenterSolution:
     spark = P.sparkSession
     stats = initial_guess(P, k, z)
     m = int(stats["n_points"])
@@ -187,15 +187,13 @@ def _solve(P: DataFrame, k: int, z: int, alpha: int, dim_hint: int,
         n_guesses = 2 + max(0, math.ceil(math.log2(diam_bound / (coef2 * r0))))
     check_broadcast_bound(n_guesses * m, point_bytes(dim_hint), "uncovered sets")
 
-    r1 = _guess_radius(r0, coef1)
-    r2 = _guess_radius(r0, coef2)
     # Guesses run in chunks, smallest first; the first chunk holding a feasible
     # guess ends the search (the doubling loop's answer is the smallest one).
     g_star, picks = None, []
     with scoped_conf(spark, small_step_conf(min(n_guesses, guess_chunk))):
         for lo in range(1, n_guesses + 1, guess_chunk):
             hi = min(n_guesses, lo + guess_chunk - 1)
-            picks, left = _cover_rounds(P, k, lo, hi, r1, r2)
+            picks, left = _cover_rounds(P, k, lo, hi, r0, coef1, coef2, engine, m)
             feasible = [g for g in range(lo, hi + 1) if (left.get(g) or 0) <= z]
             if feasible:
                 g_star = feasible[0]
@@ -236,25 +234,91 @@ def _uncovered(U0: DataFrame, picks: list, r2: Column) -> DataFrame:
     return U0.filter(~covered)
 
 
-def _cover_rounds(P: DataFrame, k: int, first: int, last: int, r1: Column, r2: Column):
-    """k greedy rounds for all guesses at once. Each round is one job: the
-    uncovered sets (recomputed from the ladder × points and the centers so
-    far, so the plan never grows) are gathered per guess and broadcast, every
-    (guess, candidate) pair scans its guess's set for the ball weight, and a
-    per-guess argmax (≤ G rows) comes back."""
+# Rounds with more (candidate, uncovered) pairs than this compute ball weights
+# with NumPy blocks inside the tasks; smaller ones with a JVM lambda.
+NUMPY_PAIRS_PER_ROUND = 250_000
+_BLOCK_CELLS = 2_000_000  # distance-matrix cells per NumPy block (16 MB)
+_BW_SCHEMA = "g int, idx bigint, point_id bigint, point array<double>, bw bigint"
+
+
+def _ball_weights_jvm(cands: DataFrame, U: DataFrame, r1: Column) -> DataFrame:
+    u_arr = U.groupBy("g").agg(F.collect_list(F.struct("point", "weight")).alias("ys"))
+    bw = F.aggregate(
+        "ys", F.lit(0).cast("bigint"),
+        lambda acc, y: acc + F.when(euclidean(F.col("point"), y["point"]) <= r1, y["weight"])
+                              .otherwise(F.lit(0).cast("bigint")))
+    return (cands.join(F.broadcast(u_arr), "g")
+            .select("g", "idx", "point_id", "point", bw.alias("bw")))
+
+
+def _ball_weights_numpy(cands: DataFrame, U: DataFrame, r0: float, coef1: int) -> DataFrame:
+    """Ball weights in NumPy blocks. The uncovered sets (≤ guesses × m points,
+    bounded and checked by the caller) are shipped once as a broadcast
+    variable; candidates stay distributed. Squared differences are accumulated
+    coordinate by coordinate from 0.0 and the radius is the same double as on
+    the JVM, so every comparison matches the JVM path."""
+    import numpy as np
+
+    sets: dict[int, tuple[list, list]] = {}
+    for r in U.select("g", "point", "weight").collect():
+        pts, ws = sets.setdefault(r["g"], ([], []))
+        pts.append(list(r["point"]))
+        ws.append(r["weight"])
+    payload = {g: (np.asarray(pts, dtype=np.float64), np.asarray(ws, dtype=np.int64),
+                   float(coef1) * (r0 * 2.0 ** (g - 1)))
+               for g, (pts, ws) in sets.items()}
+    bc = cands.sparkSession.sparkContext.broadcast(payload)
+
+    def run(batches):
+        import numpy as np
+        import pandas as pd
+        data = bc.value
+        for pdf in batches:
+            bw = np.zeros(len(pdf), dtype=np.int64)
+            if len(pdf):
+                gs = pdf["g"].to_numpy()
+                X_all = np.stack(pdf["point"].to_numpy()).astype(np.float64)
+                for g in np.unique(gs):
+                    if int(g) not in data:
+                        continue
+                    Y, w, r1 = data[int(g)]
+                    sel = np.nonzero(gs == g)[0]
+                    X = X_all[sel]
+                    block = max(1, _BLOCK_CELLS // max(1, len(Y)))
+                    for lo in range(0, len(sel), block):
+                        xb = X[lo:lo + block]
+                        acc = np.zeros((len(xb), len(Y)))
+                        for j in range(X.shape[1]):
+                            diff = xb[:, j, None] - Y[None, :, j]
+                            acc += diff * diff
+                        inside = np.sqrt(acc) <= r1
+                        bw[sel[lo:lo + block]] = (inside * w[None, :]).sum(axis=1)
+            yield pd.DataFrame({"g": pdf["g"].astype("int32"), "idx": pdf["idx"],
+                                "point_id": pdf["point_id"], "point": pdf["point"], "bw": bw})
+
+    return cands.mapInPandas(run, _BW_SCHEMA)
+
+
+def _cover_rounds(P: DataFrame, k: int, first: int, last: int, r0: float,
+                  coef1: int, coef2: int, engine: str | None = None, m: int | None = None):
+    """k greedy rounds for all guesses ``first..last`` at once. Each round is
+    one job: the uncovered sets (recomputed from the ladder × points and the
+    centers so far, so the plan never grows) are shipped to the tasks, every
+    (guess, candidate) pair gets its ball weight, and a per-guess argmax
+    (≤ last-first+1 rows) comes back."""
+    r1 = _guess_radius(r0, coef1)
+    r2 = _guess_radius(r0, coef2)
+    if engine is None:
+        pairs = (last - first + 1) * (m or 0) ** 2
+        engine = "numpy" if pairs > NUMPY_PAIRS_PER_ROUND else "jvm"
     cands = P.select(_ladder(first, last), "idx", "point_id", "point")
     U0 = P.select(_ladder(first, last), "idx", "point", "weight")
     picks: list[tuple[int, int, int, int, list]] = []
     for t in range(k):
         U = _uncovered(U0, picks, r2)
-        u_arr = U.groupBy("g").agg(F.collect_list(F.struct("point", "weight")).alias("ys"))
-        bw = F.aggregate(
-            "ys", F.lit(0).cast("bigint"),
-            lambda acc, y: acc + F.when(euclidean(F.col("point"), y["point"]) <= r1, y["weight"])
-                                  .otherwise(F.lit(0).cast("bigint")))
-        rows = (cands.join(F.broadcast(u_arr), "g")
-                .select("g", "idx", "point_id", "point", bw.alias("bw"))
-                .filter(F.col("bw") > 0).groupBy("g")
+        weights = (_ball_weights_numpy(cands, U, r0, coef1) if engine == "numpy"
+                   else _ball_weights_jvm(cands, U, r1))
+        rows = (weights.filter(F.col("bw") > 0).groupBy("g")
                 .agg(F.max_by(F.struct("idx", "point_id", "point"),
                               F.struct(F.col("bw"), -F.col("idx"))).alias("c"))
                 .collect())  # ≤ last - first + 1 rows
@@ -268,7 +332,8 @@ def _cover_rounds(P: DataFrame, k: int, first: int, last: int, r1: Column, r2: C
 
 
 def greedy_cover(P: DataFrame, k: int, r: float, alpha: int = 0,
-                 dim_hint: int = 64, max_points: int = MAX_SOLVER_POINTS):
+                 dim_hint: int = 64, max_points: int = MAX_SOLVER_POINTS,
+                 engine: str | None = None):
     """Greedy cover at one fixed radius guess ``r``: up to k centers, picked by
     heaviest (1+2α)r ball and removing (3+4α)r balls. Returns (centers
     ``(center_no, point_id, point)``, uncovered weight)."""
@@ -284,8 +349,8 @@ def greedy_cover(P: DataFrame, k: int, r: float, alpha: int = 0,
             raise ValueError(f"{m} points exceed the solver bound {max_points}")
         check_broadcast_bound(m, point_bytes(dim_hint), "cover point set")
         with scoped_conf(spark, small_step_conf(1)):
-            picks, left = _cover_rounds(P, k, 1, 1, _guess_radius(r, 1 + 2 * alpha),
-                                        _guess_radius(r, 3 + 4 * alpha))
+            picks, left = _cover_rounds(P, k, 1, 1, r, 1 + 2 * alpha, 3 + 4 * alpha,
+                                        engine, m)
     finally:
         P.unpersist()
     centers = spark.createDataFrame(

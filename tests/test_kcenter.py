@@ -224,3 +224,23 @@ def test_solver_rejects_mixed_dimensions(spark):
                                 "point_id bigint, point array<double>, weight bigint")
     with pytest.raises(Exception):  # the distance check or the up-front check
         KC.seq_weighted_outliers(pts, 1, 0, dim_hint=3)
+
+
+@pytest.mark.parametrize("case", [SEQ_CASES[3], SEQ_CASES[1]])
+def test_sequential_fixture_numpy_engine(spark, fixture_path, case):
+    name, k, z, r0, rf, ng, centers, obj = case
+    pts = read_points(spark, fixture_path(name))
+    sol = KC.seq_weighted_outliers(pts, k, z, alpha=0, dim_hint=2, engine="numpy")
+    assert (sol.initial_guess, sol.n_guesses) == (pytest.approx(r0, abs=TOL), ng)
+    assert sol.final_guess == pytest.approx(rf, abs=TOL)
+    assert _ids(sol.centers) == centers
+
+
+@settings(max_examples=4, deadline=None)
+@given(point_sets, st.integers(1, 3), st.integers(0, 3))
+def test_numpy_engine_matches_bruteforce(spark, coords, k, z):
+    coords = [list(c) for c in coords]
+    sol = KC.seq_weighted_outliers(_points(spark, coords), k, z, dim_hint=2, engine="numpy")
+    want, r0, rf, ng = BF.seq_outliers(coords, [1] * len(coords), k, z, 0)
+    assert [r.point_id for r in sol.centers.orderBy("center_no").collect()] == want
+    assert (sol.initial_guess, sol.final_guess, sol.n_guesses) == (r0, rf, ng)
