@@ -2,7 +2,7 @@
 
 Points are dealt to L partitions by ``part_id = pmod(point_id, L)`` (deterministic,
 balanced when ids are dense). Partition sizes are counted first. Partitions of
-at most ``MAX_GROUP_POINTS`` points are traversed inside one task each
+at most ``MAX_GROUP_BYTES`` of points are traversed inside one task each
 (grouped map, NumPy). Beyond that bound — large inputs or skewed ids — no
 partition is loaded into one task; the traversal runs as ``n_centers``
 distributed passes over the (persisted) points:
@@ -99,9 +99,14 @@ def _traverse_steps(pts: DataFrame, n_centers: int) -> dict[int, list]:
     return chosen
 
 
-# Partitions up to this many points are traversed inside one task (their size
-# is counted first); larger ones use the distributed passes above.
-MAX_GROUP_POINTS = 250_000
+# Partitions whose points take up to this much memory are traversed inside one
+# task (their size is counted first); larger ones use the distributed passes.
+MAX_GROUP_BYTES = 256 * 1024 * 1024
+
+
+def group_point_bound(dim: int) -> int:
+    """Largest partition (in points of dimension ``dim``) traversed in one task."""
+    return MAX_GROUP_BYTES // point_bytes(max(1, int(dim)))
 
 CORESET_SCHEMA = "part_id int, step int, point_id bigint, point array<double>, weight bigint"
 
@@ -164,7 +169,7 @@ def _largest_partition(points: DataFrame, parts: int) -> int:
 
 
 def fft_coreset(points: DataFrame, n_centers: int, parts: int,
-                dim_hint: int = 64, max_group_points: int = MAX_GROUP_POINTS) -> DataFrame:
+                dim_hint: int = 64, max_group_points: int | None = None) -> DataFrame:
     """Weighted coreset ``(part_id, step, point_id, point, weight)``: per partition
     up to ``n_centers`` traversal centers, each weighted by the (weight of the)
     partition points whose nearest center it is (earliest step on ties).
@@ -176,6 +181,8 @@ def fft_coreset(points: DataFrame, n_centers: int, parts: int,
     if parts < 1:
         raise ValueError("number of partitions must be >= 1")
     check_broadcast_bound(parts * n_centers, point_bytes(dim_hint), "coreset")
+    if max_group_points is None:
+        max_group_points = group_point_bound(dim_hint)
     if _largest_partition(points, parts) <= max_group_points:
         return cut_lineage(_grouped_coreset(points, n_centers, parts))
     return distributed_coreset(points, n_centers, parts, dim_hint)
@@ -197,8 +204,10 @@ def distributed_coreset(points: DataFrame, n_centers: int, parts: int,
 
 
 def fft_centers(points: DataFrame, n_centers: int, parts: int = 1,
-                dim_hint: int = 64, max_group_points: int = MAX_GROUP_POINTS) -> DataFrame:
+                dim_hint: int = 64, max_group_points: int | None = None) -> DataFrame:
     """Traversal centers only: ``(part_id, step, point_id, point)``."""
+    if max_group_points is None:
+        max_group_points = group_point_bound(dim_hint)
     if n_centers >= 1 and parts >= 1 and _largest_partition(points, parts) <= max_group_points:
         core = fft_coreset(points, n_centers, parts, dim_hint, max_group_points)
         return core.select("part_id", "step", "point_id", "point")
