@@ -96,3 +96,24 @@ def seq_outliers(P, W, k, z, alpha):
 def objective(P, centers, z):
     ds = sorted((min(dist(p, c) for c in centers) for p in P), reverse=True)
     return ds[z]
+
+
+def cover(P, W, k, r, alpha):
+    """Greedy cover at one fixed radius: (center indices, uncovered weight)."""
+    n = len(P)
+    uncovered = [True] * n
+    wz = sum(W)
+    S = []
+    while len(S) < k and wz > 0:
+        best, best_w = None, 0
+        for i in range(n):
+            bw = sum(W[j] for j in range(n)
+                     if uncovered[j] and dist(P[i], P[j]) <= (1 + 2 * alpha) * r)
+            if bw > best_w:
+                best, best_w = i, bw
+        S.append(best)
+        for j in range(n):
+            if uncovered[j] and dist(P[best], P[j]) <= (3 + 4 * alpha) * r:
+                uncovered[j] = False
+                wz -= W[j]
+    return S, wz

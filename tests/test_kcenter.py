@@ -244,3 +244,38 @@ def test_numpy_engine_matches_bruteforce(spark, coords, k, z):
     want, r0, rf, ng = BF.seq_outliers(coords, [1] * len(coords), k, z, 0)
     assert [r.point_id for r in sol.centers.orderBy("center_no").collect()] == want
     assert (sol.initial_guess, sol.final_guess, sol.n_guesses) == (r0, rf, ng)
+
+
+def _solver_input(spark, coords, weights):
+    return spark.createDataFrame(
+        [(i, i, [float(x) for x in c], w) for i, (c, w) in enumerate(zip(coords, weights))],
+        "idx bigint, point_id bigint, point array<double>, weight bigint")
+
+
+@settings(max_examples=4, deadline=None)
+@given(point_sets, st.integers(1, 3), st.sampled_from([0.5, 1.0, 2.5]), st.sampled_from([0, 2]))
+def test_greedy_cover_matches_bruteforce(spark, coords, k, r, alpha):
+    coords = [list(c) for c in coords]
+    weights = [1 + (i % 3) for i in range(len(coords))]
+    centers, left = KC.greedy_cover(_solver_input(spark, coords, weights), k, r, alpha, dim_hint=2)
+    want, want_left = BF.cover(coords, weights, k, r, alpha)
+    assert [row.point_id for row in centers.orderBy("center_no").collect()] == want
+    assert left == want_left
+
+
+def test_ball_operators_match_bruteforce(spark):
+    rnd = random.Random(3)
+    coords = [[rnd.randint(0, 6) / 2, rnd.randint(0, 6) / 2] for _ in range(25)]
+    weights = [1 + (i % 4) for i in range(25)]
+    P = _solver_input(spark, coords, weights)
+    r = 1.0
+    bw = {row.idx: row.ball_weight for row in KC.ball_weights(P, P, r).collect()}
+    want = {i: sum(weights[j] for j in range(25) if BF.dist(coords[i], coords[j]) <= r)
+            for i in range(25)}
+    assert bw == want
+    best = max(range(25), key=lambda i: (want[i], -i))
+    hb = KC.heaviest_ball(KC.ball_weights(P, P, r)).first()
+    assert (hb.idx, hb.ball_weight) == (best, want[best])
+    left = KC.ball_removal(P, P.filter(f"idx = {best}").select("point"), 3 * r)
+    assert sorted(row.idx for row in left.collect()) == \
+        [j for j in range(25) if BF.dist(coords[best], coords[j]) > 3 * r]
