@@ -7,16 +7,19 @@ at most ``MAX_GROUP_BYTES`` of points are traversed inside one task each
 partition is loaded into one task; the traversal runs as ``n_centers``
 distributed passes over the (persisted) points:
 
-* the centers chosen so far — at most L·n_centers points, a bound fixed by the
-  parameters and checked — travel with the tasks as one constant
+* each point carries a state (``mind``, ``near``): distance to, and step of,
+  the nearest chosen center of its partition, folded in and checkpointed
+  every ``refresh_every`` steps;
+* the centers chosen since the last refresh (≤ refresh_every per partition,
+  bounded and checked) travel with the tasks as one constant
   ``map<part_id, array<struct<step, point_id, point>>>``;
-* a pass computes, for every point, its distance to the nearest center of its
-  partition (a JVM higher-order-function scan of ``cs``) and picks per
-  partition the point with the largest such distance (lowest point_id on
-  ties) with a partial + final aggregate that emits one row per partition.
+* a pass folds those into the state on the fly (a JVM higher-order-function
+  scan) and picks per partition the point with the largest distance (lowest
+  point_id on ties) with a partial + final aggregate that emits one row per
+  partition.
 
-Nothing is written per step and the plan of every pass has the same size (no
-lineage growth); a lost executor only re-reads its own input split. A
+The plan of every pass has bounded size (no lineage growth past a refresh);
+a lost executor recomputes from the last checkpointed state. A
 partition whose points are all at distance 0 from its centers stops (no
 duplicate centers). A last pass assigns every point to its nearest center
 (earliest step on ties), which gives the coreset weights.
@@ -56,47 +59,84 @@ def _centers_value(chosen: dict[int, list]):
     return F.from_json(F.lit(payload), f"map<string,{_CENTER_T}>")
 
 
-def _with_nearest(pts: DataFrame, centers) -> DataFrame:
-    """Adds ``near = struct(dist, step)``: nearest chosen center of the point's
-    partition, earliest step on ties."""
-    cs = F.element_at(centers, F.col("part_id").cast("string"))
-    near = F.array_min(F.transform(
+def _fold(state: DataFrame, recent: dict[int, list]) -> DataFrame:
+    """Fold the centers chosen since the state was last materialised into the
+    state columns ``mind`` (distance to the nearest chosen center of the
+    point's partition) and ``near`` (its step). Earlier steps win ties: the
+    state holds older centers and is replaced only on a strictly smaller
+    distance; among the recent ones ``array_min`` of (dist, step) does the same."""
+    if not recent:
+        return state
+    cs = F.element_at(_centers_value(recent), F.col("part_id").cast("string"))
+    nr = F.array_min(F.transform(
         cs, lambda c: F.struct(plain_distance(F.col("point"), c["point"]).alias("dist"),
                                c["step"].alias("step"))))
-    return pts.withColumn("near", same_dimension(F.col("point"), cs, near))
-
-
-def traverse(points: DataFrame, n_centers: int, parts: int,
-             dim_hint: int = 64) -> tuple[DataFrame, dict[int, list]]:
-    """Run the traversal. Returns (persisted prepared points, chosen centers as
-    ``{part_id: [(step, point_id, point), ...]}``). Caller unpersists."""
+    nr = same_dimension(F.col("point"), cs, nr)
+    closer = nr.isNotNull() & (nr["dist"] < F.col("mind"))
+    return state.select(
+        "part_id", "point_id", "point", "weight",
+        F.when(closer, nr["dist"]).otherwise(F.col("mind")).alias("mind"),
+        F.when(closer, nr["step"]).otherwise(F.col("near")).alias("near"))
+
+
+def traverse(points: DataFrame, n_centers: int, parts: int, dim_hint: int = 64,
+             refresh_every: int = 8) -> tuple[DataFrame, dict[int, list]]:
+    """Run the traversal. Returns (final state — points with ``mind``/``near``
+    over all chosen centers, persisted — and the chosen centers as
+    ``{part_id: [(step, point_id, point), ...]}``). Caller unpersists.
+
+    Every ``refresh_every`` steps the state is folded and cut into the
+    checkpoint folder; in between, a pass scans only the centers chosen since
+    (≤ refresh_every per partition), so the distance work is about
+    n·n_centers·refresh_every/2 instead of n·n_centers²/2."""
     if n_centers < 1:
         raise ValueError("number of centers must be >= 1")
     if parts < 1:
         raise ValueError("number of partitions must be >= 1")
     check_broadcast_bound(parts * n_centers, point_bytes(dim_hint), "traversal centers")
-    pts = spread(_prepare(points, parts)).persist(StorageLevel.MEMORY_AND_DISK)
+    state = (spread(_prepare(points, parts))
+             .withColumn("mind", F.lit(float("inf")))
+             .withColumn("near", F.lit(None).cast("int"))
+             .persist(StorageLevel.MEMORY_AND_DISK))
     with scoped_conf(points.sparkSession, small_step_conf(parts)):
-        chosen = _traverse_steps(pts, n_centers)
-    return pts, chosen
+        state, chosen = _traverse_steps(state, n_centers, max(1, int(refresh_every)))
+    return state, chosen
 
 
-def _traverse_steps(pts: DataFrame, n_centers: int) -> dict[int, list]:
-    first = (pts.groupBy("part_id")
+def _traverse_steps(state: DataFrame, n_centers: int, refresh_every: int):
+    first = (state.groupBy("part_id")
              .agg(F.min(F.struct("point_id", "point")).alias("c")).collect())
     chosen = {r["part_id"]: [(0, r["c"]["point_id"], list(r["c"]["point"]))] for r in first}
+    recent = {pid: list(cs) for pid, cs in chosen.items()}
+    n_recent = 1
     for step in range(1, n_centers):
-        picks = (_with_nearest(pts, _centers_value(chosen))
-                 .filter(F.col("near.dist") > 0)
+        picks = (_fold(state, recent)
+                 .filter(F.col("mind") > 0)
                  .groupBy("part_id")
                  .agg(F.max_by(F.struct("point_id", "point"),
-                               F.struct(F.col("near.dist"), -F.col("point_id"))).alias("c"))
+                               F.struct(F.col("mind"), -F.col("point_id"))).alias("c"))
                  .collect())  # ≤ parts rows
         if not picks:
             break
         for r in picks:
-            chosen[r["part_id"]].append((step, r["c"]["point_id"], list(r["c"]["point"])))
-    return chosen
+            c = (step, r["c"]["point_id"], list(r["c"]["point"]))
+            chosen[r["part_id"]].append(c)
+            recent.setdefault(r["part_id"], []).append(c)
+        n_recent += 1
+        if n_recent >= refresh_every:
+            state, recent, n_recent = _refresh(state, recent), {}, 0
+    return _refresh(state, recent), chosen
+
+
+def _refresh(state: DataFrame, recent: dict[int, list]) -> DataFrame:
+    """Materialise the folded state in the checkpoint folder (cuts lineage,
+    survives executor loss) and keep it cached for the next passes."""
+    if not recent:
+        return state
+    new = cut_lineage(_fold(state, recent)).persist(StorageLevel.MEMORY_AND_DISK)
+    new.count()
+    state.unpersist()
+    return new
 
 
 # Partitions whose points take up to this much memory are traversed inside one
@@ -189,11 +229,10 @@ def fft_coreset(points: DataFrame, n_centers: int, parts: int,
 
 
 def distributed_coreset(points: DataFrame, n_centers: int, parts: int,
-                        dim_hint: int = 64) -> DataFrame:
+                        dim_hint: int = 64, refresh_every: int = 8) -> DataFrame:
     """The coreset by distributed passes (any partition size)."""
-    pts, chosen = traverse(points, n_centers, parts, dim_hint)
-    weights = (_with_nearest(pts, _centers_value(chosen))
-               .groupBy("part_id", F.col("near.step").alias("step"))
+    pts, chosen = traverse(points, n_centers, parts, dim_hint, refresh_every)
+    weights = (pts.groupBy("part_id", F.col("near").alias("step"))
                .agg(F.sum("weight").cast("bigint").alias("weight")))
     flat = _centers_frame(points.sparkSession, chosen)
     coreset = cut_lineage(flat.join(weights, ["part_id", "step"], "left").select(

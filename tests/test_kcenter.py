@@ -279,3 +279,15 @@ def test_ball_operators_match_bruteforce(spark):
     left = KC.ball_removal(P, P.filter(f"idx = {best}").select("point"), 3 * r)
     assert sorted(row.idx for row in left.collect()) == \
         [j for j in range(25) if BF.dist(coords[best], coords[j]) > 3 * r]
+
+
+@settings(max_examples=4, deadline=None)
+@given(point_sets, st.integers(3, 9), st.integers(1, 3), st.integers(1, 3))
+def test_distributed_refresh_matches_grouped(spark, coords, k, L, refresh):
+    from pointlake.operators.fft import distributed_coreset
+    pts = _points(spark, [list(c) for c in coords])
+    a = sorted(map(tuple, fft_coreset(pts, k, L, dim_hint=2)
+                   .select("part_id", "step", "point_id", "weight").collect()))
+    b = sorted(map(tuple, distributed_coreset(pts, k, L, dim_hint=2, refresh_every=refresh)
+                   .select("part_id", "step", "point_id", "weight").collect()))
+    assert a == b
