@@ -294,3 +294,13 @@ def q_event_kcenter_report(spark, sf):
 def q_event_kcenter_outliers(spark, sf):
     mr = _mr_events(spark, sf, with_objective=False)
     return G.kcenter_outliers(pev(spark, sf), mr.solution.centers, EZ, EK)
+
+
+@register("coreset_points_passes", O.with_ctes(_PT2 + _CORE2,
+                                               f"SELECT part_id, step, point_id, weight FROM {_CORE2_NAME}"))
+def q_coreset_points_passes(spark, sf):
+    """The same coreset through the distributed-pass traversal (the path taken
+    when partitions exceed the one-task bound), so the driver checks it too."""
+    from ..operators.fft import distributed_coreset
+    return distributed_coreset(pt2(spark, sf), K + Z + 1, L, dim_hint=2).select(
+        "part_id", "step", "point_id", "weight")
