@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..operators import baskets as B
 from ..operators import wordcount as W
 from ..sources.text import lines_of_documents
-from ..sources.transactions import TXN_SQL, transactions_from_tables
+from ..sources.transactions import TXN_SQL, parse_transactions, transactions_from_tables
 from .session import read_table, spread
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -133,6 +133,22 @@ def q_top_products_country(spark, sf):
         B.product_popularity(B.product_customer_pairs(txn(spark, sf), COUNTRY)), TOP_H_COUNTRY)
 
 
+@register("txn_text_pair_count",
+          _TXN + f"SELECT count(*) AS n_pairs FROM (SELECT DISTINCT product_id, customer_id "
+                 f"FROM ({_PURCHASES_ALL}))")
+def q_txn_text_pair_count(spark, sf):
+    """The text transaction source on whole tables: every transaction rendered
+    as an 8-field line (Spark-derived), parsed back with the parse-order and
+    failure rules, then the distinct purchase pairs counted."""
+    t = txn(spark, sf)
+    lines = t.select(F.concat_ws(
+        ",", F.col("transaction_id").cast("string"), F.col("product_id").cast("string"),
+        F.lit("ITEM"), F.col("quantity").cast("string"), F.lit("2010-12-01 08:26:00"),
+        F.lit("1.0"), F.col("customer_id").cast("string"), F.col("country")).alias("value"))
+    parsed = parse_transactions(lines, on_error="fail")
+    return B.pair_count(B.product_customer_pairs(parsed, on_error="fail"))
+
+
 # ---------------------------------------------------------------- word count
 
 def doc_lines(spark: SparkSession, sf: str) -> DataFrame:
