@@ -81,3 +81,27 @@ def test_negative_h_rejected(spark):
     pop = spark.createDataFrame([("a", 1)], "product_id string, popularity bigint")
     with pytest.raises(ValueError):
         B.top_products(pop, -1)
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_rows = st.lists(st.tuples(st.sampled_from(["P1", "P2", "P3", "P4"]), st.integers(-3, 5),
+                           st.integers(1, 6), st.sampled_from(["A", "B", "C"])),
+                 min_size=1, max_size=40)
+
+
+@settings(max_examples=5, deadline=None)
+@given(_rows, st.sampled_from(["all", "A", "C"]))
+def test_pair_and_popularity_plans_agree(spark, rows, country):
+    txn = spark.createDataFrame(
+        [(f"T{i}", p, q, c, ctry) for i, (p, q, c, ctry) in enumerate(rows)],
+        "transaction_id string, product_id string, quantity int, customer_id int, country string")
+    want = {(p, c) for (p, q, c, ctry) in rows if q > 0 and (country == "all" or ctry == country)}
+    pairs = {tuple(r) for r in B.product_customer_pairs(txn, country).collect()}
+    salted = {tuple(r) for r in B.product_customer_pairs_salted(txn, country, buckets=3).collect()}
+    assert pairs == salted == want
+    pop1 = {r.product_id: r.popularity for r in B.product_popularity(
+        B.product_customer_pairs(txn, country)).collect()}
+    pop2 = {r.product_id: r.popularity for r in B.product_popularity_distinct(txn, country).collect()}
+    assert pop1 == pop2 == {p: sum(1 for (pp, _) in want if pp == p) for p in {p for p, _ in want}}

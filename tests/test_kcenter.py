@@ -291,3 +291,31 @@ def test_distributed_refresh_matches_grouped(spark, coords, k, L, refresh):
     b = sorted(map(tuple, distributed_coreset(pts, k, L, dim_hint=2, refresh_every=refresh)
                    .select("part_id", "step", "point_id", "weight").collect()))
     assert a == b
+
+
+@settings(max_examples=4, deadline=None)
+@given(point_sets, st.integers(1, 3), st.integers(0, 3))
+def test_solution_invariants(spark, coords, k, z):
+    coords = [list(c) for c in coords]
+    pts = _points(spark, coords)
+    sol = KC.seq_weighted_outliers(pts, k, z, dim_hint=2)
+    centers = [coords[r.point_id] for r in sol.centers.collect()]
+    assert 1 <= len(centers) <= k
+    # uncovered weight at the final guess is at most z (unit weights, alpha = 0)
+    uncovered = sum(1 for p in coords if min(BF.dist(p, c) for c in centers) > 3 * sol.final_guess)
+    assert uncovered <= z
+    if z < len(coords):
+        obj = G.kcenter_objective(pts, sol.centers, z, k).first()[0]
+        assert obj <= 3 * sol.final_guess or obj == 0.0
+
+
+@settings(max_examples=4, deadline=None)
+@given(point_sets, st.integers(2, 8))
+def test_traversal_distances_non_increasing(spark, coords, k):
+    coords = [list(c) for c in coords]
+    order = [r.point_id for r in fft_centers(_points(spark, coords), k, 1, dim_hint=2)
+             .orderBy("step").collect()]
+    gaps = [min(BF.dist(coords[order[s]], coords[order[t]]) for t in range(s))
+            for s in range(1, len(order))]
+    assert all(a >= b for a, b in zip(gaps, gaps[1:]))
+    assert all(g > 0 for g in gaps)
