@@ -304,3 +304,20 @@ def q_coreset_points_passes(spark, sf):
     from ..operators.fft import distributed_coreset
     return distributed_coreset(pt2(spark, sf), K + Z + 1, L, dim_hint=2).select(
         "part_id", "step", "point_id", "weight")
+
+
+@register("points_text_source", O.with_ctes(_PT2, (
+    "SELECT point_id, CAST(len(point) AS INTEGER) AS dim, "
+    "list_reduce(point, lambda _a, _b: _a + _b) AS coord_sum FROM pt2")))
+def q_points_text_source(spark, sf):
+    """The text point parser on whole tables: every customer point rendered as
+    a comma-separated line (odd ids with a trailing comma, which the parser
+    forgives) and parsed back."""
+    from ..sources.points import parse_point
+    p = pt2(spark, sf)
+    text = F.concat_ws(",", F.transform("point", lambda x: x.cast("string")))
+    line = F.when(F.pmod(F.col("point_id"), F.lit(2)) == 1, F.concat(text, F.lit(","))) \
+            .otherwise(text)
+    parsed = p.select("point_id", parse_point(line).alias("point"))
+    return parsed.select("point_id", F.size("point").alias("dim"),
+                         F.aggregate("point", F.lit(0.0), lambda a, b: a + b).alias("coord_sum"))
