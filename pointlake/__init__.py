@@ -6,6 +6,8 @@ PySpark DataFrame operators.
     result = mr_kcenter_outliers(read_points(spark, "points.txt"), k=10, z=100, parts=16)
 """
 
+from types import ModuleType as _ModuleType
+
 from .functions.distance import euclidean, min_distance, nearest
 from .functions.text import java_space_split, split_lines, utf16_length
 from .operators.baskets import (
@@ -50,4 +52,5 @@ from .sources.points import points_from_array, points_from_columns, read_points
 from .sources.text import lines_of_documents, read_lines
 from .sources.transactions import parse_transactions, read_transactions, transactions_from_tables
 
-__all__ = [name for name in dir() if not name.startswith("_")]
+__all__ = [name for name, value in dict(globals()).items()
+           if not name.startswith("_") and not isinstance(value, _ModuleType)]
