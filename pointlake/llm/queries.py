@@ -1,12 +1,14 @@
 """Registry of this subpackage's queries and their DuckDB SQL."""
 
-from . import blob_ledger, decontam, mixing, url_templates
+from . import blob_ledger, decontam, mixing, superminhash, toxicity, url_templates
 
 QUERIES = {
     "op3_source_mix": mixing.op3,
     "op6_containment_search": decontam.op6,
+    "op7_toxicity": toxicity.op7,
     "op8_blob_ledger": blob_ledger.op8,
     "op9_path_templates": url_templates.op9,
+    "op10_superminhash": superminhash.op10,
 }
 
 ORACLE = {
