@@ -1,9 +1,10 @@
 """Registry of this subpackage's queries and their DuckDB SQL."""
 
-from . import blob_ledger, decontam, mixing, superminhash, toxicity, url_templates
+from . import blob_ledger, decontam, lattice, mixing, superminhash, toxicity, url_templates
 
 QUERIES = {
     "op3_source_mix": mixing.op3,
+    "op5_lattice_neardup": lattice.op5,
     "op6_containment_search": decontam.op6,
     "op7_toxicity": toxicity.op7,
     "op8_blob_ledger": blob_ledger.op8,
