@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,8 +20,8 @@ BLANKS = " \t\n\x0b\x0c\r"
 #: A relation is broadcast only when its measured size is below this many bytes.
 BROADCAST_BYTES = 32 << 20
 
-__all__ = ["BLANKS", "BROADCAST_BYTES", "ascii_lower", "broadcast_if_small", "read_table", "shared_folder",
-           "store", "word_count", "words"]
+__all__ = ["BLANKS", "BROADCAST_BYTES", "ascii_lower", "broadcast_if_small", "open_store", "read_table",
+           "shared_folder", "store", "word_count", "words", "writing"]
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -54,3 +58,23 @@ def words(c: Column) -> Column:
 
 def word_count(c: Column) -> Column:
     return F.size(words(c)).cast("long")
+
+
+def open_store(uri: str) -> tuple[pafs.FileSystem, str]:
+    """(file system, path) of a folder or file below the shared folder, in any
+    store that Arrow opens (file, hdfs, s3, gs). Called inside tasks."""
+    if "://" not in uri:
+        return pafs.LocalFileSystem(), uri.removeprefix("file:")
+    return pafs.FileSystem.from_uri(uri)
+
+
+@contextmanager
+def writing(uri: str) -> Iterator[pa.NativeFile]:
+    """Write ``uri`` under a name of this attempt, then move it: a file appears whole or not
+    at all, and an attempt that is run again replaces it by the same bytes."""
+    fs, path = open_store(uri)
+    fs.create_dir(path.rpartition("/")[0], recursive=True)
+    temp = f"{path}.{uuid.uuid4().hex}.tmp"
+    with fs.open_output_stream(temp) as out:
+        yield out
+    fs.move(temp, path)

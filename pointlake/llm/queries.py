@@ -1,8 +1,9 @@
 """Registry of this subpackage's queries and their DuckDB SQL."""
 
-from . import blob_ledger, decontam, lattice, mixing, superminhash, toxicity, url_templates
+from . import blob_ledger, decontam, lattice, mixing, superminhash, token_planes, toxicity, url_templates
 
 QUERIES = {
+    "op1_bitplane_tokens": token_planes.op1,
     "op3_source_mix": mixing.op3,
     "op5_lattice_neardup": lattice.op5,
     "op6_containment_search": decontam.op6,
