@@ -1,10 +1,11 @@
 """Registry of this subpackage's queries and their DuckDB SQL."""
 
-from . import blob_ledger, decontam, lattice, mixing, superminhash, token_planes, toxicity, url_templates
+from . import blob_ledger, decontam, lattice, mixing, superminhash, token_planes, toxicity, url_templates, warc
 
 QUERIES = {
     "op1_bitplane_tokens": token_planes.op1,
     "op3_source_mix": mixing.op3,
+    "op4_warc_normalise": warc.op4,
     "op5_lattice_neardup": lattice.op5,
     "op6_containment_search": decontam.op6,
     "op7_toxicity": toxicity.op7,
@@ -15,6 +16,7 @@ QUERIES = {
 
 ORACLE = {
     "op3_source_mix": mixing.OP3_SQL,
+    "op4_warc_normalise": warc.OP4_SQL,
     "op6_containment_search": decontam.OP6_SQL,
     "op8_blob_ledger": blob_ledger.OP8_SQL,
     "op9_path_templates": url_templates.OP9_SQL,
