@@ -1,8 +1,76 @@
-"""The training-data pipeline."""
+"""The training-data pipeline: what a corpus goes through before training.
 
-STAGES = []
+Each stage takes (spark, docs, sf_dir), works on all rows its predecessor
+kept, and returns a DataFrame; ``run`` writes each stage's rows as Parquet into the
+shared folder and reads them again as the next stage's docs. All but
+the last return the columns of ``documents``.
+
+Stages 1 to 4 decide on rows: toxic documents go, one document of each near-duplicate
+group stays (the one with the smallest id), documents that contain a benchmark item go, and the rest is repeated or
+left out as the mix of sources asks. The last writes the token files and
+returns their documents (doc_id, start, n_tokens, ids_crc32): a document that the mix holds twice is there twice.
+
+Edge cases: a null id is a row like any other; an empty table passes through every stage as an empty table;
+rows that repeat an id and a text are near duplicates of each other: the decision is on the
+id, so all rows of a kept id stay, as a mix that repeats documents needs.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from pointlake.llm import decontam, mixing, superminhash, token_planes, toxicity
+from pointlake.llm.common import read_table, store
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, fitted on the labelled ones among them, does not reject."""
+    return toxicity.without_toxic(docs, toxicity.fit(docs, read_table(spark, sf_dir, "labels")))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group stays."""
+    gone = superminhash.near_duplicates(docs).filter("not kept").select("doc_id").distinct()
+    return _without(docs, store(gone, "pipeline-copies"))
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain no benchmark item."""
+    found = decontam.contaminated(docs, read_table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
+    return _without(docs, store(found, "pipeline-contaminated"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix of sources holds it."""
+    return mixing.mixed_documents(docs)
+
+
+def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token files of the mix, read back: doc_id, start, n_tokens, ids_crc32."""
+    return token_planes.tokenised(docs).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose id is not in ``gone``."""
+    d, g = docs.alias("d"), gone.alias("g")
+    return d.join(g, F.col("d.doc_id").eqNullSafe(F.col("g.doc_id")), "left_anti")
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
+    ("source_mix", mix_sources),
+    ("token_files", write_tokens),
+]
+
+#: The classifier of the first stage and the tokeniser of the last have no SQL form.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = store(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return docs

@@ -1,9 +1,10 @@
 """Registry of this subpackage's queries and their DuckDB SQL."""
 
-from . import blob_ledger, decontam, lattice, mixing, superminhash, token_planes, toxicity, url_templates, warc
+from . import blob_ledger, decontam, html_wrappers, lattice, mixing, superminhash, token_planes, toxicity, url_templates, warc
 
 QUERIES = {
     "op1_bitplane_tokens": token_planes.op1,
+    "op2_wrapper_text": html_wrappers.op2,
     "op3_source_mix": mixing.op3,
     "op4_warc_normalise": warc.op4,
     "op5_lattice_neardup": lattice.op5,

@@ -27,6 +27,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import read_table
 
@@ -228,7 +229,7 @@ def _scorer(model: Model | None) -> Callable:
         for batch in batches:
             for lo in range(0, len(batch), 1000):
                 part = batch.slice(lo, 1000)
-                s = [score_text(t, model, scores, normal) if model else 0.0 for t in part.column(-1 + part.num_columns).to_pylist()]
+                s = [score_text(t, model, scores, normal) if model else 0.0 for t in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(s, pa.float64())], names=[*part.schema.names, "toxic_score"])
 
     return run
@@ -246,7 +247,7 @@ def without_toxic(docs: DataFrame, model: Model | None, threshold: float = 0.5)
     text = F.col("text")
     own = [c for c in docs.columns if c != "text"]
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("own"), text)
-    kinds = f"own {dict(rows.dtypes)['own']}, text string, toxic_score double"
+    kinds = T.StructType([*rows.schema.fields, T.StructField("toxic_score", T.DoubleType())])
     kept = rows.mapInArrow(_scorer(model), kinds).filter(F.col("toxic_score") < threshold)
     return kept.select(*[text if c == "text" else F.col(f"own.`{c}`") for c in docs.columns])
 
