@@ -20,7 +20,7 @@ from .operators.baskets import (
     purchases,
     top_products,
 )
-from .operators.fft import distributed_coreset, fft_centers, fft_coreset
+from .operators.fft import fft_centers, fft_coreset
 from .operators.geometry import (
     cluster_sizes,
     kcenter_objective,

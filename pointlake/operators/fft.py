@@ -1,261 +1,270 @@
 """Farthest-first traversal per partition and the weighted coreset (Round 1).
 
 Points are dealt to L partitions by ``part_id = pmod(point_id, L)`` (deterministic,
-balanced when ids are dense). Partition sizes are counted first. Partitions of
-at most ``MAX_GROUP_BYTES`` of points are traversed inside one task each
-(grouped map, NumPy). Beyond that bound — large inputs or skewed ids — no
-partition is loaded into one task; the traversal runs as ``n_centers``
-distributed passes over the (persisted) points:
-
-* each point carries a state (``mind``, ``near``): distance to, and step of,
-  the nearest chosen center of its partition, folded in and checkpointed
-  every ``refresh_every`` steps;
-* the centers chosen since the last refresh (≤ refresh_every per partition,
-  bounded and checked) travel with the tasks as one constant
-  ``map<part_id, array<struct<step, point_id, point>>>``;
-* a pass folds those into the state on the fly (a JVM higher-order-function
-  scan) and picks per partition the point with the largest distance (lowest
-  point_id on ties) with a partial + final aggregate that emits one row per
-  partition.
-
-The plan of every pass has bounded size (no lineage growth past a refresh);
-a lost executor recomputes from the last checkpointed state. A
-partition whose points are all at distance 0 from its centers stops (no
-duplicate centers). A last pass assigns every point to its nearest center
-(earliest step on ties), which gives the coreset weights.
+balanced when ids are dense). L is a parameter of the method only: tasks
+follow the input's own partitioning, and one task holds points of all parts.
+
+Every point carries a state: ``mind`` (distance to the nearest chosen center of
+its part) and ``near`` (that center's step). A pass does two things in NumPy,
+batch by batch:
+
+* fold the centers chosen by the last pass into the state, one distance per
+  point and new center;
+* emit, per (part, salt), the ``CANDIDATES`` points with the largest distance.
+
+The candidates of all tasks are reduced to the same number per (part, salt)
+and reach the driver: at most ``parts * SALTS * CANDIDATES`` rows. The driver
+goes on choosing centers among them as long as the next one is provably the
+farthest point of its part, i.e. its distance exceeds that of every point left
+out. So one pass yields several centers; it always yields at least one per
+part, and the centers are exactly those of the step-by-step traversal (largest
+distance, lowest point_id on ties). A part whose points are all at distance 0
+from its centers stops.
+
+The state of a pass is cached and replaces the one before; every
+``STORE_EVERY`` passes it is written to the checkpoint folder (and the written
+state before it is deleted), so a lost executor repeats a few folds at most.
 """
 
 from __future__ import annotations
 
-import json
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.distance import plain_distance, same_dimension
 from ..plans.limits import check_broadcast_bound, point_bytes
-from ..plans.session import cut_lineage, scoped_conf, small_step_conf, spread
-
-
-def _prepare(points: DataFrame, parts: int) -> DataFrame:
-    w = F.col("weight") if "weight" in points.columns else F.lit(1)
-    return points.select(
-        F.pmod(F.col("point_id"), F.lit(parts)).cast("int").alias("part_id"),
-        F.col("point_id").cast("bigint").alias("point_id"),
-        F.col("point"),
-        w.cast("bigint").alias("weight"))
-
-
-_CENTER_T = "array<struct<step:int,point_id:bigint,point:array<double>>>"
-
-
-def _centers_value(chosen: dict[int, list]):
-    """The chosen centers as one constant ``map<part_id, array<struct<step,
-    point_id, point>>>`` (a JSON literal that the optimizer folds once); its
-    size is bounded by L·n_centers points and checked by the caller."""
-    payload = json.dumps({str(pid): [{"step": s, "point_id": i, "point": p} for (s, i, p) in cs]
-                          for pid, cs in chosen.items()})
-    return F.from_json(F.lit(payload), f"map<string,{_CENTER_T}>")
-
-
-def _fold(state: DataFrame, recent: dict[int, list]) -> DataFrame:
-    """Fold the centers chosen since the state was last materialised into the
-    state columns ``mind`` (distance to the nearest chosen center of the
-    point's partition) and ``near`` (its step). Earlier steps win ties: the
-    state holds older centers and is replaced only on a strictly smaller
-    distance; among the recent ones ``array_min`` of (dist, step) does the same."""
-    if not recent:
-        return state
-    cs = F.element_at(_centers_value(recent), F.col("part_id").cast("string"))
-    nr = F.array_min(F.transform(
-        cs, lambda c: F.struct(plain_distance(F.col("point"), c["point"]).alias("dist"),
-                               c["step"].alias("step"))))
-    nr = same_dimension(F.col("point"), cs, nr)
-    closer = nr.isNotNull() & (nr["dist"] < F.col("mind"))
-    return state.select(
-        "part_id", "point_id", "point", "weight",
-        F.when(closer, nr["dist"]).otherwise(F.col("mind")).alias("mind"),
-        F.when(closer, nr["step"]).otherwise(F.col("near")).alias("near"))
-
-
-def traverse(points: DataFrame, n_centers: int, parts: int, dim_hint: int = 64,
-             refresh_every: int = 8) -> tuple[DataFrame, dict[int, list]]:
-    """Run the traversal. Returns (final state — points with ``mind``/``near``
-    over all chosen centers, persisted — and the chosen centers as
-    ``{part_id: [(step, point_id, point), ...]}``). Caller unpersists.
-
-    Every ``refresh_every`` steps the state is folded and cut into the
-    checkpoint folder; in between, a pass scans only the centers chosen since
-    (≤ refresh_every per partition), so the distance work is about
-    n·n_centers·refresh_every/2 instead of n·n_centers²/2."""
-    if n_centers < 1:
-        raise ValueError("number of centers must be >= 1")
-    if parts < 1:
-        raise ValueError("number of partitions must be >= 1")
-    check_broadcast_bound(parts * n_centers, point_bytes(dim_hint), "traversal centers")
-    state = (spread(_prepare(points, parts))
-             .withColumn("mind", F.lit(float("inf")))
-             .withColumn("near", F.lit(None).cast("int"))
-             .persist(StorageLevel.MEMORY_AND_DISK))
-    with scoped_conf(points.sparkSession, small_step_conf(parts)):
-        state, chosen = _traverse_steps(state, n_centers, max(1, int(refresh_every)))
-    return state, chosen
-
-
-def _traverse_steps(state: DataFrame, n_centers: int, refresh_every: int):
-    first = (state.groupBy("part_id")
-             .agg(F.min(F.struct("point_id", "point")).alias("c")).collect())
-    chosen = {r["part_id"]: [(0, r["c"]["point_id"], list(r["c"]["point"]))] for r in first}
-    recent = {pid: list(cs) for pid, cs in chosen.items()}
-    n_recent = 1
-    for step in range(1, n_centers):
-        picks = (_fold(state, recent)
-                 .filter(F.col("mind") > 0)
-                 .groupBy("part_id")
-                 .agg(F.max_by(F.struct("point_id", "point"),
-                               F.struct(F.col("mind"), -F.col("point_id"))).alias("c"))
-                 .collect())  # ≤ parts rows
-        if not picks:
-            break
-        for r in picks:
-            c = (step, r["c"]["point_id"], list(r["c"]["point"]))
-            chosen[r["part_id"]].append(c)
-            recent.setdefault(r["part_id"], []).append(c)
-        n_recent += 1
-        if n_recent >= refresh_every:
-            state, recent, n_recent = _refresh(state, recent), {}, 0
-    return _refresh(state, recent), chosen
-
-
-def _refresh(state: DataFrame, recent: dict[int, list]) -> DataFrame:
-    """Materialise the folded state in the checkpoint folder (cuts lineage,
-    survives executor loss) and keep it cached for the next passes."""
-    if not recent:
-        return state
-    new = cut_lineage(_fold(state, recent)).persist(StorageLevel.MEMORY_AND_DISK)
-    new.count()
-    state.unpersist()
-    return new
-
-
-# Partitions whose points take up to this much memory are traversed inside one
-# task (their size is counted first); larger ones use the distributed passes.
-MAX_GROUP_BYTES = 256 * 1024 * 1024
-
-
-def group_point_bound(dim: int) -> int:
-    """Largest partition (in points of dimension ``dim``) traversed in one task."""
-    return MAX_GROUP_BYTES // point_bytes(max(1, int(dim)))
-
-CORESET_SCHEMA = "part_id int, step int, point_id bigint, point array<double>, weight bigint"
-
-
-def _group_traversal(n_centers: int):
-    """Traversal + weights of one partition in NumPy. Squared distances are
-    accumulated coordinate by coordinate from 0.0 (the order of the JVM
-    expression), so every distance is bit-identical to the distributed path."""
-    import numpy as np
-    import pandas as pd
-
-    def run(pdf: "pd.DataFrame") -> "pd.DataFrame":
-        pdf = pdf.sort_values("point_id", kind="stable")
-        ids = pdf["point_id"].to_numpy()
-        X = np.stack(pdf["point"].to_numpy()).astype(np.float64)
-        w = pdf["weight"].to_numpy()
-
-        def dist_to(c):
-            acc = np.zeros(len(X))
-            for j in range(X.shape[1]):
-                diff = X[:, j] - c[j]
-                acc += diff * diff
-            return np.sqrt(acc)
-
-        centers = [0]
-        mind = dist_to(X[0])
-        near = np.zeros(len(X), dtype=np.int64)
-        for step in range(1, n_centers):
-            best = int(np.argmax(mind))  # first index of the maximum
-            if not mind[best] > 0:
+from ..plans.session import Stored, cut_lineage
+
+CANDIDATES = 128
+SALTS = 4
+STORE_EVERY = 8
+STATE = "part_id int, point_id bigint, point array<double>, weight bigint, mind double, near int"
+FARTHEST = "part_id int, salt int, point_id bigint, point array<double>, mind double"
+
+
+def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """n x d coordinates of a list column; rows of different length fail."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    lengths = np.diff(column.offsets.to_numpy())
+    if len(lengths) == 0:
+        return np.empty((0, 0))
+    if column.null_count or (lengths != lengths[0]).any():
+        raise ValueError("points of different dimension")
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(lengths), lengths[0])
+
+
+def distances(points: np.ndarray, center: np.ndarray) -> np.ndarray:
+    """Distances to one center: squares summed left to right from 0.0, the order
+    of the JVM expression, so values are bit-identical to it."""
+    if points.shape[1] != len(center):
+        raise ValueError("points of different dimension")
+    total = np.zeros(len(points))
+    for k in range(points.shape[1]):
+        gap = points[:, k] - center[k]
+        total += gap * gap
+    return np.sqrt(total)
+
+
+@dataclass
+class Part:
+    """One part's traversal on the driver: centers so far, candidates of the last pass."""
+
+    steps: list[tuple[int, list[float]]] = field(default_factory=list)  # (point_id, point)
+    ids: np.ndarray | None = None
+    points: np.ndarray | None = None
+    mind: np.ndarray | None = None
+    bound: float = -1.0  # no point outside the candidates is farther than this
+
+    def finished(self, n_centers: int) -> bool:
+        return len(self.steps) >= n_centers or self.bound < 0 and not self.mind.max(initial=0) > 0
+
+    def advance(self, n_centers: int) -> list[tuple[int, np.ndarray]]:
+        """Choose as many centers as the candidates decide; returns (step, point)."""
+        chosen = []
+        while len(self.steps) < n_centers and self.ids is not None and len(self.ids):
+            top = self.mind.max()
+            # the first center of a pass is the farthest of all; a later one must beat the bound
+            if not top > 0 or chosen and not top > self.bound:
                 break
-            centers.append(best)
-            d = dist_to(X[best])
-            closer = d < mind
-            mind = np.where(closer, d, mind)
-            near = np.where(closer, step, near)
-        weights = np.bincount(near, weights=w, minlength=len(centers)).astype(np.int64)
-        part = int(pdf["part_id"].iloc[0])
-        return pd.DataFrame({
-            "part_id": np.full(len(centers), part, dtype=np.int32),
-            "step": np.arange(len(centers), dtype=np.int32),
-            "point_id": ids[centers].astype(np.int64),
-            "point": [X[c].tolist() for c in centers],
-            "weight": weights[: len(centers)],
-        })
+            far = np.flatnonzero(self.mind == top)
+            best = far[self.ids[far].argmin()]
+            point = self.points[best].copy()
+            chosen.append((len(self.steps), point))
+            self.steps.append((int(self.ids[best]), point.tolist()))
+            self.mind = np.minimum(self.mind, distances(self.points, point))
+        return chosen
+
+
+def _folder(new: dict[int, list[tuple[int, np.ndarray]]]) -> Callable:
+    """Folds ``new`` centers (step, point) per part into the state columns."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not len(batch):
+                continue
+            parts, points = batch.column(0).to_numpy(), matrix(batch.column(2))
+            mind, near = batch.column(4).to_numpy().copy(), batch.column(5).to_numpy().copy()
+            for part in np.unique(parts):
+                rows = np.flatnonzero(parts == part)
+                own = points[rows]
+                for step, center in new.get(int(part), ()):
+                    d = distances(own, center)
+                    closer = d < mind[rows]
+                    mind[rows[closer]], near[rows[closer]] = d[closer], step
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(mind), pa.array(near, pa.int32())],
+                                             names=batch.schema.names)
 
     return run
 
 
-def _grouped_coreset(points: DataFrame, n_centers: int, parts: int) -> DataFrame:
-    prepared = _prepare(points, parts).select(
-        "part_id", "point_id", F.col("point").cast("array<double>").alias("point"), "weight")
-    return prepared.groupBy("part_id").applyInPandas(_group_traversal(n_centers), CORESET_SCHEMA)
-
-
-def _largest_partition(points: DataFrame, parts: int) -> int:
-    sizes = (points.groupBy(F.pmod(F.col("point_id"), F.lit(parts)).alias("p"))
-             .count().agg(F.max("count")).first()[0])
-    return int(sizes or 0)
-
-
-def fft_coreset(points: DataFrame, n_centers: int, parts: int,
-                dim_hint: int = 64, max_group_points: int | None = None) -> DataFrame:
-    """Weighted coreset ``(part_id, step, point_id, point, weight)``: per partition
-    up to ``n_centers`` traversal centers, each weighted by the (weight of the)
-    partition points whose nearest center it is (earliest step on ties).
-
-    Partitions are counted first (L rows); if none exceeds ``max_group_points``
-    each is traversed inside one task, else the distributed passes run."""
+def _farthest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per (part, salt) of this task: the CANDIDATES farthest points (lower id first on ties)."""
+    best: dict[tuple[int, int], tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+    for batch in batches:
+        if not len(batch):
+            continue
+        parts, ids = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        points, mind = matrix(batch.column(2)), batch.column(3).to_numpy()
+        salts = (ids // 7919) % SALTS
+        key = parts.astype(np.int64) * SALTS + salts
+        for k in np.unique(key[mind > 0]):
+            rows = np.flatnonzero((key == k) & (mind > 0))
+            at = (int(k // SALTS), int(k % SALTS))
+            i, p, m = ids[rows], points[rows], mind[rows]
+            if at in best:
+                i, p, m = (np.concatenate(x) for x in zip(best[at], (i, p, m), strict=True))
+            order = np.lexsort((i, -m))[:CANDIDATES]
+            best[at] = (i[order], p[order], m[order])
+    for (part, salt), (i, p, m) in best.items():
+        n = len(i)
+        flat = pa.array(p.reshape(-1))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(n, part, np.int32)), pa.array(np.full(n, salt, np.int32)), pa.array(i),
+             pa.ListArray.from_arrays(np.arange(n + 1, dtype=np.int32) * p.shape[1], flat), pa.array(m)],
+            names=["part_id", "salt", "point_id", "point", "mind"])
+
+
+def _candidates(state: DataFrame, parts: dict[int, Part]) -> None:
+    """One pass over the state: fills the parts' candidates and bounds."""
+    local = state.select("part_id", "point_id", "point", "mind").mapInArrow(_farthest, FARTHEST)
+    order = Window.partitionBy("part_id", "salt").orderBy(F.desc("mind"), "point_id")
+    top = local.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= CANDIDATES).drop("place")
+    table = top.toArrow()  # at most parts * SALTS * CANDIDATES rows
+    for part in parts.values():
+        part.ids, part.mind, part.bound = None, np.empty(0), -1.0
+    if not table.num_rows:
+        return
+    part_ids, salts = table["part_id"].to_numpy(), table["salt"].to_numpy()
+    ids, points, mind = table["point_id"].to_numpy(), matrix(table["point"]), table["mind"].to_numpy()
+    for p in np.unique(part_ids):
+        rows = part_ids == p
+        part = parts.setdefault(int(p), Part())
+        part.ids, part.points, part.mind = ids[rows], points[rows], mind[rows].copy()
+        for s in np.unique(salts[rows]):
+            own = mind[rows & (salts == s)]
+            if len(own) == CANDIDATES:  # points may have been left out, none farther than the last
+                part.bound = max(part.bound, own.min())
+
+
+def _check(n_centers: int, parts: int) -> None:
     if n_centers < 1:
         raise ValueError("number of centers must be >= 1")
     if parts < 1:
         raise ValueError("number of partitions must be >= 1")
-    check_broadcast_bound(parts * n_centers, point_bytes(dim_hint), "coreset")
-    if max_group_points is None:
-        max_group_points = group_point_bound(dim_hint)
-    if _largest_partition(points, parts) <= max_group_points:
-        return cut_lineage(_grouped_coreset(points, n_centers, parts))
-    return distributed_coreset(points, n_centers, parts, dim_hint)
-
-
-def distributed_coreset(points: DataFrame, n_centers: int, parts: int,
-                        dim_hint: int = 64, refresh_every: int = 8) -> DataFrame:
-    """The coreset by distributed passes (any partition size)."""
-    pts, chosen = traverse(points, n_centers, parts, dim_hint, refresh_every)
-    weights = (pts.groupBy("part_id", F.col("near").alias("step"))
-               .agg(F.sum("weight").cast("bigint").alias("weight")))
-    flat = _centers_frame(points.sparkSession, chosen)
-    coreset = cut_lineage(flat.join(weights, ["part_id", "step"], "left").select(
-        "part_id", "step", "point_id", "point",
-        F.coalesce("weight", F.lit(0).cast("bigint")).alias("weight")))
-    pts.unpersist()
-    return coreset
-
-
-def fft_centers(points: DataFrame, n_centers: int, parts: int = 1,
-                dim_hint: int = 64, max_group_points: int | None = None) -> DataFrame:
+
+
+def traverse(points: DataFrame, n_centers: int, parts: int) -> tuple[DataFrame, dict[int, Part], Callable[[], None]]:
+    """(state, parts, release): the state after all centers, cached; each part's
+    centers; and a call that gives the cache and the written state back."""
+    _check(n_centers, parts)
+    w = F.col("weight") if "weight" in points.columns else F.lit(1)
+    state = points.select(
+        F.pmod(F.col("point_id"), F.lit(parts)).cast("int").alias("part_id"), F.col("point_id").cast("bigint").alias("point_id"),
+        F.col("point").cast("array<double>").alias("point"), w.cast("bigint").alias("weight"),
+        F.lit(float("inf")).alias("mind"), F.lit(-1).alias("near"))
+    run = Traversal(state.persist(StorageLevel.MEMORY_AND_DISK))
+    try:
+        run.passes(n_centers, parts)
+    except BaseException:
+        run.release()
+        raise
+    return run.state, run.parts, run.release
+
+
+@dataclass
+class Traversal:
+    """The cached state of the last pass, and the one before until it is no longer needed."""
+
+    state: DataFrame
+    parts: dict[int, Part] = field(default_factory=dict)
+    stale: DataFrame | None = None
+    written: Stored | None = None
+
+    def passes(self, n_centers: int, n_parts: int) -> None:
+        n = 0
+        while True:
+            _candidates(self.state, self.parts)  # fills the cache of the state
+            if self.stale is not None:
+                self.stale.unpersist()
+            new = {p: got for p, part in self.parts.items() if (got := part.advance(n_centers))}
+            if not new:
+                return
+            if not n:
+                dim = len(next(iter(new.values()))[0][1])
+                check_broadcast_bound(n_parts * n_centers, point_bytes(dim), "traversal centers")
+            n += 1
+            self.fold(new, n % STORE_EVERY == 0)
+            if all(part.finished(n_centers) for part in self.parts.values()):
+                self.state.count()
+                self.stale.unpersist()
+                return
+
+    def fold(self, new: dict[int, list[tuple[int, np.ndarray]]], write: bool) -> None:
+        state, before = self.state.mapInArrow(_folder(new), STATE), None
+        if write:
+            before, self.written = self.written, Stored.write(state, "traversal")
+            state = self.written.df
+        self.stale, self.state = self.state, state.persist(StorageLevel.MEMORY_AND_DISK)
+        if before:
+            self.state.count()  # from here on nothing reads the written state before this one
+            self.stale.unpersist()
+            before.delete()
+
+    def release(self) -> None:
+        for df in (self.state, self.stale):
+            if df is not None:
+                df.unpersist()
+        if self.written:
+            self.written.delete()
+
+
+def fft_coreset(points: DataFrame, n_centers: int, parts: int) -> DataFrame:
+    """Weighted coreset ``(part_id, step, point_id, point, weight)``: per part up
+    to ``n_centers`` traversal centers, each weighted by the (weight of the)
+    part's points whose nearest center it is (earliest step on ties)."""
+    state, chosen, release = traverse(points, n_centers, parts)
+    try:
+        weights = state.groupBy("part_id", F.col("near").alias("step")).agg(F.sum("weight").cast("bigint").alias("weight"))
+        centers = _centers_frame(points.sparkSession, chosen)
+        return cut_lineage(centers.join(weights, ["part_id", "step"], "left").select(
+            "part_id", "step", "point_id", "point", F.coalesce("weight", F.lit(0)).cast("bigint").alias("weight")))
+    finally:
+        release()
+
+
+def fft_centers(points: DataFrame, n_centers: int, parts: int = 1) -> DataFrame:
     """Traversal centers only: ``(part_id, step, point_id, point)``."""
-    if max_group_points is None:
-        max_group_points = group_point_bound(dim_hint)
-    if n_centers >= 1 and parts >= 1 and _largest_partition(points, parts) <= max_group_points:
-        core = fft_coreset(points, n_centers, parts, dim_hint, max_group_points)
-        return core.select("part_id", "step", "point_id", "point")
-    pts, chosen = traverse(points, n_centers, parts, dim_hint)
-    pts.unpersist()
+    _, chosen, release = traverse(points, n_centers, parts)
+    release()
     return _centers_frame(points.sparkSession, chosen)
 
 
-def _centers_frame(spark, chosen: dict[int, list]) -> DataFrame:
-    rows = [(pid, s, i, p) for pid, cs in sorted(chosen.items()) for (s, i, p) in cs]
-    return spark.createDataFrame(
-        rows, "part_id int, step int, point_id bigint, point array<double>")
+def _centers_frame(spark, chosen: dict[int, Part]) -> DataFrame:
+    rows = [(p, s, i, x) for p, part in sorted(chosen.items()) for s, (i, x) in enumerate(part.steps)]
+    return spark.createDataFrame(rows, "part_id int, step int, point_id bigint, point array<double>")

@@ -12,19 +12,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.distance import min_distance, nearest
-from ..plans.limits import check_broadcast_bound, point_bytes
+from ..plans.limits import MAX_BROADCAST_BYTES
 
 
-def centers_value(centers: DataFrame, max_centers: int, dim_hint: int = 64) -> Column:
+def centers_value(centers: DataFrame, max_centers: int) -> Column:
     """The center set as one ``array<struct<center_no, point>>`` value, sorted by
-    ``center_no``. ``max_centers`` is the proven bound (k) that is checked."""
-    check_broadcast_bound(max_centers, point_bytes(dim_hint), "center set")
+    ``center_no``. ``max_centers`` is the proven bound (k); it and the size of the
+    points as they are get checked when the value is made."""
     arr = F.sort_array(F.collect_list(
         F.struct(F.col("center_no").cast("bigint").alias("center_no"),
                  F.col("point").alias("point"))))
-    guarded = F.when(F.size(arr) > F.lit(max_centers),
-                     F.raise_error(F.lit(f"center set larger than its bound {max_centers}"))) \
-               .otherwise(arr)
+    size = F.sum(F.lit(8) * F.size("point") + F.lit(64))  # bytes of a (id, point) row
+    guarded = (F.when(F.size(arr) > F.lit(max_centers),
+                      F.raise_error(F.lit(f"center set larger than its bound {max_centers}")))
+               .when(size > F.lit(MAX_BROADCAST_BYTES), F.raise_error(F.lit("center set over the broadcast budget")))
+               .otherwise(arr))
     return centers.select(guarded.alias("c")).scalar()
 
 

@@ -8,39 +8,47 @@ while fewer than k centers and uncovered weight > 0, pick the point x of P
 point within (3+4α)r of x covered. A guess succeeds when the uncovered weight
 is ≤ z; the sequential algorithm doubles r from r0 until one does.
 
-Here the guesses r0·2^(g-1), g = 1..G, run together in chunks (smallest
-first), so a chunk takes k Spark rounds instead of k × (its guesses); the
-answer is the smallest feasible g, which is exactly what the doubling loop
-returns (doubling is exact in floating point). G is chosen so that the last guess covers everything with one
-ball: (3+4α)·r0·2^(G-1) ≥ 2·max_x d(x, first point) ≥ diameter.
-
-The solver is for bounded inputs — a coreset, whose size is fixed by k, z and
-L. Its state (uncovered points per guess, at most G·m rows) is small; the
-uncovered sets are shipped to the tasks as arrays (size-checked) and every ball
-weight is a JVM higher-order-function scan over them. No pair relation is built.
-Whole datasets go through :func:`mr_kcenter_outliers`, whose work on the full
-input is linear (traversal passes, weights, objective).
+The guesses r0·2^(g-1) run together in chunks (smallest first); the answer is
+the smallest feasible one, which is what the doubling loop returns (doubling is
+exact in floating point). The last guess of the ladder covers everything with
+one ball: (3+4α)·r0·2^(G-1) ≥ 2·max_x d(x, first point) ≥ diameter.
+
+Ball weights compare every point with every uncovered one, so P is cut into
+blocks of at most ``BLOCK`` points and the blocks into a grid, built once and
+cached: a candidate block followed by all member blocks. A round is one job
+without a shuffle: a task streams the member blocks past a candidate block in
+NumPy, works out from the centers chosen so far which members are uncovered,
+and returns the best candidate per guess; the driver sees one row per candidate
+block and guess. A pair's distance is computed once per round for all guesses.
+The work of a round is quadratic in P by the method; P is meant to be a
+coreset, whose size L·(k+z+1) the parameters fix, and whole datasets go through
+:func:`mr_kcenter_outliers`, which is linear in them.
 """
 
 from __future__ import annotations
 
 import json
 import math
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.distance import euclidean
 from ..plans.limits import check_broadcast_bound, point_bytes
-from ..plans.session import scoped_conf, small_step_conf, spread
-from .fft import fft_coreset
+from .fft import distances, fft_coreset, matrix
 from .geometry import kcenter_objective
 
-# Largest point set the greedy solver accepts (its work is G·m² per round).
-MAX_SOLVER_POINTS = 50_000
+#: Points of a grid block, and cells of a distance matrix computed at once.
+BLOCK = 2_048
+CELLS = 1_000_000
 
 
 @dataclass
@@ -52,68 +60,206 @@ class KCenterSolution:
     n_guesses: int
 
 
-def _guess_radius(r0: float, coef: int) -> Column:
-    """coef · r0 · 2^(g-1) for the guess column ``g`` — the same double as
-    doubling r0 (g-1) times and multiplying by the integer coefficient."""
-    r = F.lit(float(r0)) * F.pow(F.lit(2.0), (F.col("g") - 1).cast("double"))
-    return F.lit(float(coef)) * r
+def _solver_input(P: DataFrame) -> DataFrame:
+    return P.select(F.col("idx").cast("bigint").alias("idx"), F.col("point_id").cast("bigint").alias("point_id"),
+                    F.col("point").cast("array<double>").alias("point"), F.col("weight").cast("bigint").alias("weight"))
 
 
-def _ladder(first: int, last: int) -> Column:
-    return F.explode(F.sequence(F.lit(int(first)), F.lit(int(last)))).alias("g")
+# ---------------------------------------------------------------- block grid
+
+def _packed(P: DataFrame, blocks: int) -> DataFrame:
+    """One row per block: its points as arrays, by idx."""
+    block = F.pmod(F.xxhash64("idx"), F.lit(blocks)).cast("int")
+    rows = P.groupBy(block.alias("block")).agg(F.sort_array(F.collect_list(F.struct("idx", "point_id", "weight", "point"))).alias("p"))
+    return rows.select("block", *[F.col(f"p.{c}").alias(c) for c in ("idx", "point_id", "weight", "point")])
+
+
+@contextmanager
+def block_grid(candidates: DataFrame, members: DataFrame, n: int | None = None):
+    """Cached rows (cand, member, idx, point_id, weight, point): per candidate
+    block the block itself (member -1), then every member block. ``n``: points
+    of either side, where they are counted already."""
+    n_cand, n_mem = (max(1, -(-(x.count() if n is None else n) // BLOCK)) for x in (candidates, members))
+    cand = _packed(candidates, n_cand).select(F.col("block").alias("cand"), F.lit(-1).alias("member"), "idx", "point_id", "weight", "point")
+    mem = _packed(members, n_mem).select(F.explode(F.sequence(F.lit(0), F.lit(n_cand - 1))).alias("cand"), F.col("block").alias("member"),
+                                         "idx", "point_id", "weight", "point")
+    grid = cand.unionAll(mem).repartition("cand").sortWithinPartitions("cand", "member").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield grid
+    finally:
+        grid.unpersist()
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]):
+    """(is candidate block, idx, point_id, weight, points) of every grid row in order."""
+    for batch in batches:
+        for i in range(len(batch)):
+            idx, ids, weight = (batch.column(c)[i].values.to_numpy() for c in (2, 3, 4))
+            yield batch.column(1)[i].as_py() < 0, idx, ids, weight, matrix(batch.column(5)[i].values)
+
+
+def _near(x: np.ndarray, y: np.ndarray) -> Iterator[tuple[slice, np.ndarray]]:
+    """Distance matrices of slices of ``x`` against all of ``y``."""
+    if x.shape[1] != y.shape[1]:
+        raise ValueError("points of different dimension")
+    step = max(1, CELLS // max(1, len(y)))
+    for lo in range(0, len(x), step):
+        at = slice(lo, min(len(x), lo + step))
+        total = np.zeros((at.stop - lo, len(y)))
+        for k in range(x.shape[1]):
+            gap = x[at, k, None] - y[None, :, k]
+            total += gap * gap
+        yield at, np.sqrt(total)
+
+
+@dataclass
+class Round:
+    """What a task needs: per guess the ball radius, the cover radius and the centers so far."""
+
+    ball: list[float]
+    cover: list[float]
+    centers: list[list[np.ndarray]]
+
+    def uncovered(self, points: np.ndarray) -> np.ndarray:
+        """guesses x points."""
+        out = np.ones((len(self.ball), len(points)), bool)
+        for g, chosen in enumerate(self.centers):
+            for c in chosen:
+                out[g] &= ~(distances(points, c) <= self.cover[g])
+        return out
+
+    def sums(self, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """(idx, point_id, points, guesses x candidates ball weights) per candidate block."""
+        held = None
+        for first, idx, ids, weight, points in _blocks(batches):
+            if first:
+                if held:
+                    yield held
+                held = (idx, ids, points, np.zeros((len(self.ball), len(idx)), np.int64))
+                continue
+            w = np.where(self.uncovered(points), weight, 0).astype(float)  # sums of integers below 2**53 are exact
+            for at, d in _near(held[2], points):
+                for g, r in enumerate(self.ball):
+                    held[3][g, at] += ((d <= r).astype(float) @ w[g]).astype(np.int64)
+        if held:
+            yield held
+
+
+def _best(round_: Round) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = []
+        for idx, ids, points, weights in round_.sums(batches):
+            for g, own in enumerate(weights):
+                top = own.max(initial=0)
+                if top > 0:
+                    i = np.flatnonzero(own == top)
+                    i = i[idx[i].argmin()]
+                    rows.append((g, int(top), int(idx[i]), int(ids[i]), points[i].tolist()))
+        cols = list(zip(*rows, strict=True)) if rows else [()] * 5
+        kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.float64())]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["g", "bw", "idx", "point_id", "point"])
+
+    return run
+
+
+def _left(round_: Round) -> Callable:
+    """Uncovered weight per guess; members count at the first candidate block only."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(round_.ball), np.int64)
+        for first, _, _, weight, points in _blocks(b.filter(pc.equal(b.column(0), 0)) for b in batches):
+            if not first:
+                total += round_.uncovered(points) @ weight
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total), dtype=np.int32)), pa.array(total)], names=["g", "w"])
+
+    return run
+
+
+def _cover_rounds(grid: DataFrame, k: int, radii: list[float], coef1: int, coef2: int):
+    """k greedy rounds for all radii at once: per radius the centers
+    ``[(idx, point_id, point)]`` and the uncovered weight."""
+    picks: list[list[tuple[int, int, list[float]]]] = [[] for _ in radii]
+    done = Round([coef1 * r for r in radii], [coef2 * r for r in radii], [[] for _ in radii])
+    for _ in range(k):
+        best: dict[int, tuple] = {}
+        found = grid.mapInArrow(_best(done), "g int, bw bigint, idx bigint, point_id bigint, point array<double>")
+        for r in found.collect():  # a row per candidate block and guess
+            if r.g not in best or (r.bw, -r.idx) > (best[r.g].bw, -best[r.g].idx):
+                best[r.g] = r
+        if not best:
+            break
+        for g, r in best.items():
+            picks[g].append((r.idx, r.point_id, list(r.point)))
+            done.centers[g].append(np.array(r.point))
+    left = np.zeros(len(radii), np.int64)
+    for r in grid.mapInArrow(_left(done), "g int, w bigint").collect():
+        left[r.g] += r.w
+    return picks, left.tolist()
+
+
+# ---------------------------------------------------------------- operators
+
+def _least_positive(grid: DataFrame) -> float | None:
+    """Smallest positive distance of two points of the grid."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        low, held = math.inf, None
+        for first, _, _, _, points in _blocks(batches):
+            if first:
+                held = points
+                continue
+            for _, d in _near(held, points):
+                low = min(low, d[d > 0].min(initial=math.inf))
+        yield pa.RecordBatch.from_arrays([pa.array([low])], names=["d"])
+
+    low = min((r.d for r in grid.mapInArrow(run, "d double").collect()), default=math.inf)
+    return None if math.isinf(low) else low
 
 
 def initial_guess(P: DataFrame, k: int, z: int) -> dict:
-    """Guess statistics: ``head_min`` = smallest positive distance among the
-    first k+z+1 points (by ``idx``), ``reach`` = largest distance from the first
-    point, ``n_points``, ``total_weight``.
+    """Guess statistics: ``r0`` = half the smallest positive distance among the
+    first k+z+1 points by ``idx`` (else among all; 0 if all coincide; infinity
+    for a single point), ``reach`` = largest distance from the first point,
+    ``n_points``, ``total_weight``.
 
-    The head (≤ k+z+1 points, a parameter bound) is taken with a top-k and
-    travels back to the tasks as one constant; everything else is a single
-    aggregate over P."""
+    The head (≤ k+z+1 points, a parameter bound) travels to the tasks as one
+    constant; everything else is a single aggregate over P."""
     head = P.orderBy("idx").limit(k + z + 1).select("idx", "point").collect()
     if not head:
-        return {"head_min": None, "reach": None, "n_points": 0, "total_weight": 0,
-                "dim_min": None, "dim_max": None}
+        return {"r0": None, "reach": None, "n_points": 0, "total_weight": 0, "dim_min": None, "dim_max": None}
     check_broadcast_bound(len(head), point_bytes(len(head[0]["point"])), "head of the order")
     last = head[-1]["idx"]
-    head_val = F.from_json(F.lit(json.dumps([list(r["point"]) for r in head])),
-                           "array<array<double>>")
-    pos_min = F.array_min(F.filter(
-        F.transform(head_val, lambda y: euclidean(F.col("point"), y)), lambda d: d > 0))
-    first_point = F.element_at(head_val, 1)
+    head_val = F.from_json(F.lit(json.dumps([list(r["point"]) for r in head])), "array<array<double>>")
+    pos_min = F.array_min(F.filter(F.transform(head_val, lambda y: euclidean(F.col("point"), y)), lambda d: d > 0))
     row = P.agg(
         F.min(F.when(F.col("idx") <= F.lit(last), pos_min)).alias("head_min"),
-        F.max(euclidean(F.col("point"), first_point)).alias("reach"),
-        F.count(F.lit(1)).alias("n_points"),
-        F.sum("weight").cast("bigint").alias("total_weight"),
-        F.min(F.size("point")).alias("dim_min"),
-        F.max(F.size("point")).alias("dim_max")).first()
-    return row.asDict()
-
-
-def _positive_min_all(P: DataFrame) -> float | None:
-    all_val = P.select(F.collect_list(F.struct("point")).alias("a")).scalar()
-    m = P.withColumn("_a", all_val).select(F.array_min(F.filter(
-        F.transform("_a", lambda y: euclidean(F.col("point"), y["point"])),
-        lambda d: d > 0)).alias("m")).agg(F.min("m")).first()[0]
-    return m
+        F.max(euclidean(F.col("point"), F.element_at(head_val, 1))).alias("reach"),
+        F.count(F.lit(1)).alias("n_points"), F.sum("weight").cast("bigint").alias("total_weight"),
+        F.min(F.size("point")).alias("dim_min"), F.max(F.size("point")).alias("dim_max")).first().asDict()
+    low = row.pop("head_min")
+    if row["dim_min"] != row["dim_max"]:
+        raise ValueError("points of different dimension")
+    if row["n_points"] == 1:
+        row["r0"] = math.inf
+    elif low is None and row["reach"] > 0:
+        with block_grid(P, P, row["n_points"]) as grid:
+            row["r0"] = _least_positive(grid) / 2
+    else:
+        row["r0"] = 0.0 if low is None else low / 2
+    return row
 
 
-def ball_weights(P: DataFrame, uncovered: DataFrame, radius: float,
-                 max_points: int = MAX_SOLVER_POINTS, dim_hint: int = 64) -> DataFrame:
+def ball_weights(P: DataFrame, uncovered: DataFrame, radius: float) -> DataFrame:
     """(idx, point_id, ball_weight): for every x in P, the weight of the
     ``uncovered`` points within ``radius`` of x (one guess, one round)."""
-    n = uncovered.count()
-    if n > max_points:
-        raise ValueError(f"uncovered set of {n} points exceeds the bound {max_points}")
-    check_broadcast_bound(n, point_bytes(dim_hint), "uncovered set")
-    u_val = uncovered.select(F.collect_list(F.struct("point", "weight")).alias("u")).scalar()
-    bw = F.aggregate(
-        "_u", F.lit(0).cast("bigint"),
-        lambda acc, y: acc + F.when(euclidean(F.col("point"), y["point"]) <= F.lit(float(radius)),
-                                    y["weight"]).otherwise(F.lit(0).cast("bigint")))
-    return P.withColumn("_u", u_val).select("idx", "point_id", bw.alias("ball_weight"))
+    one = Round([float(radius)], [0.0], [[]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for idx, ids, _, weights in one.sums(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(idx), pa.array(ids), pa.array(weights[0])], names=["idx", "point_id", "ball_weight"])
+
+    with block_grid(_solver_input(P), _solver_input(uncovered)) as grid:
+        return grid.mapInArrow(run, "idx bigint, point_id bigint, ball_weight bigint")
 
 
 def heaviest_ball(weights: DataFrame) -> DataFrame:
@@ -134,9 +280,7 @@ def ball_removal(uncovered: DataFrame, center: DataFrame, radius: float) -> Data
             .drop("_c"))
 
 
-def solve_weighted_outliers(P: DataFrame, k: int, z: int, alpha: int = 0,
-                            dim_hint: int = 64, max_points: int = MAX_SOLVER_POINTS,
-                            guess_chunk: int = 4, engine: str | None = None) -> KCenterSolution:
+def solve_weighted_outliers(P: DataFrame, k: int, z: int, alpha: int = 0, guess_chunk: int = 4) -> KCenterSolution:
     """Greedy weighted k-center with z outliers over ``P[idx, point_id, point, weight]``.
 
     ``idx`` orders the points (ties, "first k+z+1"). Returns ≤ k centers in
@@ -146,222 +290,63 @@ def solve_weighted_outliers(P: DataFrame, k: int, z: int, alpha: int = 0,
         raise ValueError("k must be >= 1")
     if z < 0:
         raise ValueError("z must be >= 0")
-    spark = P.sparkSession
-    P = P.select(F.col("idx").cast("bigint").alias("idx"),
-                 F.col("point_id").cast("bigint").alias("point_id"),
-                 "point", F.col("weight").cast("bigint").alias("weight"))
-    # small (bounded) but read once per round with m² work: spread over all cores
-    P = spread(P).persist(StorageLevel.MEMORY_AND_DISK)
+    P = _solver_input(P).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return _solve(P, k, z, alpha, dim_hint, max_points, max(1, int(guess_chunk)), engine)
+        stats = initial_guess(P, k, z)
+        if not stats["n_points"]:
+            raise ValueError("no points to cluster")
+        with block_grid(P, P, stats["n_points"]) as grid:
+            return _solve(grid, stats, k, z, alpha, max(1, int(guess_chunk)))
     finally:
         P.unpersist()
 
 
-def _solve(P: DataFrame, k: int, z: int, alpha: int, dim_hint: int,
-           max_points: int, guess_chunk: int, engine: str | None) -> KCenterSolution:
-    spark = P.sparkSession
-    stats = initial_guess(P, k, z)
-    m = int(stats["n_points"])
-    if m == 0:
-        raise ValueError("no points to cluster")
-    if stats["dim_min"] != stats["dim_max"]:
-        raise ValueError("points of different dimension")
-    if m > max_points:
-        raise ValueError(f"{m} points exceed the solver bound {max_points}; "
-                         "use mr_kcenter_outliers (coreset) for large inputs")
-    check_broadcast_bound(m, point_bytes(dim_hint), "solver point set")
+def _solve(grid: DataFrame, stats: dict, k: int, z: int, alpha: int, guess_chunk: int) -> KCenterSolution:
+    spark = grid.sparkSession
     coef1, coef2 = 1 + 2 * alpha, 3 + 4 * alpha
-    r_head = stats["head_min"]
-    if m == 1:
-        r0 = math.inf
-    elif r_head is not None:
-        r0 = r_head / 2
-    else:
-        r_all = _positive_min_all(P)
-        r0 = r_all / 2 if r_all is not None else 0.0
-    diam_bound = 2.0 * float(stats["reach"] or 0.0)
-    if r0 == 0.0 or math.isinf(r0) or diam_bound <= coef2 * r0:
+    r0, diameter = float(stats["r0"]), 2.0 * float(stats["reach"] or 0.0)
+    if r0 == 0.0 or math.isinf(r0) or diameter <= coef2 * r0:
         n_guesses = 1
     else:
-        n_guesses = 2 + max(0, math.ceil(math.log2(diam_bound / (coef2 * r0))))
-    check_broadcast_bound(n_guesses * m, point_bytes(dim_hint), "uncovered sets")
-
-    # Guesses run in chunks, smallest first; the first chunk holding a feasible
-    # guess ends the search (the doubling loop's answer is the smallest one).
-    g_star, picks = None, []
-    with scoped_conf(spark, small_step_conf(min(n_guesses, guess_chunk))):
-        for lo in range(1, n_guesses + 1, guess_chunk):
-            hi = min(n_guesses, lo + guess_chunk - 1)
-            picks, left = _cover_rounds(P, k, lo, hi, r0, coef1, coef2, engine, m)
-            feasible = [g for g in range(lo, hi + 1) if (left.get(g) or 0) <= z]
-            if feasible:
-                g_star = feasible[0]
-                break
-    if g_star is None:
+        n_guesses = 2 + max(0, math.ceil(math.log2(diameter / (coef2 * r0))))
+    # the first chunk with a feasible guess ends the search (the doubling loop's answer is the smallest one)
+    for lo in range(0, n_guesses, guess_chunk):
+        radii = [r0 * 2.0 ** g for g in range(lo, min(n_guesses, lo + guess_chunk))]
+        picks, left = _cover_rounds(grid, k, radii, coef1, coef2)
+        feasible = [g for g, w in enumerate(left) if w <= z]
+        if feasible:
+            break
+    else:
         raise RuntimeError("no feasible radius guess (should not happen)")
-    final_guess = r0 * 2.0 ** (g_star - 1)
-    center_rows = sorted((p for p in picks if p[0] == g_star), key=lambda p: p[1])
-    centers = spark.createDataFrame(
-        [(p[1], p[3], p[4]) for p in center_rows],
-        T.StructType([T.StructField("center_no", T.IntegerType()),
-                      T.StructField("point_id", T.LongType()),
-                      T.StructField("point", P.schema["point"].dataType)]))
+    g = feasible[0]
+    rows = [(t, pid, point) for t, (_, pid, point) in enumerate(picks[g])]
+    centers = spark.createDataFrame(rows, T.StructType([
+        T.StructField("center_no", T.IntegerType()), T.StructField("point_id", T.LongType()),
+        T.StructField("point", T.ArrayType(T.DoubleType()))]))
     report = spark.createDataFrame(
-        [(m, int(stats["total_weight"]), k, z, alpha, float(r0), float(final_guess), g_star,
-          len(center_rows))],
+        [(int(stats["n_points"]), int(stats["total_weight"]), k, z, alpha, r0, radii[g], lo + g + 1, len(rows))],
         "n_points bigint, total_weight bigint, k int, z int, alpha int, initial_guess double, "
         "final_guess double, n_guesses int, n_centers int")
-    return KCenterSolution(centers, report, float(r0), float(final_guess), g_star)
-
-
-def _centers_so_far(picks: list) -> Column:
-    """Chosen centers per guess as one constant ``map<g, array<point>>``
-    (≤ k·G points, bounded by the parameters)."""
-    by_g: dict[str, list] = {}
-    for g, _t, _idx, _pid, point in picks:
-        by_g.setdefault(str(g), []).append(point)
-    return F.from_json(F.lit(json.dumps(by_g)), "map<string,array<array<double>>>")
-
-
-def _uncovered(U0: DataFrame, picks: list, r2: Column) -> DataFrame:
-    """Points of each guess not within (3+4α)r of a center chosen for it."""
-    if not picks:
-        return U0
-    cs = F.element_at(_centers_so_far(picks), F.col("g").cast("string"))
-    covered = F.exists(F.coalesce(cs, F.array().cast("array<array<double>>")),
-                       lambda c: euclidean(c, F.col("point")) <= r2)
-    return U0.filter(~covered)
-
-
-# Rounds with more (candidate, uncovered) pairs than this compute ball weights
-# with NumPy blocks inside the tasks; smaller ones with a JVM lambda.
-NUMPY_PAIRS_PER_ROUND = 250_000
-_BLOCK_CELLS = 2_000_000  # distance-matrix cells per NumPy block (16 MB)
-_BW_SCHEMA = "g int, idx bigint, point_id bigint, point array<double>, bw bigint"
-
-
-def _ball_weights_jvm(cands: DataFrame, U: DataFrame, r1: Column) -> DataFrame:
-    u_arr = U.groupBy("g").agg(F.collect_list(F.struct("point", "weight")).alias("ys"))
-    bw = F.aggregate(
-        "ys", F.lit(0).cast("bigint"),
-        lambda acc, y: acc + F.when(euclidean(F.col("point"), y["point"]) <= r1, y["weight"])
-                              .otherwise(F.lit(0).cast("bigint")))
-    return (cands.join(F.broadcast(u_arr), "g")
-            .select("g", "idx", "point_id", "point", bw.alias("bw")))
-
-
-def _ball_weights_numpy(cands: DataFrame, U: DataFrame, r0: float, coef1: int) -> DataFrame:
-    """Ball weights in NumPy blocks. The uncovered sets (≤ guesses × m points,
-    bounded and checked by the caller) are shipped once as a broadcast
-    variable; candidates stay distributed. Squared differences are accumulated
-    coordinate by coordinate from 0.0 and the radius is the same double as on
-    the JVM, so every comparison matches the JVM path."""
-    import numpy as np
-
-    sets: dict[int, tuple[list, list]] = {}
-    for r in U.select("g", "point", "weight").collect():
-        pts, ws = sets.setdefault(r["g"], ([], []))
-        pts.append(list(r["point"]))
-        ws.append(r["weight"])
-    payload = {g: (np.asarray(pts, dtype=np.float64), np.asarray(ws, dtype=np.int64),
-                   float(coef1) * (r0 * 2.0 ** (g - 1)))
-               for g, (pts, ws) in sets.items()}
-    bc = cands.sparkSession.sparkContext.broadcast(payload)
-
-    def run(batches):
-        import numpy as np
-        import pandas as pd
-        data = bc.value
-        for pdf in batches:
-            bw = np.zeros(len(pdf), dtype=np.int64)
-            if len(pdf):
-                gs = pdf["g"].to_numpy()
-                X_all = np.stack(pdf["point"].to_numpy()).astype(np.float64)
-                for g in np.unique(gs):
-                    if int(g) not in data:
-                        continue
-                    Y, w, r1 = data[int(g)]
-                    sel = np.nonzero(gs == g)[0]
-                    X = X_all[sel]
-                    block = max(1, _BLOCK_CELLS // max(1, len(Y)))
-                    for lo in range(0, len(sel), block):
-                        xb = X[lo:lo + block]
-                        acc = np.zeros((len(xb), len(Y)))
-                        for j in range(X.shape[1]):
-                            diff = xb[:, j, None] - Y[None, :, j]
-                            acc += diff * diff
-                        inside = np.sqrt(acc) <= r1
-                        bw[sel[lo:lo + block]] = (inside * w[None, :]).sum(axis=1)
-            yield pd.DataFrame({"g": pdf["g"].astype("int32"), "idx": pdf["idx"],
-                                "point_id": pdf["point_id"], "point": pdf["point"], "bw": bw})
-
-    return cands.mapInPandas(run, _BW_SCHEMA)
-
-
-def _cover_rounds(P: DataFrame, k: int, first: int, last: int, r0: float,
-                  coef1: int, coef2: int, engine: str | None = None, m: int | None = None):
-    """k greedy rounds for all guesses ``first..last`` at once. Each round is
-    one job: the uncovered sets (recomputed from the ladder × points and the
-    centers so far, so the plan never grows) are shipped to the tasks, every
-    (guess, candidate) pair gets its ball weight, and a per-guess argmax
-    (≤ last-first+1 rows) comes back."""
-    r1 = _guess_radius(r0, coef1)
-    r2 = _guess_radius(r0, coef2)
-    if engine is None:
-        pairs = (last - first + 1) * (m or 0) ** 2
-        engine = "numpy" if pairs > NUMPY_PAIRS_PER_ROUND else "jvm"
-    cands = P.select(_ladder(first, last), "idx", "point_id", "point")
-    U0 = P.select(_ladder(first, last), "idx", "point", "weight")
-    picks: list[tuple[int, int, int, int, list]] = []
-    for t in range(k):
-        U = _uncovered(U0, picks, r2)
-        weights = (_ball_weights_numpy(cands, U, r0, coef1) if engine == "numpy"
-                   else _ball_weights_jvm(cands, U, r1))
-        rows = (weights.filter(F.col("bw") > 0).groupBy("g")
-                .agg(F.max_by(F.struct("idx", "point_id", "point"),
-                              F.struct(F.col("bw"), -F.col("idx"))).alias("c"))
-                .collect())  # ≤ last - first + 1 rows
-        if not rows:
-            break
-        for r in rows:
-            picks.append((r["g"], t, r["c"]["idx"], r["c"]["point_id"], list(r["c"]["point"])))
-    U = _uncovered(U0, picks, r2)
-    left = {r["g"]: r["w"] for r in U.groupBy("g").agg(F.sum("weight").alias("w")).collect()}
-    return picks, left
+    return KCenterSolution(centers, report, r0, radii[g], lo + g + 1)
 
 
-def greedy_cover(P: DataFrame, k: int, r: float, alpha: int = 0,
-                 dim_hint: int = 64, max_points: int = MAX_SOLVER_POINTS,
-                 engine: str | None = None):
+def greedy_cover(P: DataFrame, k: int, r: float, alpha: int = 0):
     """Greedy cover at one fixed radius guess ``r``: up to k centers, picked by
     heaviest (1+2α)r ball and removing (3+4α)r balls. Returns (centers
     ``(center_no, point_id, point)``, uncovered weight)."""
     if k < 1:
         raise ValueError("k must be >= 1")
-    spark = P.sparkSession
-    P = P.select(F.col("idx").cast("bigint").alias("idx"),
-                 F.col("point_id").cast("bigint").alias("point_id"),
-                 "point", F.col("weight").cast("bigint").alias("weight")).persist()
-    try:
-        m = P.count()
-        if m > max_points:
-            raise ValueError(f"{m} points exceed the solver bound {max_points}")
-        check_broadcast_bound(m, point_bytes(dim_hint), "cover point set")
-        with scoped_conf(spark, small_step_conf(1)):
-            picks, left = _cover_rounds(P, k, 1, 1, r, 1 + 2 * alpha, 3 + 4 * alpha,
-                                        engine, m)
-    finally:
-        P.unpersist()
-    centers = spark.createDataFrame(
-        [(t, pid, point) for (_g, t, _idx, pid, point) in picks],
+    P = _solver_input(P)
+    with block_grid(P, P) as grid:
+        picks, left = _cover_rounds(grid, k, [float(r)], 1 + 2 * alpha, 3 + 4 * alpha)
+    centers = P.sparkSession.createDataFrame(
+        [(t, pid, point) for t, (_, pid, point) in enumerate(picks[0])],
         "center_no int, point_id bigint, point array<double>")
-    return centers, int(left.get(1) or 0)
+    return centers, int(left[0])
 
 
-def seq_weighted_outliers(points: DataFrame, k: int, z: int, alpha: int = 0,
-                          **kw) -> KCenterSolution:
-    """The solver on a (bounded) point set ordered by ``point_id``."""
+def seq_weighted_outliers(points: DataFrame, k: int, z: int, alpha: int = 0, **kw) -> KCenterSolution:
+    """The solver on a point set ordered by ``point_id``."""
     P = points.select(F.col("point_id").alias("idx"), "point_id", "point",
                       (F.col("weight") if "weight" in points.columns else F.lit(1)).alias("weight"))
     return solve_weighted_outliers(P, k, z, alpha, **kw)
@@ -383,28 +368,25 @@ class MRSolution:
 
 
 def mr_kcenter_outliers(points: DataFrame, k: int, z: int, parts: int,
-                        alpha: int = 2, with_objective: bool = True,
-                        dim_hint: int = 64, max_group_points: int | None = None) -> MRSolution:
+                        alpha: int = 2, with_objective: bool = True) -> MRSolution:
     """Two rounds: weighted coreset of k+z+1 traversal centers per partition,
-    then the greedy solver (α = 2) on the union; objective over all points."""
+    then the greedy solver (α = 2) on the union; objective over all points.
+    ``points`` is cached once for both passes over it."""
     if k < 1:
         raise ValueError("k must be >= 1")
     if z < 0:
         raise ValueError("z must be >= 0")
     per_part = k + z + 1
-    check_broadcast_bound(parts * per_part, point_bytes(dim_hint), "coreset")
-    kw = {} if max_group_points is None else {"max_group_points": max_group_points}
-    coreset = fft_coreset(points, per_part, parts, dim_hint=dim_hint, **kw)
-    sol = solve_weighted_outliers(coreset_order(coreset, per_part), k, z, alpha,
-                                  dim_hint=dim_hint)
-    summary = coreset.agg(F.count(F.lit(1)).alias("n"),
-                          F.sum("weight").cast("bigint").alias("w")).first()
-    objective = None
-    if with_objective:
-        objective = kcenter_objective(points, sol.centers, z, max_centers=k).first()[0]
+    points = points.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        coreset = fft_coreset(points, per_part, parts)
+        sol = solve_weighted_outliers(coreset_order(coreset, per_part), k, z, alpha)
+        objective = kcenter_objective(points, sol.centers, z, max_centers=k).first()[0] if with_objective else None
+    finally:
+        points.unpersist()
     r = sol.report.first()
-    report = points.sparkSession.createDataFrame(
-        [(r["k"], r["z"], parts, alpha, int(summary["n"]), int(summary["w"] or 0),
+    report = coreset.sparkSession.createDataFrame(
+        [(r["k"], r["z"], parts, alpha, r["n_points"], r["total_weight"],
           r["initial_guess"], r["final_guess"], r["n_guesses"], r["n_centers"], objective)],
         "k int, z int, parts int, alpha int, coreset_points bigint, coreset_weight bigint, "
         "initial_guess double, final_guess double, n_guesses int, n_centers int, "

@@ -16,7 +16,7 @@ from ..operators import baskets as B
 from ..operators import wordcount as W
 from ..sources.text import lines_of_documents
 from ..sources.transactions import TXN_SQL, parse_transactions, transactions_from_tables
-from .session import read_table, spread
+from .session import dealt, read_table, table_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,6 +45,11 @@ def txn(spark: SparkSession, sf: str) -> DataFrame:
     return transactions_from_tables(spark, sf)
 
 
+def bought(spark: SparkSession, sf: str) -> DataFrame:
+    """Transactions for queries about purchases: returned lines are left at the scan."""
+    return transactions_from_tables(spark, sf, purchases_only=True)
+
+
 _TXN = f"WITH txn AS ({TXN_SQL})\n"
 _PURCHASES_ALL = "SELECT * FROM txn WHERE quantity > 0"
 _PURCHASES_CTRY = f"SELECT * FROM txn WHERE quantity > 0 AND country = '{COUNTRY}'"
@@ -63,26 +68,26 @@ def q_txn_row_count(spark, sf):
 @register("product_customer_pairs",
           _TXN + f"SELECT DISTINCT product_id, customer_id FROM ({_PURCHASES_ALL})")
 def q_pairs(spark, sf):
-    return B.product_customer_pairs(txn(spark, sf))
+    return B.product_customer_pairs(bought(spark, sf))
 
 
 @register("product_customer_pairs_country",
           _TXN + f"SELECT DISTINCT product_id, customer_id FROM ({_PURCHASES_CTRY})")
 def q_pairs_country(spark, sf):
-    return B.product_customer_pairs(txn(spark, sf), COUNTRY)
+    return B.product_customer_pairs(bought(spark, sf), COUNTRY)
 
 
 @register("product_customer_pairs_salted",
           _TXN + f"SELECT DISTINCT product_id, customer_id FROM ({_PURCHASES_ALL})")
 def q_pairs_salted(spark, sf):
-    return B.product_customer_pairs_salted(txn(spark, sf), buckets=SALT_BUCKETS)
+    return B.product_customer_pairs_salted(bought(spark, sf), buckets=SALT_BUCKETS)
 
 
 @register("product_customer_pair_count",
           _TXN + f"SELECT count(*) AS n_pairs FROM (SELECT DISTINCT product_id, customer_id "
                  f"FROM ({_PURCHASES_ALL}))")
 def q_pair_count(spark, sf):
-    return B.pair_count(B.product_customer_pairs(txn(spark, sf)))
+    return B.pair_count(B.product_customer_pairs(bought(spark, sf)))
 
 
 _POP_ALL = (f"SELECT product_id, count(DISTINCT customer_id) AS popularity "
@@ -93,44 +98,46 @@ _POP_CTRY = (f"SELECT product_id, count(DISTINCT customer_id) AS popularity "
 
 @register("product_popularity", _TXN + _POP_ALL)
 def q_popularity(spark, sf):
-    return B.product_popularity(B.product_customer_pairs(txn(spark, sf)))
+    return B.product_popularity(B.product_customer_pairs(bought(spark, sf)))
 
 
 @register("product_popularity_country", _TXN + _POP_CTRY)
 def q_popularity_country(spark, sf):
-    return B.product_popularity(B.product_customer_pairs(txn(spark, sf), COUNTRY))
+    return B.product_popularity(B.product_customer_pairs(bought(spark, sf), COUNTRY))
 
 
 @register("product_popularity_distinct", _TXN + _POP_ALL)
 def q_popularity_distinct(spark, sf):
-    return B.product_popularity_distinct(txn(spark, sf))
+    return B.product_popularity_distinct(bought(spark, sf))
 
 
 @register("popularity_crosscheck",
-          _TXN + f"SELECT count(*) AS n_products, CAST(0 AS BIGINT) AS n_mismatch "
-                 f"FROM ({_POP_ALL})")
+          _TXN + f"SELECT count(*) AS n_products, "
+                 "count(*) FILTER (a.popularity IS DISTINCT FROM b.popularity) AS n_mismatch "
+                 f"FROM (SELECT product_id, count(*) AS popularity FROM (SELECT DISTINCT product_id, customer_id "
+                 f"FROM ({_PURCHASES_ALL})) GROUP BY product_id) a FULL JOIN ({_POP_ALL}) b USING (product_id)")
 def q_crosscheck(spark, sf):
-    t = txn(spark, sf)
+    t = bought(spark, sf)
     return B.popularity_crosscheck(B.product_popularity(B.product_customer_pairs(t)),
                                    B.product_popularity_distinct(t))
 
 
 @register("popularity_listing", _TXN + _POP_ALL + " ORDER BY product_id")
 def q_listing(spark, sf):
-    return B.top_products(B.product_popularity(B.product_customer_pairs(txn(spark, sf))), 0)
+    return B.top_products(B.product_popularity(B.product_customer_pairs(bought(spark, sf))), 0)
 
 
 @register("top_products",
           _TXN + _POP_ALL + f" ORDER BY popularity DESC, product_id LIMIT {TOP_H}")
 def q_top_products(spark, sf):
-    return B.top_products(B.product_popularity(B.product_customer_pairs(txn(spark, sf))), TOP_H)
+    return B.top_products(B.product_popularity(B.product_customer_pairs(bought(spark, sf))), TOP_H)
 
 
 @register("top_products_country",
           _TXN + _POP_CTRY + f" ORDER BY popularity DESC, product_id LIMIT {TOP_H_COUNTRY}")
 def q_top_products_country(spark, sf):
     return B.top_products(
-        B.product_popularity(B.product_customer_pairs(txn(spark, sf), COUNTRY)), TOP_H_COUNTRY)
+        B.product_popularity(B.product_customer_pairs(bought(spark, sf), COUNTRY)), TOP_H_COUNTRY)
 
 
 @register("txn_text_pair_count",
@@ -140,7 +147,7 @@ def q_txn_text_pair_count(spark, sf):
     """The text transaction source on whole tables: every transaction rendered
     as an 8-field line (Spark-derived), parsed back with the parse-order and
     failure rules, then the distinct purchase pairs counted."""
-    t = txn(spark, sf)
+    t = transactions_from_tables(spark, sf)
     lines = t.select(F.concat_ws(
         ",", F.col("transaction_id").cast("string"), F.col("product_id").cast("string"),
         F.lit("ITEM"), F.col("quantity").cast("string"), F.lit("2010-12-01 08:26:00"),
@@ -152,8 +159,8 @@ def q_txn_text_pair_count(spark, sf):
 # ---------------------------------------------------------------- word count
 
 def doc_lines(spark: SparkSession, sf: str) -> DataFrame:
-    docs = spread(read_table(spark, sf, "documents").select("doc_id", "text"))
-    return lines_of_documents(docs)
+    docs = read_table(spark, sf, "documents").select("doc_id", "text")
+    return lines_of_documents(dealt(docs, table_path(sf, "documents")))
 
 
 _LINES = r"""
@@ -208,10 +215,10 @@ def q_distinct_word_count(spark, sf):
     return W.distinct_word_count(W.word_count(doc_lines(spark, sf)))
 
 
-@register("avg_word_length", _LINES + """
-SELECT count(*) AS distinct_words, CAST(sum(length(word)) AS BIGINT) AS total_length,
-       CAST(sum(length(word)) AS BIGINT) // count(*) AS avg_length,
-       CAST(sum(length(word)) AS BIGINT) / count(*) AS avg_length_exact
-FROM wc""")
+@register("avg_word_length", _LINES + r"""
+SELECT count(*) AS distinct_words, CAST(sum(units) AS BIGINT) AS total_length,
+       CAST(sum(units) AS BIGINT) // count(*) AS avg_length,
+       CAST(sum(units) AS BIGINT) / count(*) AS avg_length_exact
+FROM (SELECT length(word) + length(regexp_replace(word, '[\x{0}-\x{FFFF}]', '', 'g')) AS units FROM wc)""")
 def q_avg_word_length(spark, sf):
     return W.avg_word_length(W.word_count(doc_lines(spark, sf)))

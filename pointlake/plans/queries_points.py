@@ -42,11 +42,11 @@ def _centers64(spark, sf):
 
 
 def _coreset2(spark, sf):
-    return fft_coreset(pt2(spark, sf), K + Z + 1, L, dim_hint=2)
+    return fft_coreset(pt2(spark, sf), K + Z + 1, L)
 
 
 def _mr(spark, sf):
-    return KC.mr_kcenter_outliers(pt2(spark, sf), K, Z, L, alpha=2, dim_hint=2)
+    return KC.mr_kcenter_outliers(pt2(spark, sf), K, Z, L, alpha=2)
 
 
 # ---------------------------------------------------------------- oracle pieces
@@ -135,15 +135,12 @@ def _solver_input(spark, sf):
                                        f"SELECT r0 AS initial_guess FROM {_S2['r0']}"))
 def q_initial_guess(spark, sf):
     P = _solver_input(spark, sf)
-    st = KC.initial_guess(P, K, Z)
-    r0 = st["head_min"] / 2 if st["head_min"] is not None else None
-    return P.sparkSession.createDataFrame([(r0,)], "initial_guess double")
+    return P.sparkSession.createDataFrame([(KC.initial_guess(P, K, Z)["r0"],)], "initial_guess double")
 
 
 def _first_round(spark, sf, alpha=2):
-    P = _solver_input(spark, sf).persist()
-    st = KC.initial_guess(P, K, Z)
-    r0 = st["head_min"] / 2
+    P = _solver_input(spark, sf)
+    r0 = KC.initial_guess(P, K, Z)["r0"]
     bw = KC.ball_weights(P, P, (1 + 2 * alpha) * r0)
     return P, r0, bw
 
@@ -181,30 +178,28 @@ def q_kcenter_mr(spark, sf):
 @register("weighted_kcenter", O.with_ctes(_PT2 + _CORE2 + _P2 + _SOLVE0,
                                           f"SELECT center_no, point_id FROM {_S0['centers']}"))
 def q_weighted_kcenter(spark, sf):
-    sol = KC.solve_weighted_outliers(_solver_input(spark, sf), K, Z, alpha=0, dim_hint=2)
+    sol = KC.solve_weighted_outliers(_solver_input(spark, sf), K, Z, alpha=0)
     return sol.centers.select("center_no", "point_id")
 
 
 @register("weighted_kcenter_report", O.with_ctes(_PT2 + _CORE2 + _P2 + _SOLVE0,
                                                  f"SELECT * FROM {_S0['report']}"))
 def q_weighted_kcenter_report(spark, sf):
-    sol = KC.solve_weighted_outliers(_solver_input(spark, sf), K, Z, alpha=0, dim_hint=2)
+    sol = KC.solve_weighted_outliers(_solver_input(spark, sf), K, Z, alpha=0)
     return sol.report
 
 
 @register("kcenter_objective", O.with_ctes(_PT2 + _CORE2 + _P2 + _SOLVE2 + _OBJ2, (
     f"SELECT dist AS objective FROM objd ORDER BY dist DESC LIMIT 1 OFFSET {Z}")))
 def q_kcenter_objective(spark, sf):
-    mr = KC.mr_kcenter_outliers(pt2(spark, sf), K, Z, L, alpha=2, with_objective=False,
-                                dim_hint=2)
+    mr = KC.mr_kcenter_outliers(pt2(spark, sf), K, Z, L, alpha=2, with_objective=False)
     return G.kcenter_objective(pt2(spark, sf), mr.solution.centers, Z, K)
 
 
 @register("kcenter_outliers", O.with_ctes(_PT2 + _CORE2 + _P2 + _SOLVE2 + _OBJ2, (
     f"SELECT point_id, dist FROM objd ORDER BY dist DESC, point_id LIMIT {Z}")))
 def q_kcenter_outliers(spark, sf):
-    mr = KC.mr_kcenter_outliers(pt2(spark, sf), K, Z, L, alpha=2, with_objective=False,
-                                dim_hint=2)
+    mr = KC.mr_kcenter_outliers(pt2(spark, sf), K, Z, L, alpha=2, with_objective=False)
     return G.kcenter_outliers(pt2(spark, sf), mr.solution.centers, Z, K)
 
 
@@ -220,9 +215,8 @@ def q_kcenter_report(spark, sf):
 
 
 def _cover0(spark, sf):
-    P = _solver_input(spark, sf).persist()
-    st = KC.initial_guess(P, K, Z)
-    return KC.greedy_cover(P, K, st["head_min"] / 2, alpha=0, dim_hint=2)
+    P = _solver_input(spark, sf)
+    return KC.greedy_cover(P, K, KC.initial_guess(P, K, Z)["r0"], alpha=0)
 
 
 @register("greedy_cover", O.with_ctes(_PT2 + _CORE2 + _P2 + _SOLVE0, (
@@ -268,7 +262,7 @@ def pev(spark: SparkSession, sf: str) -> DataFrame:
 
 def _mr_events(spark, sf, with_objective=True):
     return KC.mr_kcenter_outliers(pev(spark, sf), EK, EZ, EL, alpha=2,
-                                  with_objective=with_objective, dim_hint=1)
+                                  with_objective=with_objective)
 
 
 @register("event_kcenter_mr", O.with_ctes(_PEV + _COREEV + _PE + _SOLVEEV,
@@ -296,13 +290,34 @@ def q_event_kcenter_outliers(spark, sf):
     return G.kcenter_outliers(pev(spark, sf), mr.solution.centers, EZ, EK)
 
 
+@register("event_coreset", O.with_ctes(_PEV + _COREEV,
+                                       f"SELECT part_id, step, point_id, weight FROM {_COREEV_NAME}"))
+def q_event_coreset(spark, sf):
+    """The traversal on the largest point table."""
+    return fft_coreset(pev(spark, sf), EK + EZ + 1, EL).select("part_id", "step", "point_id", "weight")
+
+
+# Few centers and many outliers: the first guess is far below the feasible one, so the
+# search goes past its first chunk of guesses and the solution uses all centers.
+FK, FZ, FL = 3, 60, 2
+_COREFAR, _COREFAR_NAME = O.coreset_ctes("kf", "pev", FK + FZ + 1, FL)
+_PF = [f"solver_far AS (SELECT CAST(part_id AS BIGINT) * {FK + FZ + 1} + step AS idx, point_id, "
+       f"point, weight FROM {_COREFAR_NAME})"]
+_SOLVEFAR, _SF = O.solver_ctes("sf", "solver_far", FK, FZ, 0)
+
+
+@register("event_kcenter_late_guess", O.with_ctes(_PEV + _COREFAR + _PF + _SOLVEFAR, f"SELECT * FROM {_SF['report']}"))
+def q_event_kcenter_late_guess(spark, sf):
+    core = fft_coreset(pev(spark, sf), FK + FZ + 1, FL)
+    return KC.solve_weighted_outliers(KC.coreset_order(core, FK + FZ + 1), FK, FZ, alpha=0).report
+
+
 @register("coreset_points_passes", O.with_ctes(_PT2 + _CORE2,
                                                f"SELECT part_id, step, point_id, weight FROM {_CORE2_NAME}"))
 def q_coreset_points_passes(spark, sf):
-    """The same coreset through the distributed-pass traversal (the path taken
-    when partitions exceed the one-task bound), so the driver checks it too."""
-    from ..operators.fft import distributed_coreset
-    return distributed_coreset(pt2(spark, sf), K + Z + 1, L, dim_hint=2).select(
+    """The coreset of points that are spread over more tasks than parts: candidates of
+    several tasks meet in every pass."""
+    return fft_coreset(pt2(spark, sf).repartition(3 * L, "point_id"), K + Z + 1, L).select(
         "part_id", "step", "point_id", "weight")
 
 

@@ -8,8 +8,9 @@ are already present (notably ``spark.checkpoint.dir``).
 from __future__ import annotations
 
 import os
-from contextlib import contextmanager
 import tempfile
+import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,12 +30,12 @@ LOCAL_CONF = {
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "pointlake") -> SparkSession:
+                  app: str = "pointlake", driver_memory: str = "8g") -> SparkSession:
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
     for k, v in LOCAL_CONF.items():
         builder = builder.config(k, v)
     builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    builder = builder.config("spark.driver.memory", "16g")
+    builder = builder.config("spark.driver.memory", driver_memory)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
@@ -69,17 +70,34 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Inputs with fewer splits than the cluster has cores (small files, a
-    single row group) are spread once over all cores before CPU-heavy or
-    repeated per-row work; inputs with enough splits keep their scan
-    partitioning, so no shuffle is added at scale."""
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # sessions without RDD access: keep the scan layout
-        return df
-    return df.repartition(cores) if splits < cores else df
+@dataclass
+class Stored:
+    """A table written into the checkpoint folder, deleted when it is superseded."""
+
+    df: DataFrame
+    path: str
+
+    @classmethod
+    def write(cls, df: DataFrame, name: str) -> Stored:
+        spark = df.sparkSession
+        path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return cls(spark.read.schema(df.schema).parquet(path), path)
+
+    def delete(self) -> None:
+        spark = self.df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def dealt(df: DataFrame, path: str) -> DataFrame:
+    """A table that is one single file is dealt over all cores once, before
+    per-row work; a folder of files is read as it lies, without a shuffle."""
+    spark = df.sparkSession
+    file = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if file.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(file).isFile():
+        return df.repartition(spark.sparkContext.defaultParallelism)
+    return df
 
 
 def table_path(sf_dir: str, name: str) -> str:
@@ -88,30 +106,3 @@ def table_path(sf_dir: str, name: str) -> str:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
-
-
-@contextmanager
-def scoped_conf(spark: SparkSession, conf: dict[str, str]):
-    """Apply SQL settings for the duration of a block and restore them after.
-
-    Used by the iterative operators for their per-step aggregates, whose
-    output is bounded by a parameter (≤ L or ≤ number of guesses rows): those
-    are planned with that many reduce partitions and without adaptive
-    re-planning, which would cost more than the step itself.
-    """
-    old = {k: spark.conf.get(k, None) for k in conf}
-    for k, v in conf.items():
-        spark.conf.set(k, v)
-    try:
-        yield
-    finally:
-        for k, v in old.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
-
-
-def small_step_conf(groups: int) -> dict[str, str]:
-    return {"spark.sql.adaptive.enabled": "false",
-            "spark.sql.shuffle.partitions": str(max(1, min(int(groups), 64)))}

@@ -1,119 +1,97 @@
-"""Plain-Python statements of the algorithms, used only as test oracles.
+"""Checkers of the defining properties of the k-center results, over a full
+distance matrix. Distances are summed left to right from 0.0 before the square
+root, so comparisons at radii are exact."""
 
-Distances are summed left to right from 0.0 and then square-rooted, the same
-operation order as the Spark expression, so comparisons at radii are exact.
-"""
+import numpy as np
 
-import math
+
+def distance_matrix(a, b=None):
+    a = np.asarray(a, float)
+    b = a if b is None else np.asarray(b, float)
+    total = np.zeros((len(a), len(b)))
+    for k in range(a.shape[1]):
+        total += (a[:, k, None] - b[None, :, k]) ** 2
+    return np.sqrt(total)
 
 
 def dist(a, b):
-    s = 0.0
-    for x, y in zip(a, b):
-        s += (x - y) * (x - y)
-    return math.sqrt(s)
-
-
-def fft(points, k):
-    """points: list of (id, coords) in id order. Stops when every point is at
-    distance 0 from the chosen set."""
-    centers = [0]
-    mind = [math.inf] * len(points)
-    for _ in range(1, k):
-        last = points[centers[-1]][1]
-        best, best_d = None, 0.0
-        for i, (_, p) in enumerate(points):
-            d = dist(p, last)
-            if d < mind[i]:
-                mind[i] = d
-            if mind[i] > best_d:
-                best, best_d = i, mind[i]
-        if best is None:
-            break
-        centers.append(best)
-    return centers
-
-
-def coreset(points, k, L):
-    """points: list of (id, coords); partition = id mod L, ids ascending."""
-    out = []
-    for part in range(L):
-        mine = [p for p in points if p[0] % L == part]
-        if not mine:
+    return float(distance_matrix([a], [b])[0, 0])
+
+
+def check_traversal(points, order, n_centers):
+    """``order``: positions. Starts at 0; every pick is the point farthest from the
+    earlier ones (lowest position on ties); it ends early only at distance 0."""
+    gap = distance_matrix(points)
+    assert order[0] == 0 and len(order) <= n_centers
+    for step in range(1, len(order) + 1):
+        reach = gap[:, order[:step]].min(axis=1)
+        if step < len(order):
+            assert order[step] == reach.argmax() and reach.max() > 0
+        else:
+            assert step == n_centers or reach.max() == 0
+
+
+def check_coreset(points, rows, n_centers, parts):
+    """``rows``: (part_id, step, point_id, weight) over points whose id is their position."""
+    for part in range(parts):
+        ids = np.arange(part, len(points), parts)
+        own = sorted((s, i, w) for p, s, i, w in rows if p == part)
+        if not len(ids):
+            assert not own
             continue
-        cs = fft(mine, k)
-        weights = [0] * len(cs)
-        for _, p in mine:
-            best_j, best_d = 0, dist(p, mine[cs[0]][1])
-            for j in range(1, len(cs)):
-                d = dist(p, mine[cs[j]][1])
-                if d < best_d:
-                    best_j, best_d = j, d
-            weights[best_j] += 1
-        for step, (c, w) in enumerate(zip(cs, weights)):
-            out.append((part, step, mine[c][0], mine[c][1], w))
-    return out
-
-
-def seq_outliers(P, W, k, z, alpha):
-    """Doubling loop. P: list of coords (list order = identity), W: weights.
-    Returns (center indices, initial guess, final guess, guesses)."""
-    n = len(P)
-    head = min(n, k + z + 1)
-    pos = [dist(P[i], P[j]) for i in range(head) for j in range(i + 1, head)]
-    pos = [d for d in pos if d > 0]
-    if n == 1:
-        r = math.inf
-    elif pos:
-        r = min(pos) / 2
-    else:
-        allpos = [dist(P[i], P[j]) for i in range(n) for j in range(i + 1, n)]
-        allpos = [d for d in allpos if d > 0]
-        r = min(allpos) / 2 if allpos else 0.0
-    r_init, guesses = r, 1
-    while True:
-        uncovered = [True] * n
-        wz = sum(W)
-        S = []
-        while len(S) < k and wz > 0:
-            best, best_w = None, 0
-            for i in range(n):
-                bw = sum(W[j] for j in range(n)
-                         if uncovered[j] and dist(P[i], P[j]) <= (1 + 2 * alpha) * r)
-                if bw > best_w:
-                    best, best_w = i, bw
-            S.append(best)
-            for j in range(n):
-                if uncovered[j] and dist(P[best], P[j]) <= (3 + 4 * alpha) * r:
-                    uncovered[j] = False
-                    wz -= W[j]
-        if wz <= z:
-            return S, r_init, r, guesses
-        r *= 2
-        guesses += 1
-
-
-def objective(P, centers, z):
-    ds = sorted((min(dist(p, c) for c in centers) for p in P), reverse=True)
-    return ds[z]
-
-
-def cover(P, W, k, r, alpha):
-    """Greedy cover at one fixed radius: (center indices, uncovered weight)."""
-    n = len(P)
-    uncovered = [True] * n
-    wz = sum(W)
-    S = []
-    while len(S) < k and wz > 0:
-        best, best_w = None, 0
-        for i in range(n):
-            bw = sum(W[j] for j in range(n)
-                     if uncovered[j] and dist(P[i], P[j]) <= (1 + 2 * alpha) * r)
-            if bw > best_w:
-                best, best_w = i, bw
-        S.append(best)
-        for j in range(n):
-            if uncovered[j] and dist(P[best], P[j]) <= (3 + 4 * alpha) * r:
-                uncovered[j] = False
-                wz -= W[j]
-    return S, wz
+        mine = np.asarray(points, float)[ids]
+        order = [int(np.flatnonzero(ids == i)[0]) for _, i, _ in own]
+        assert [s for s, _, _ in own] == list(range(len(own)))
+        check_traversal(mine, order, n_centers)
+        nearest = distance_matrix(mine)[:, order].argmin(axis=1)  # the earliest center on ties
+        assert [w for _, _, w in own] == np.bincount(nearest, minlength=len(order)).tolist()
+    assert {p for p, *_ in rows} <= set(range(parts))
+
+
+class Cover:
+    """The state of a greedy cover at one radius."""
+
+    def __init__(self, gap, weights, r, alpha):
+        self.ball, self.removed = gap <= (1 + 2 * alpha) * r, gap <= (3 + 4 * alpha) * r
+        self.weights, self.open = np.asarray(weights), np.ones(len(gap), bool)
+
+    def heaviest(self):
+        """Lowest position with the most uncovered weight in its ball; None if there is none."""
+        held = self.ball @ (self.weights * self.open)
+        return int(held.argmax()) if held.max() > 0 else None
+
+    def take(self, pick):
+        self.open &= ~self.removed[pick]
+
+    def left(self):
+        return int(self.weights[self.open].sum())
+
+
+def check_cover(points, weights, picks, left, k, r, alpha):
+    state = Cover(distance_matrix(points), weights, r, alpha)
+    for pick in picks:
+        assert pick == state.heaviest()
+        state.take(pick)
+    assert len(picks) == k or state.heaviest() is None
+    assert left == state.left()
+
+
+def check_solution(points, weights, picks, r0, r, guesses, k, z, alpha):
+    """The picks are the greedy cover at r, r is feasible, and no smaller guess is."""
+    gap = distance_matrix(points)
+    head = gap[:k + z + 1, :k + z + 1]
+    some = head[head > 0] if (head > 0).any() else gap[gap > 0]
+    assert r0 == (np.inf if len(points) == 1 else some.min() / 2 if len(some) else 0.0)
+    assert r == r0 * 2.0 ** (guesses - 1)
+
+    def left_at(radius):
+        state = Cover(gap, weights, radius, alpha)
+        for _ in range(k):
+            if (pick := state.heaviest()) is None:
+                break
+            state.take(pick)
+        return state.left()
+
+    check_cover(points, weights, picks, left_at(r), k, r, alpha)
+    assert left_at(r) <= z
+    assert all(left_at(r0 * 2.0 ** g) > z for g in range(guesses - 1))

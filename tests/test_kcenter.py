@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -7,6 +8,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 import bruteforce as BF
+from pointlake.operators import fft as FFT
 from pointlake.operators import geometry as G
 from pointlake.operators import kcenter as KC
 from pointlake.operators.fft import fft_centers, fft_coreset
@@ -22,9 +24,9 @@ SEQ_CASES = [
      1.562049935181331),
     ("points_16.txt", 3, 2, 0.04999999999999999, 0.7999999999999998, 5, [0, 4, 8],
      1.562049935181331),
-    ("uber_959.csv", 10, 100, 0.00011180339887711215, 0.007155417528135178, 7,
+    ("points_959.csv", 10, 100, 0.00011180339887711215, 0.007155417528135178, 7,
      [802, 912, 86, 36, 205, 58, 321, 603, 108, 489], 0.02143944961980124),
-    ("uber_959.csv", 5, 10, 0.0014999999999972147, 0.04799999999991087, 6,
+    ("points_959.csv", 5, 10, 0.0014999999999972147, 0.04799999999991087, 6,
      [333, 22, 334, 56, 119], 0.11721518672936454),
 ]
 
@@ -36,9 +38,9 @@ MR_CASES = [
      1.4212670403551895),
     ("points_16.txt", 3, 2, 4, 16, 16, 0.07071067811865465, 0.2828427124746186, 3, [1, 4, 8],
      1.4212670403551895),
-    ("uber_959.csv", 10, 100, 4, 444, 959, 0.0017499999999976978, 0.0034999999999953957, 2,
+    ("points_959.csv", 10, 100, 4, 444, 959, 0.0017499999999976978, 0.0034999999999953957, 2,
      [856, 946, 384, 460, 928, 512, 84, 836, 452, 13], 0.02500599928016877),
-    ("uber_959.csv", 5, 10, 4, 64, 959, 0.020387066978848123, 0.020387066978848123, 1,
+    ("points_959.csv", 5, 10, 4, 64, 959, 0.020387066978848123, 0.020387066978848123, 1,
      [0, 460, 23, 404, 370], 0.2054015579298256),
 ]
 
@@ -50,7 +52,7 @@ def _ids(df):
 @pytest.mark.parametrize("name,k,z,r0,rf,ng,centers,obj", SEQ_CASES)
 def test_sequential_fixture(spark, fixture_path, name, k, z, r0, rf, ng, centers, obj):
     pts = read_points(spark, fixture_path(name))
-    sol = KC.seq_weighted_outliers(pts, k, z, alpha=0, dim_hint=2)
+    sol = KC.seq_weighted_outliers(pts, k, z, alpha=0)
     assert sol.initial_guess == pytest.approx(r0, abs=TOL)
     assert sol.final_guess == pytest.approx(rf, abs=TOL)
     assert sol.n_guesses == ng
@@ -62,7 +64,7 @@ def test_sequential_fixture(spark, fixture_path, name, k, z, r0, rf, ng, centers
 @pytest.mark.parametrize("name,k,z,L,m,w,r0,rf,ng,centers,obj", MR_CASES)
 def test_two_round_fixture(spark, fixture_path, name, k, z, L, m, w, r0, rf, ng, centers, obj):
     pts = read_points(spark, fixture_path(name))
-    mr = KC.mr_kcenter_outliers(pts, k, z, L, alpha=2, dim_hint=2)
+    mr = KC.mr_kcenter_outliers(pts, k, z, L, alpha=2)
     rep = mr.report.first()
     assert (rep.coreset_points, rep.coreset_weight) == (m, w)
     assert rep.initial_guess == pytest.approx(r0, abs=TOL)
@@ -72,16 +74,22 @@ def test_two_round_fixture(spark, fixture_path, name, k, z, L, m, w, r0, rf, ng,
     assert rep.objective == pytest.approx(obj, abs=TOL)
 
 
-@pytest.mark.parametrize("case", [c for c in MR_CASES if c[0] == "points_16.txt"])
-def test_two_round_fixture_distributed_path(spark, fixture_path, case):
-    name, k, z, L, m, w, r0, rf, ng, centers, obj = case
-    pts = read_points(spark, fixture_path(name))
-    mr = KC.mr_kcenter_outliers(pts, k, z, L, alpha=2, dim_hint=2, max_group_points=0)
-    rep = mr.report.first()
-    assert (rep.coreset_points, rep.coreset_weight, rep.n_guesses) == (m, w, ng)
-    assert rep.final_guess == pytest.approx(rf, abs=TOL)
-    assert _ids(mr.solution.centers) == centers
-    assert rep.objective == pytest.approx(obj, abs=TOL)
+def test_two_round_run_leaves_nothing_cached(spark, fixture_path):
+    KC.mr_kcenter_outliers(read_points(spark, fixture_path("points_16.txt")), 3, 2, 2, alpha=2)
+    KC.greedy_cover(_solver_input(spark, [(0, 0), (1, 0), (5, 5)], [1, 1, 1]), 1, 1.0)
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_malformed_point_fails_in_either_mode(spark, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        df = spark.createDataFrame([("1.0,zz",)], "v string")
+        with pytest.raises(PySparkException):
+            df.select(parse_point("v").alias("p")).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
 
 
 def test_point_parsing(spark):
@@ -97,40 +105,50 @@ def _points(spark, coords):
 
 def test_first_points_identical_terminates(spark):
     coords = [(0, 0), (0, 0), (5, 5), (9, 0), (0, 9)]
-    sol = KC.seq_weighted_outliers(_points(spark, coords), 2, 1, dim_hint=2)
-    want = BF.seq_outliers([list(map(float, c)) for c in coords], [1] * 5, 2, 1, 0)
-    assert [r.point_id for r in sol.centers.orderBy("center_no").collect()] == want[0]
-    assert (sol.initial_guess, sol.final_guess, sol.n_guesses) == want[1:]
+    sol = KC.seq_weighted_outliers(_points(spark, coords), 2, 1)
+    _check(sol, coords, 2, 1)
+
+
+def test_first_points_identical_beyond_the_head(spark):
+    coords = [(1, 1)] * 6 + [(4, 5), (1, 2)]
+    sol = KC.seq_weighted_outliers(_points(spark, coords), 2, 1)
+    assert sol.initial_guess == 0.5
+    _check(sol, coords, 2, 1)
+
+
+def _check(sol, coords, k, z):
+    BF.check_solution(coords, [1] * len(coords), _ids(sol.centers), sol.initial_guess,
+                      sol.final_guess, sol.n_guesses, k, z, 0)
 
 
 def test_all_points_identical(spark):
     pts = _points(spark, [(1, 1)] * 6)
-    sol = KC.seq_weighted_outliers(pts, 3, 1, dim_hint=2)
+    sol = KC.seq_weighted_outliers(pts, 3, 1)
     assert sol.centers.count() == 1
     assert G.kcenter_objective(pts, sol.centers, 1, 3).first()[0] == 0.0
-    core = fft_coreset(pts, 4, 2, dim_hint=2).collect()
+    core = fft_coreset(pts, 4, 2).collect()
     assert sorted((r.part_id, r.weight) for r in core) == [(0, 3), (1, 3)]
 
 
 def test_single_point(spark):
     pts = _points(spark, [(3, 4)])
-    sol = KC.seq_weighted_outliers(pts, 1, 0, dim_hint=2)
+    sol = KC.seq_weighted_outliers(pts, 1, 0)
     assert sol.centers.count() == 1
     assert G.kcenter_objective(pts, sol.centers, 0, 1).first()[0] == 0.0
 
 
 def test_more_partitions_than_points(spark):
     pts = _points(spark, [(0, 0), (1, 0), (0, 1)])
-    core = fft_coreset(pts, 3, 8, dim_hint=2)
+    core = fft_coreset(pts, 3, 8)
     assert core.count() == 3 and core.agg(F.sum("weight")).first()[0] == 3
 
 
 def test_parameter_errors(spark):
     pts = _points(spark, [(0, 0), (1, 0), (0, 1)])
     with pytest.raises(ValueError):
-        KC.seq_weighted_outliers(pts, 0, 1, dim_hint=2)
+        KC.seq_weighted_outliers(pts, 0, 1)
     with pytest.raises(ValueError):
-        fft_coreset(pts, 0, 2, dim_hint=2)
+        fft_coreset(pts, 0, 2)
     centers = spark.createDataFrame([(0, [0.0, 0.0])], "center_no int, point array<double>")
     with pytest.raises(PySparkException):
         G.kcenter_objective(pts, centers, 3, 1).collect()
@@ -157,93 +175,60 @@ point_sets = st.lists(st.tuples(coord, coord), min_size=2, max_size=14)
 @settings(max_examples=6, deadline=None)
 @given(point_sets, st.integers(1, 3), st.integers(0, 3))
 def test_solver_matches_bruteforce(spark, coords, k, z):
-    coords = [list(c) for c in coords]
-    pts = _points(spark, coords)
-    sol = KC.seq_weighted_outliers(pts, k, z, dim_hint=2)
-    want, r0, rf, ng = BF.seq_outliers(coords, [1] * len(coords), k, z, 0)
-    assert [r.point_id for r in sol.centers.orderBy("center_no").collect()] == want
-    assert (sol.initial_guess, sol.final_guess, sol.n_guesses) == (r0, rf, ng)
-    assert len(want) <= k
+    sol = KC.seq_weighted_outliers(_points(spark, coords), k, z)
+    _check(sol, coords, k, z)
+
+
+def test_several_blocks_per_round(spark, monkeypatch):
+    monkeypatch.setattr(KC, "BLOCK", 7)
+    rnd = random.Random(5)
+    coords = [(rnd.randint(0, 9) / 2, rnd.randint(0, 9) / 2) for _ in range(45)]
+    sol = KC.seq_weighted_outliers(_points(spark, coords), 4, 3)
+    _check(sol, coords, 4, 3)
 
 
 @settings(max_examples=5, deadline=None)
 @given(point_sets, st.integers(1, 5), st.integers(1, 3))
 def test_coreset_matches_bruteforce(spark, coords, k, L):
-    coords = [list(c) for c in coords]
-    pts = _points(spark, coords)
-    got = sorted((r.part_id, r.step, r.point_id, r.weight)
-                 for r in fft_coreset(pts, k, L, dim_hint=2).collect())
-    want = sorted((p, s, i, w) for (p, s, i, _, w) in
-                  BF.coreset(list(enumerate(coords)), k, L))
-    assert got == want
-    assert sum(g[3] for g in got) == len(coords)
+    rows = [(r.part_id, r.step, r.point_id, r.weight) for r in fft_coreset(_points(spark, coords), k, L).collect()]
+    BF.check_coreset(coords, rows, k, L)
+    assert sum(r[3] for r in rows) == len(coords)
+
+
+def test_few_candidates_give_the_same_centers(spark, monkeypatch):
+    """Passes whose candidates decide only some of the centers, and states written midway."""
+    monkeypatch.setattr(FFT, "STORE_EVERY", 2)
+    rnd = random.Random(11)
+    coords = [[rnd.randint(0, 30) / 4 for _ in range(3)] for _ in range(120)]
+    pts = _points(spark, coords).repartition(5)
+    want = sorted(map(tuple, fft_coreset(pts, 15, 2).collect()))
+    BF.check_coreset(coords, [(p, s, i, w) for p, s, i, _, w in want], 15, 2)
+    rows = pts.rdd.map(tuple).collect()
+    part = FFT.Part(ids=np.array([r[0] for r in rows]), points=np.array([r[1] for r in rows]),
+                    mind=np.full(120, np.inf), bound=np.inf)
+    assert [s for s, _ in part.advance(15)] == [0]  # the candidates decide the first center only
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0
 
 
 def test_fft_centers_64d(spark):
     rnd = random.Random(7)
     coords = [[rnd.uniform(-1, 1) for _ in range(64)] for _ in range(40)]
-    pts = _points(spark, coords)
-    got = [r.point_id for r in fft_centers(pts, 6, 1).orderBy("step").collect()]
-    assert got == BF.fft(list(enumerate(coords)), 6)
-
-
-@settings(max_examples=5, deadline=None)
-@given(point_sets, st.integers(1, 6), st.integers(1, 3))
-def test_grouped_and_distributed_coresets_agree(spark, coords, k, L):
-    from pointlake.operators.fft import distributed_coreset
-    pts = _points(spark, [list(c) for c in coords])
-    a = sorted((r.part_id, r.step, r.point_id, r.weight, tuple(r.point))
-               for r in fft_coreset(pts, k, L, dim_hint=2).collect())
-    b = sorted((r.part_id, r.step, r.point_id, r.weight, tuple(r.point))
-               for r in distributed_coreset(pts, k, L, dim_hint=2).collect())
-    assert a == b
-
-
-def test_grouped_and_distributed_agree_64d(spark):
-    from pointlake.operators.fft import distributed_coreset
-    rnd = random.Random(11)
-    coords = [[rnd.uniform(-1, 1) for _ in range(64)] for _ in range(60)]
-    pts = _points(spark, coords)
-    a = sorted(map(tuple, fft_coreset(pts, 7, 3).select("part_id", "step", "point_id", "weight").collect()))
-    b = sorted(map(tuple, distributed_coreset(pts, 7, 3).select("part_id", "step", "point_id", "weight").collect()))
-    assert a == b
+    got = [r.point_id for r in fft_centers(_points(spark, coords), 6, 1).orderBy("step").collect()]
+    BF.check_traversal(coords, got, 6)
 
 
 def test_mixed_dimensions_fail(spark):
     pts = spark.createDataFrame([(0, [0.0, 0.0], 1), (1, [1.0, 0.0, 2.0], 1), (2, [3.0, 3.0], 1)],
                                 "point_id bigint, point array<double>, weight bigint")
-    from pointlake.operators.fft import distributed_coreset
-    with pytest.raises(Exception):
-        distributed_coreset(pts, 3, 1, dim_hint=3).collect()
     with pytest.raises(Exception):
-        fft_coreset(pts, 3, 1, dim_hint=3).collect()
+        fft_coreset(pts, 3, 1).collect()
 
 
 def test_solver_rejects_mixed_dimensions(spark):
     pts = spark.createDataFrame([(0, [0.0, 0.0], 1), (1, [1.0, 0.0, 2.0], 1)],
                                 "point_id bigint, point array<double>, weight bigint")
     with pytest.raises(Exception):  # the distance check or the up-front check
-        KC.seq_weighted_outliers(pts, 1, 0, dim_hint=3)
-
-
-@pytest.mark.parametrize("case", [SEQ_CASES[3], SEQ_CASES[1]])
-def test_sequential_fixture_numpy_engine(spark, fixture_path, case):
-    name, k, z, r0, rf, ng, centers, obj = case
-    pts = read_points(spark, fixture_path(name))
-    sol = KC.seq_weighted_outliers(pts, k, z, alpha=0, dim_hint=2, engine="numpy")
-    assert (sol.initial_guess, sol.n_guesses) == (pytest.approx(r0, abs=TOL), ng)
-    assert sol.final_guess == pytest.approx(rf, abs=TOL)
-    assert _ids(sol.centers) == centers
-
-
-@settings(max_examples=4, deadline=None)
-@given(point_sets, st.integers(1, 3), st.integers(0, 3))
-def test_numpy_engine_matches_bruteforce(spark, coords, k, z):
-    coords = [list(c) for c in coords]
-    sol = KC.seq_weighted_outliers(_points(spark, coords), k, z, dim_hint=2, engine="numpy")
-    want, r0, rf, ng = BF.seq_outliers(coords, [1] * len(coords), k, z, 0)
-    assert [r.point_id for r in sol.centers.orderBy("center_no").collect()] == want
-    assert (sol.initial_guess, sol.final_guess, sol.n_guesses) == (r0, rf, ng)
+        KC.seq_weighted_outliers(pts, 1, 0)
 
 
 def _solver_input(spark, coords, weights):
@@ -257,10 +242,8 @@ def _solver_input(spark, coords, weights):
 def test_greedy_cover_matches_bruteforce(spark, coords, k, r, alpha):
     coords = [list(c) for c in coords]
     weights = [1 + (i % 3) for i in range(len(coords))]
-    centers, left = KC.greedy_cover(_solver_input(spark, coords, weights), k, r, alpha, dim_hint=2)
-    want, want_left = BF.cover(coords, weights, k, r, alpha)
-    assert [row.point_id for row in centers.orderBy("center_no").collect()] == want
-    assert left == want_left
+    centers, left = KC.greedy_cover(_solver_input(spark, coords, weights), k, r, alpha)
+    BF.check_cover(coords, weights, _ids(centers), left, k, r, alpha)
 
 
 def test_ball_operators_match_bruteforce(spark):
@@ -281,24 +264,12 @@ def test_ball_operators_match_bruteforce(spark):
         [j for j in range(25) if BF.dist(coords[best], coords[j]) > 3 * r]
 
 
-@settings(max_examples=4, deadline=None)
-@given(point_sets, st.integers(3, 9), st.integers(1, 3), st.integers(1, 3))
-def test_distributed_refresh_matches_grouped(spark, coords, k, L, refresh):
-    from pointlake.operators.fft import distributed_coreset
-    pts = _points(spark, [list(c) for c in coords])
-    a = sorted(map(tuple, fft_coreset(pts, k, L, dim_hint=2)
-                   .select("part_id", "step", "point_id", "weight").collect()))
-    b = sorted(map(tuple, distributed_coreset(pts, k, L, dim_hint=2, refresh_every=refresh)
-                   .select("part_id", "step", "point_id", "weight").collect()))
-    assert a == b
-
-
 @settings(max_examples=4, deadline=None)
 @given(point_sets, st.integers(1, 3), st.integers(0, 3))
 def test_solution_invariants(spark, coords, k, z):
     coords = [list(c) for c in coords]
     pts = _points(spark, coords)
-    sol = KC.seq_weighted_outliers(pts, k, z, dim_hint=2)
+    sol = KC.seq_weighted_outliers(pts, k, z)
     centers = [coords[r.point_id] for r in sol.centers.collect()]
     assert 1 <= len(centers) <= k
     # uncovered weight at the final guess is at most z (unit weights, alpha = 0)
@@ -313,7 +284,7 @@ def test_solution_invariants(spark, coords, k, z):
 @given(point_sets, st.integers(2, 8))
 def test_traversal_distances_non_increasing(spark, coords, k):
     coords = [list(c) for c in coords]
-    order = [r.point_id for r in fft_centers(_points(spark, coords), k, 1, dim_hint=2)
+    order = [r.point_id for r in fft_centers(_points(spark, coords), k, 1)
              .orderBy("step").collect()]
     gaps = [min(BF.dist(coords[order[s]], coords[order[t]]) for t in range(s))
             for s in range(1, len(order))]

@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from pointlake.plans.queries import ORACLE, QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
@@ -37,11 +38,11 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, duck, name):
-    df = E.queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     got, gcols = _rows(df.columns, [tuple(r) for r in df.collect()])
-    res = duck.execute(E.oracle_sql()[name])
+    res = duck.execute(ORACLE[name])
     want, wcols = _rows([d[0] for d in res.description], res.fetchall())
     assert gcols == wcols
     assert got == want
@@ -51,17 +52,18 @@ _TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "V
           "array<double>": "DOUBLE[]"}
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_types_match_oracle(spark, duck, name):
-    df = E.queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     got = {f.name: _TYPES.get(f.dataType.simpleString(), f.dataType.simpleString())
            for f in df.schema.fields}
-    want = {r[0]: r[1] for r in duck.execute(f"DESCRIBE ({E.oracle_sql()[name]})").fetchall()}
+    want = {r[0]: r[1] for r in duck.execute(f"DESCRIBE ({ORACLE[name]})").fetchall()}
     assert got == want
 
 
 def test_every_query_has_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
 def test_entry(spark):
