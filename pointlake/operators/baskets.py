@@ -9,6 +9,8 @@ task (partial aggregation). Neither step gathers one product's rows together.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -56,19 +58,20 @@ def product_customer_pairs(txn: DataFrame, country: str = ALL,
 
 
 def product_customer_pairs_salted(txn: DataFrame, country: str = ALL,
-                                  buckets: int = 16,
-                                  on_error: str | None = None) -> DataFrame:
-    """Same pairs, deduplicated in two rounds: first inside ``buckets``
-    deterministic salt groups (hash of the whole row, so task retries agree),
-    then globally. Bounds the rows any (pair) reducer sees in round one."""
+                                  buckets: int = 16, on_error: str | None = None,
+                                  salt_cols: Sequence[str] = ("transaction_id",)) -> DataFrame:
+    """Same pairs, deduplicated in two rounds: rows are dealt to ``buckets`` salt
+    groups (a hash of the pair and ``salt_cols``, so task retries agree) and
+    deduplicated there, so repeats of one pair are split over all groups; what is left
+    of a pair, at most a row per group, meets in the second round. Both exchanges are explicit: the optimizer
+    would otherwise fold the two rounds into one."""
     if buckets < 1:
         raise ValueError("buckets must be >= 1")
+    pair = ["product_id", "customer_id"]
     rows = purchases(txn, country, on_error)
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in txn.columns]), F.lit(buckets))
-    local = (rows.select(salt.alias("salt"), "product_id", "customer_id")
-             .dropDuplicates(["salt", "product_id", "customer_id"]))
-    return local.select("product_id", "customer_id") \
-                .dropDuplicates(["product_id", "customer_id"])
+    salt = F.pmod(F.xxhash64(*pair, *salt_cols), F.lit(buckets))
+    local = rows.select(salt.alias("salt"), *pair).repartition(buckets, "salt").dropDuplicates(["salt", *pair])
+    return local.select(*pair).repartition(*pair).dropDuplicates(pair)
 
 
 def pair_count(pairs: DataFrame) -> DataFrame:

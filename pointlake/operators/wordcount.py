@@ -23,9 +23,18 @@ def words(docs: DataFrame, id_cols: Sequence[str] = (), value_col: str = "value"
 
 
 def doc_term_freq(docs: DataFrame, id_cols: Sequence[str], value_col: str = "value") -> DataFrame:
-    """Per-document term frequency: (id..., word, n)."""
-    return (words(docs, id_cols, value_col)
-            .groupBy(*id_cols, "word").agg(F.count(F.lit(1)).alias("n")))
+    """Per-document term frequency: (id..., word, n); a row is a document.
+
+    Counted inside the row, without a shuffle: run lengths over the sorted
+    tokens (a run starts where a token differs from the one before it)."""
+    tokens = docs.select(*id_cols, F.array_sort(java_space_split(value_col)).alias("_t"))
+    starts = F.filter(F.sequence(F.lit(1), F.size("_t")), lambda i: (i == 1) | (
+        F.get("_t", i - 1) != F.get("_t", i - 2)))
+    runs = tokens.filter(F.size("_t") > 0).select(*id_cols, "_t", starts.alias("_s"))
+    run = F.transform("_s", lambda i, k: F.struct(
+        F.get("_t", i - 1).alias("word"),
+        (F.coalesce(F.get("_s", k + 1), F.size("_t") + 1) - i).cast("bigint").alias("n")))
+    return runs.select(*id_cols, F.inline(run))
 
 
 def word_count(docs: DataFrame, value_col: str = "value") -> DataFrame:
@@ -48,20 +57,20 @@ def word_count_salted(docs: DataFrame, id_cols: Sequence[str], buckets: int,
 
 
 def word_count_partitioned(docs: DataFrame, value_col: str = "value") -> DataFrame:
-    """Per-input-partition counts first (the partition combiner), then summed."""
-    per_part = (words(docs, (), value_col)
-                .groupBy(F.spark_partition_id().alias("part"), "word")
-                .agg(F.count(F.lit(1)).alias("n")))
-    return per_part.groupBy("word").agg(F.sum("n").cast("bigint").alias("n"))
+    """Counts combined per input partition first, then summed: the combine is the
+    partial aggregate inside each task, so only (word, partial count) rows move, once."""
+    ones = words(docs, (), value_col).select("word", F.lit(1).cast("bigint").alias("one"))
+    return ones.groupBy("word").agg(F.sum("one").alias("n"))
 
 
 def distinct_word_count(counts: DataFrame) -> DataFrame:
     return counts.agg(F.count(F.lit(1)).alias("distinct_words"))
 
 
-def avg_word_length(counts: DataFrame, utf16: bool = False) -> DataFrame:
+def avg_word_length(counts: DataFrame, utf16: bool = True) -> DataFrame:
     """Mean length over distinct words: integer division as in the reference
-    (``avg_length``), plus the exact mean. NULL when there are no words."""
+    (``avg_length``), plus the exact mean. NULL when there are no words. A length is
+    in UTF-16 code units (Java), or in code points with ``utf16=False``."""
     length = utf16_length("word") if utf16 else F.length("word")
     agg = counts.agg(F.sum(length).cast("bigint").alias("total_length"),
                      F.count(F.lit(1)).alias("distinct_words"))

@@ -18,11 +18,13 @@ def parse_point(value: Column | str) -> Column:
     """Comma-separated coordinates → ``array<double>``.
 
     Trailing commas are forgiven (Java ``split`` drops trailing empty fields);
-    blanks around numbers are accepted; anything else unparsable fails the job
-    (ANSI cast), as the reference's ``parseDouble`` would.
+    blanks around numbers are accepted; anything else unparsable fails the job,
+    whatever the session's ANSI mode. A null value gives a null point.
     """
     v = F.col(value) if isinstance(value, str) else value
-    return F.split(F.regexp_replace(v, ",+$", ""), ",", -1).cast("array<double>")
+    numbers = F.transform(F.split(F.regexp_replace(v, ",+$", ""), ",", -1), lambda x: x.try_cast("double"))
+    return F.when(F.exists(numbers, lambda x: x.isNull()),
+                  F.raise_error(F.concat(F.lit("malformed point: "), v))).otherwise(numbers)
 
 
 def read_points(spark: SparkSession, path: str) -> DataFrame:

@@ -9,10 +9,14 @@ from ..functions.rowindex import with_dense_index
 from ..functions.text import split_lines
 
 
-def read_lines(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
-    """``DataFrame[line_id BIGINT, value STRING]`` — every line of the file(s),
-    blank lines included, ``line_id`` dense in (file, line) order."""
-    df = with_dense_index(spark.read.text(path), "line_id")
+def read_lines(spark: SparkSession, path: str, min_partitions: int | None = None,
+               with_ids: bool = False) -> DataFrame:
+    """``DataFrame[value STRING]`` — every line of the file(s), blank lines
+    included. ``with_ids`` adds ``line_id BIGINT`` in front, dense in (file, line)
+    order; only then are the lines counted. ``min_partitions`` deals the rows anew."""
+    df = spark.read.text(path)
+    if with_ids:
+        df = with_dense_index(df, "line_id")
     if min_partitions:
         df = df.repartition(int(min_partitions))
     return df

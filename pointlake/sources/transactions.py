@@ -38,13 +38,12 @@ def parse_transactions(lines: DataFrame, on_error: str = "fail",
     n = F.size(t)
 
     def field(i: int):
-        return F.when(n > i, t.getItem(i))
+        return F.when(n > i, F.try_element_at(t, F.lit(i + 1)))
 
-    if on_error == "fail":
-        # element access and cast are ANSI: a short row or a bad number fails.
-        quantity = t.getItem(3).cast("int")
-    else:
-        quantity = F.try_element_at(t, F.lit(4)).try_cast("int")
+    quantity = F.try_element_at(t, F.lit(4)).try_cast("int")
+    if on_error == "fail":  # explicit, so that it fails whatever the session's ANSI mode
+        quantity = F.when(quantity.isNull(), F.raise_error(F.concat(F.lit("malformed transaction row: "), F.col(value_col)))) \
+                    .otherwise(quantity)
     out = lines.select(
         field(0).alias("transaction_id"),
         field(1).alias("product_id"),
@@ -68,20 +67,26 @@ def read_transactions(spark: SparkSession, path: str, on_error: str = "fail",
     return parse_transactions(lines, on_error)
 
 
-def transactions_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+def transactions_from_tables(spark: SparkSession, sf_dir: str, purchases_only: bool = False) -> DataFrame:
     """Transactions over the test tables.
 
     product = l_partkey, customer = o_custkey, country = n_name, and a returned
     line (l_returnflag = 'R') has negative quantity. Joins are declared from the
     small dimension outward; Spark broadcasts a side only when its measured size
     is under ``spark.sql.autoBroadcastJoinThreshold`` and sort-merge joins
-    otherwise, so nothing unbounded is broadcast.
+    otherwise, so nothing unbounded is broadcast. ``purchases_only`` leaves rows
+    whose quantity is not positive at the lineitem scan, as a predicate on its
+    own columns that prunes row groups.
     """
     n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_returnflag")
+    if purchases_only:
+        returned = F.col("l_returnflag") == "R"
+        li = li.filter((returned & (F.col("l_quantity") <= -1)) |
+                       ((F.col("l_returnflag").isNull() | ~returned) & (F.col("l_quantity") >= 1)))
     cust = c.join(n, c.c_nationkey == n.n_nationkey)
     orders = o.join(cust, o.o_custkey == cust.c_custkey)
     rows = li.join(orders, li.l_orderkey == orders.o_orderkey)

@@ -70,11 +70,20 @@ def test_purchase_without_country(spark):
     assert [tuple(r) for r in kept] == [("P2", 7)]
 
 
-def test_malformed_quantity_fails_or_drops(spark):
-    rows = ["T1,P1,d,x,2010-12-01,1.0,5,Italy", "T2,P2,d,2,2010-12-01,1.0,7,Italy"]
-    with pytest.raises(PySparkException):
-        _txn(spark, rows).collect()
-    assert _txn(spark, rows, "drop").count() == 1
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize("bad", ["T1,P1,d,x,2010-12-01,1.0,5,Italy", "T,P3"])
+def test_malformed_quantity_fails_or_drops(spark, ansi, bad):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        rows = [bad, "T2,P2,d,2,2010-12-01,1.0,7,Italy"]
+        with pytest.raises(PySparkException):
+            _txn(spark, rows).collect()
+        with pytest.raises(PySparkException):
+            B.pair_count(B.product_customer_pairs(_txn(spark, rows), on_error="fail")).collect()
+        assert _txn(spark, rows, "drop").count() == 1
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
 
 
 def test_negative_h_rejected(spark):

@@ -20,7 +20,7 @@ def test_dense_index_follows_file_then_line_order(spark):
     # small splits so one file spans several partitions
     spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
     try:
-        rows = read_lines(spark, d).orderBy("line_id").collect()
+        rows = read_lines(spark, d, with_ids=True).orderBy("line_id").collect()
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert [r.line_id for r in rows] == list(range(len(expected)))
@@ -31,20 +31,41 @@ def test_blank_lines_kept_and_counted(spark):
     d = tempfile.mkdtemp(prefix="pl-lines-")
     with open(os.path.join(d, "x.txt"), "w") as f:
         f.write("a b\n\n  \nc\r\nd")
-    rows = read_lines(spark, d).orderBy("line_id").collect()
+    rows = read_lines(spark, d, with_ids=True).orderBy("line_id").collect()
     assert [r.value for r in rows] == ["a b", "", "  ", "c", "d"]
 
 
 def test_points_from_text_ids_in_file_order(spark, fixture_path):
-    pts = read_points(spark, fixture_path("uber_959.csv"))
+    pts = read_points(spark, fixture_path("points_959.csv"))
     assert pts.count() == 959
     ids = pts.agg(F.min("point_id"), F.max("point_id"), F.countDistinct("point_id")).first()
     assert tuple(ids) == (0, 958, 959)
     first = pts.filter("point_id = 0").first().point
-    with open(fixture_path("uber_959.csv")) as f:
+    with open(fixture_path("points_959.csv")) as f:
         assert first == [float(x) for x in f.readline().strip().split(",")]
 
 
 def test_dense_index_on_generic_scan(spark, fixture_path):
     df = with_dense_index(spark.read.text(fixture_path("points_16.txt")), "rid")
     assert [r.rid for r in df.orderBy("rid").collect()] == list(range(16))
+
+
+def test_lines_without_ids_and_min_partitions(spark, fixture_path):
+    lines = read_lines(spark, fixture_path("words_5.txt"), min_partitions=3)
+    assert lines.columns == ["value"] and lines.count() == 5
+    assert lines.rdd.getNumPartitions() == 3
+
+
+def test_row_ids_start_no_job_while_the_plan_is_built(spark, fixture_path):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("plan-only", "building plans")
+    with_dense_index(spark.read.text(fixture_path("points_959.csv")), "rid")
+    read_lines(spark, fixture_path("words_5.txt"), with_ids=True)
+    assert not list(tracker.getJobIdsForGroup("plan-only"))
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0
+
+
+def test_row_ids_of_an_empty_file(spark):
+    d = tempfile.mkdtemp(prefix="pl-empty-")
+    open(os.path.join(d, "x.txt"), "w").close()
+    assert read_lines(spark, d, with_ids=True).collect() == []

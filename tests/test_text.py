@@ -30,13 +30,13 @@ def test_split_lines(spark):
 
 
 def test_read_lines_dense_ids(spark, fixture_path):
-    lines = read_lines(spark, fixture_path("words_5.txt")).orderBy("line_id").collect()
+    lines = read_lines(spark, fixture_path("words_5.txt"), with_ids=True).orderBy("line_id").collect()
     assert [r.line_id for r in lines] == [0, 1, 2, 3, 4]
     assert lines[0].value == "test dataset for TemplateHW1"
 
 
 def test_word_count_fixture(spark, fixture_path):
-    docs = read_lines(spark, fixture_path("words_5.txt"))
+    docs = read_lines(spark, fixture_path("words_5.txt"), with_ids=True)
     expected = {"dataset": 5, "TemplateHW1": 4, "documents": 2, "number": 2, "prints": 2,
                 "words": 2}
     for w in ["also", "average", "contains", "distinct", "five", "for", "length", "run",
