@@ -80,6 +80,8 @@ def scan_blobs(blobs: DataFrame, rules: Sequence[Rule]) -> DataFrame:
                .select("blob", F.explode("found").alias("found"))
                .select("blob", F.posexplode("found").alias("place", "m"))
                .select("blob", "place", "m.*").filter("length is not null"))
+    # a blob's text comes several times where a path is repeated
+    matches = matches.repartition("blob", "rule").dropDuplicates(["blob", "rule", "place"])
     upto = W.partitionBy("blob", "rule").orderBy("place")
     end = F.sum(F.col("before") + F.col("length")).over(upto)
     least = F.element_at(F.create_map(*[F.lit(x) for r in rules for x in (r.key, r.least)]), F.col("rule"))
@@ -106,7 +108,7 @@ def update_ledger(versions: DataFrame, ledger: str, rules: Sequence[Rule] = RULE
     if not n:
         return 0
     texts = (rows.join(todo, "path").filter(text_blob() == F.col("blob")).select("blob", "text", "todo"))
-    spans = scan_blobs(texts, rules).withColumn("spans", F.array_distinct("spans"))
+    spans = scan_blobs(texts, rules)
     pairs = todo.select("blob", F.explode("todo").alias("rule"))
     pairs.join(spans, ["blob", "rule"], "left").write.mode("append").parquet(ledger)
     return n
