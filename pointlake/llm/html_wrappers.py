@@ -1,8 +1,8 @@
 """Main text of web pages by wrappers inferred per host.
 
 A page is a stream of tags and texts. Its union-free expression is kept as a tree in
-normal form: a node per label (tag, id and classes; digits generalised) and place, whose
-repeats below one parent are one repeated group, and whose text is a fixed string or a slot.
+normal form: a node per label (tag, id and classes; digits generalised; unnamed containers by
+their place among siblings) and parent, whose further repeats are one repeated group, and whose text is a fixed string or a slot.
 Aligning two streams of a host merges their trees: labels on one side only become
 optional, labels that come again or in another order become repeated groups, texts that differ
 become slots. The normal form names a label once per place, so a wrapper
@@ -56,6 +56,9 @@ RAW = frozenset("script style textarea title noscript iframe template svg math".
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp "
                    "small span strike strong sub sup time tt u var wbr".split())
+#: Elements that are told apart by place if they have no name, and how many places there are.
+CONTAINERS = frozenset("div section table ul ol dl".split())
+PLACES = 8
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CLOSES_P = frozenset("address article aside blockquote details dialog div dl fieldset figcaption figure footer form h1 h2 h3 h4 "
                      "h5 h6 header hgroup hr main menu nav ol p pre search section table ul".split())
@@ -107,8 +110,8 @@ def blocks(page: str | None) -> list[tuple[str, str, int, int]]:
 
     path: labels of the enclosing block elements; rank: -1 in a dropped region, else the highest article rank around it."""
     out: list[tuple[str, str, int, int]] = []
-    # tag, path, bad, header, rank, links open
-    stack: list[tuple[str, str, bool, bool, int]] = [("", "", False, False, 0)]
+    # tag, path, bad, header, rank, unnamed containers among the children so far
+    stack: list[tuple[str, str, bool, bool, int, dict[str, int]]] = [("", "", False, False, 0, {})]
     parts: list[str] = []
     linked = 0
     in_link = 0
@@ -119,7 +122,7 @@ def blocks(page: str | None) -> list[tuple[str, str, int, int]]:
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                tag, path, bad, header, rank = stack[block]
+                tag, path, bad, header, rank, _ = stack[block]
                 if header and not (rank and tag in HEADINGS):
                     bad = True
                 out.append((path, text, linked, -1 if bad else rank))
@@ -182,13 +185,16 @@ def blocks(page: str | None) -> list[tuple[str, str, int, int]]:
                     at = end.end() if end else len(page)
                 continue
             label, bad, header, rank = tag_facts(tag, attributes)
-            _, path, up_bad, up_header, up_rank = stack[-1]
+            _, path, up_bad, up_header, up_rank, children = stack[-1]
             if tag not in INLINE:
                 flush()
+                if label == tag and tag in CONTAINERS:  # nothing but its place tells it from its siblings
+                    n = children[tag] = children.get(tag, 0) + 1
+                    label = f"{tag}[{min(n, PLACES)}]"
                 path = path if tag in ("html", "body") else f"{path}/{label}"
                 block = len(stack)
             in_link += tag == "a"
-            stack.append((tag, path, up_bad or bad, up_header or header, max(up_rank, rank)))
+            stack.append((tag, path, up_bad or bad, up_header or header, max(up_rank, rank), {}))
         elif m[1]:
             tag = m[1].lower()
             for i in range(len(stack) - 1, 0, -1):
@@ -276,7 +282,7 @@ def expression(node: list, label: str = "") -> str:
 
 def _label_facts(label: str) -> tuple[bool, int]:
     """(bad, rank) by a label alone, as its start tag gave them."""
-    tag, *names = label.split(" ")
+    tag, *names = label.partition("[")[0].split(" ")
     _, bad, header, rank = tag_facts(tag, f'class="{" ".join(names)}"')
     return bad or header, rank
 
