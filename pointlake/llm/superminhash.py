@@ -12,10 +12,11 @@ from the start, so copies cost nothing later. Nodes that agree in all rows of
 a band share a bucket. A bucket is not expanded into pairs: its most central node
 (the one that shares most bucket places overall) is verified against every other, and
 what links is one component. Where a bucket still spans several components, the
-members not compared yet get another center, round by round; once the pairs left
-are few against the members (``PAIRS_LEFT``), all of them are verified. So
-every pair of a bucket ends up verified or already connected, at no quadratic cost
-for a large group of similar texts.
+members not compared yet get another center, round by round, as long as a round at
+least halves the pairs left. Then buckets with few pairs left (at most ``PAIRS_LEFT`` per
+member) have those verified, and larger ones are compared in tasks, chunk by chunk, where
+only members outside the largest component are compared with the rest and no pair becomes a row. So
+every pair of a bucket ends up verified or already connected.
 
 Verification compares whole shingle sets (64-bit hashes), rebuilt from the
 texts of candidate documents only. Components: ``components``.
@@ -31,7 +32,10 @@ an id is in its component); an empty table gives an empty result; extra columns
 
 from __future__ import annotations
 
+import itertools
+from collections import Counter
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -40,13 +44,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import read_table, store
-from .components import connected_components
+from .components import UnionFind, connected_components
 
 BANDS, ROWS = 30, 5
 #: Shingles of documents that are signed together (a longer document is alone).
 BLOCK = 200_000
-#: All pairs left are verified once they are fewer than this many times the bucket members.
+#: Pairs left per member up to which a bucket's pairs are verified as rows.
 PAIRS_LEFT = 4
+#: Hashes of one chunk of a large bucket.
+CHUNK = 2_000_000
 WORD_CACHE = 500_000
 
 _U = np.uint64
@@ -203,44 +209,124 @@ def candidate_sets(docs: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
     return rows.mapInArrow(_setter(k), "fp binary, hashes array<long>")
 
 
+@dataclass
+class Chunk:
+    """The members of a bucket chunk: their sets as one sorted list of (hash, owner)."""
+
+    fps: list[bytes]
+    roots: list[bytes]
+    side: np.ndarray     # chunk number of each member
+    sizes: np.ndarray
+    sets: list[np.ndarray]
+
+    def links(self, cross: bool, num: int, den: int) -> list[tuple[bytes, bytes]]:
+        """Links that connect members of different roots: of each pair within the chunk, or with
+        ``cross`` of each pair on different sides. Members outside the component of the
+        commonest root are compared with all others, the most central first."""
+        flat = np.concatenate(self.sets)
+        order = np.argsort(flat, kind="stable")
+        flat, owner = flat[order], np.repeat(np.arange(len(self.sets)), self.sizes)[order]
+        uf, out = UnionFind(), []
+        common = np.zeros(len(self.sets), np.int64)   # how often a member's hashes occur in the chunk
+        starts = np.searchsorted(flat, flat, "left")
+        np.add.at(common, owner, np.searchsorted(flat, flat, "right") - starts)
+        central = np.argsort(-(common / self.sizes), kind="stable").tolist()
+        # members of the anchor's component are not compared among each other; all others are compared with everyone
+        anchor, n = Counter(self.roots[i] for i in central).most_common(1)[0]
+        for turn, i in enumerate(central):
+            if uf.find(self.roots[i]) == uf.find(anchor) and (turn or n > 1):
+                continue
+            own = self.sets[i]
+            lo, hi = np.searchsorted(flat, own, "left"), np.searchsorted(flat, own, "right")
+            n = hi - lo
+            at = np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+            shared = np.bincount(owner[at], minlength=len(self.sets))
+            alike = den * shared >= num * (self.sizes + self.sizes[i] - shared)
+            if cross:
+                alike &= self.side != self.side[i]
+            for j in np.flatnonzero(alike).tolist():
+                if uf.find(self.roots[j]) != uf.find(self.roots[i]):
+                    uf.union(self.roots[j], self.roots[i])
+                    out.append((min(self.fps[i], self.fps[j]), max(self.fps[i], self.fps[j])))
+        return out
+
+
+def _chunk_links(num: int, den: int) -> Callable:
+    """Streams rows sorted by (band, i, j); holds the members of one chunk pair."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (r for b in batches for r in zip(*[b.column(c).to_pylist() for c in range(6)], b.column(6), strict=True))
+        for (_, i, j), group in itertools.groupby(rows, key=lambda r: r[:3]):
+            chunk = list(group)
+            sets = [r[6].values.to_numpy().view(np.uint64) for r in chunk]
+            sets = [np.sort(x) for x in sets]
+            found = Chunk([r[4] for r in chunk], [r[5] for r in chunk], np.array([r[3] for r in chunk]), np.array([len(x) for x in sets]),
+                          sets).links(i != j, num, den)
+            if found:
+                a, b = zip(*found, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
+
+    return run
+
+
+def bucket_links(left: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b): links that connect what is not connected yet in the buckets of ``left`` (band,
+    fp, size, root). Buckets are cut into chunks of about CHUNK hashes; each pair of
+    chunks is compared in one place, and no pair of members becomes a row."""
+    chunks = left.groupBy("band").agg(F.ceil(F.sum("size") / CHUNK).cast("int").alias("chunks"))
+    rows = left.join(chunks, "band").withColumn("c", F.pmod(F.xxhash64("fp", "band"), F.col("chunks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    rows = rows.select("band", F.least("c", "other").alias("i"), F.greatest("c", "other").alias("j"), "c", "fp", "root")
+    rows = rows.join(sets, "fp").select("band", "i", "j", "c", "fp", "root", "hashes")
+    rows = rows.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
+    return rows.mapInArrow(_chunk_links(num, den), "a binary, b binary")
+
+
 def links(docs: DataFrame, signed: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """(a, b): verified links that connect the nodes of every component."""
-    reps = signed.filter("fp is not null").groupBy("fp").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"))
+    reps = signed.filter("fp is not null").groupBy("fp").agg(
+        F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("size"), F.first("bands").alias("bands"))
     nodes = store(reps, "smh-nodes")
-    places = nodes.select("fp", F.explode("bands").alias("band"))
+    places = nodes.select("fp", "size", F.explode("bands").alias("band"))
     shared = places.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     members = store(places.join(shared, "band"), "smh-members")
     score = members.groupBy("fp").agg(F.sum("n").alias("score"))
     # the score comes first: max picks the most central member, then the fingerprint decides
-    members = store(members.select("band", "fp").join(score, "fp"), "smh-scored")
+    members = store(members.select("band", "fp", "size").join(score, "fp"), "smh-scored")
     wanted = members.select("fp").distinct().join(nodes.select("fp", "doc_id"), "fp")
     sets = store(candidate_sets(docs, wanted, k).dropDuplicates(["fp"]), "smh-sets")
-    found, left = None, members.withColumn("root", F.col("fp"))
+    left = members.withColumn("root", F.col("fp"))
+    found, before = None, None
     while True:
         # members per bucket that have not been a center yet, by component
         per = left.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("score", "fp")).alias("best"))
         per = per.groupBy("band").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"),
                                       F.count(F.lit(1)).alias("kinds"), F.max("best").alias("best"))
-        open_bands = store(per.filter("kinds > 1").select("band", "best.fp", "n", "same"), "smh-open")
-        rows, pairs = open_bands.agg(F.sum("n"), F.sum((F.col("n") * F.col("n") - F.col("same")) / 2)).first()
+        cross = (F.col("n") * F.col("n") - F.col("same")) / 2
+        open_bands = store(per.filter("kinds > 1").select("band", F.col("best.fp").alias("center"), (cross <= PAIRS_LEFT * F.col("n")).alias("few"),
+                                                          "n", cross.alias("pairs")), "smh-open")
+        rows, pairs = open_bands.agg(F.sum("n"), F.sum("pairs")).first()
         if not rows:
             break
-        centers = open_bands.select("band", F.col("fp").alias("center"))
-        joined = left.join(centers, "band")
-        last = pairs <= PAIRS_LEFT * rows
+        joined = left.join(open_bands.select("band", "center", "few"), "band")
+        last = pairs <= PAIRS_LEFT * rows or before is not None and pairs > before / 2
         if last:
-            right = joined.select("band", F.col("fp").alias("b"), F.col("root").alias("other"))
-            cand = joined.select("band", F.col("fp").alias("a"), "root").join(right, "band").filter("a < b and root <> other")
+            few = joined.filter("few")
+            right = few.select("band", F.col("fp").alias("b"), F.col("root").alias("other"))
+            cand = few.select("band", F.col("fp").alias("a"), "root").join(right, "band").filter("a < b and root <> other")
         else:
             roots = left.select("fp", "root").distinct().select(F.col("fp").alias("center"), F.col("root").alias("other"))
             cand = joined.join(roots, "center").filter("root <> other").select(
                 F.least("fp", "center").alias("a"), F.greatest("fp", "center").alias("b"))
-        new = store(verified(cand.select("a", "b").distinct(), sets, num, den), "smh-links")
-        found = new if found is None else store(found.unionAll(new), "smh-links")
+        new = verified(cand.select("a", "b").distinct(), sets, num, den)
+        if last:
+            new = new.unionAll(bucket_links(joined.filter("not few").select("band", "fp", "size", "root"), sets, num, den))
+        found = store(new if found is None else found.unionAll(new), "smh-links")
         if last:
             break
+        before = pairs
         comp = connected_components(found)
-        left = joined.filter("fp <> center").drop("center", "root")
+        left = joined.filter("fp <> center").drop("center", "few", "root")
         left = left.join(comp.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
         left = store(left, "smh-left")
     return members.sparkSession.createDataFrame([], "a binary, b binary") if found is None else found
