@@ -10,10 +10,11 @@ batch by batch:
 
 * fold the centers chosen by the last pass into the state, one distance per
   point and new center;
-* emit, per (part, salt), the ``CANDIDATES`` points with the largest distance.
+* emit, per (part, salt), a fixed number of points with the largest distance
+  (``candidates``: 16 to 512, fewer for more parts).
 
 The candidates of all tasks are reduced to the same number per (part, salt)
-and reach the driver: at most ``parts * SALTS * CANDIDATES`` rows. The driver
+and reach the driver: about ``ROWS`` rows, or 16 per part and salt. The driver
 goes on choosing centers among them as long as the next one is provably the
 farthest point of its part, i.e. its distance exceeds that of every point left
 out. So one pass yields several centers; it always yields at least one per
@@ -40,7 +41,9 @@ from pyspark.sql import functions as F
 from ..plans.limits import check_broadcast_bound, point_bytes
 from ..plans.session import Stored, cut_lineage
 
-CANDIDATES = 128
+#: Candidates per (part, salt): as many as keep a pass's rows near ROWS in all, within bounds.
+ROWS = 32_768
+FEWEST, MOST = 16, 512
 SALTS = 4
 STORE_EVERY = 8
 STATE = "part_id int, point_id bigint, point array<double>, weight bigint, mind double, near int"
@@ -123,8 +126,12 @@ def _folder(new: dict[int, list[tuple[int, np.ndarray]]]) -> Callable:
     return run
 
 
-def _farthest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per (part, salt) of this task: the CANDIDATES farthest points (lower id first on ties)."""
+def candidates(parts: int) -> int:
+    return max(FEWEST, min(MOST, ROWS // (parts * SALTS)))
+
+
+def _farthest(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """Per (part, salt) of this task: the ``most`` farthest points (lower id first on ties)."""
     best: dict[tuple[int, int], tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
     for batch in batches:
         if not len(batch):
@@ -139,7 +146,7 @@ def _farthest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             i, p, m = ids[rows], points[rows], mind[rows]
             if at in best:
                 i, p, m = (np.concatenate(x) for x in zip(best[at], (i, p, m), strict=True))
-            order = np.lexsort((i, -m))[:CANDIDATES]
+            order = np.lexsort((i, -m))[:most]
             best[at] = (i[order], p[order], m[order])
     for (part, salt), (i, p, m) in best.items():
         n = len(i)
@@ -150,12 +157,12 @@ def _farthest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["part_id", "salt", "point_id", "point", "mind"])
 
 
-def _candidates(state: DataFrame, parts: dict[int, Part]) -> None:
+def _candidates(state: DataFrame, parts: dict[int, Part], most: int) -> None:
     """One pass over the state: fills the parts' candidates and bounds."""
-    local = state.select("part_id", "point_id", "point", "mind").mapInArrow(_farthest, FARTHEST)
+    local = state.select("part_id", "point_id", "point", "mind").mapInArrow(lambda batches: _farthest(batches, most), FARTHEST)
     order = Window.partitionBy("part_id", "salt").orderBy(F.desc("mind"), "point_id")
-    top = local.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= CANDIDATES).drop("place")
-    table = top.toArrow()  # at most parts * SALTS * CANDIDATES rows
+    top = local.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= most).drop("place")
+    table = top.toArrow()  # at most parts * SALTS * most rows
     for part in parts.values():
         part.ids, part.mind, part.bound = None, np.empty(0), -1.0
     if not table.num_rows:
@@ -168,7 +175,7 @@ def _candidates(state: DataFrame, parts: dict[int, Part]) -> None:
         part.ids, part.points, part.mind = ids[rows], points[rows], mind[rows].copy()
         for s in np.unique(salts[rows]):
             own = mind[rows & (salts == s)]
-            if len(own) == CANDIDATES:  # points may have been left out, none farther than the last
+            if len(own) == most:  # points may have been left out, none farther than the last
                 part.bound = max(part.bound, own.min())
 
 
@@ -209,7 +216,7 @@ class Traversal:
     def passes(self, n_centers: int, n_parts: int) -> None:
         n = 0
         while True:
-            _candidates(self.state, self.parts)  # fills the cache of the state
+            _candidates(self.state, self.parts, candidates(n_parts))  # fills the cache of the state
             if self.stale is not None:
                 self.stale.unpersist()
             new = {p: got for p, part in self.parts.items() if (got := part.advance(n_centers))}

@@ -198,6 +198,8 @@ def test_coreset_matches_bruteforce(spark, coords, k, L):
 def test_few_candidates_give_the_same_centers(spark, monkeypatch):
     """Passes whose candidates decide only some of the centers, and states written midway."""
     monkeypatch.setattr(FFT, "STORE_EVERY", 2)
+    monkeypatch.setattr(FFT, "FEWEST", 3)
+    monkeypatch.setattr(FFT, "MOST", 3)
     rnd = random.Random(11)
     coords = [[rnd.randint(0, 30) / 4 for _ in range(3)] for _ in range(120)]
     pts = _points(spark, coords).repartition(5)
