@@ -21,9 +21,12 @@ file and gives no rows; a text of any length is encoded whole; extra columns are
 from __future__ import annotations
 
 import json
+import sys
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -40,25 +43,30 @@ CHUNK = 1 << 16
 FILE_IDS = 1 << 24
 LEVEL = 3
 END_ID = 2
+#: Runs and cores that a worker keeps, cores and texts that it encodes together.
 WORD_CACHE = 300_000
+CORE_CACHE = 500_000
+JOINED = 200
+TEXTS = 256
 
 
 def to_planes(ids: np.ndarray, mode: str) -> list[bytes]:
     """The planes of an id block, most significant first."""
-    raw = ids[:, None].view(np.uint8)[:, ::-1]  # big-endian bytes per id
     if mode == "byte":
+        raw = ids[:, None].view(np.uint8)[:, ::-1]  # big-endian bytes per id
         return [np.ascontiguousarray(raw[:, b]).tobytes() for b in range(raw.shape[1])]
-    bits = np.ascontiguousarray(np.unpackbits(raw, axis=1).T)
-    return [p.tobytes() for p in np.packbits(bits, axis=1)]
+    return [np.packbits((ids >> k & 1).astype(np.uint8)).tobytes() for k in reversed(range(8 * ids.dtype.itemsize))]
 
 
 def from_planes(planes: list[bytes], n: int, dtype: np.dtype, mode: str) -> np.ndarray:
     if mode == "byte":
         raw = np.stack([np.frombuffer(p, np.uint8) for p in planes], axis=1)
-    else:
-        bits = np.stack([np.unpackbits(np.frombuffer(p, np.uint8), count=n) for p in planes])
-        raw = np.packbits(np.ascontiguousarray(bits.T), axis=1)
-    return np.ascontiguousarray(raw[:, ::-1]).view(dtype).reshape(-1)
+        return np.ascontiguousarray(raw[:, ::-1]).view(dtype).reshape(-1)
+    ids = np.zeros(n, dtype)
+    for plane in planes:
+        ids <<= 1
+        ids |= np.unpackbits(np.frombuffer(plane, np.uint8), count=n)
+    return ids
 
 
 @dataclass
@@ -164,45 +172,134 @@ class PlaneReader:
         self.file.close()
 
 
+def byte_letters() -> dict[int, int]:
+    """The letter that a byte-level vocabulary writes for each byte: printable Latin-1
+    characters stand for themselves, the other bytes follow in order from code point 256."""
+    own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
+    others = [b for b in range(256) if b not in own]
+    return {b: b for b in own} | {b: 256 + i for i, b in enumerate(others)}
+
+
+BYTE_LETTERS = byte_letters()
+
+
 class WordIds(dict):
-    """Ids of a run of non-blank bytes, encoded once. The vocabulary's pre-tokeniser drops
-    white space and splits there, so a text's ids are those of its runs in order."""
+    """Ids (little-endian bytes of one width) of runs of non-blank bytes, each encoded once.
+
+    The vocabulary's pre-tokeniser drops white space and splits there, so a text's ids are
+    those of its runs in order. It also splits between letters and marks and lowers
+    case, so runs that differ in ASCII case or in closing marks share their core. New
+    cores of letters go straight to the vocabulary's model, others are encoded many at a time, joined
+    by a digit that tells them apart again. A vocabulary that does otherwise has
+    every run encoded by itself."""
+
+    MARKS = b".,;:!?"
+    #: Joins cores without this digit: the vocabulary makes it a token of its own.
+    DIGIT = "0"
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, end: int):
         from tokenizers import Tokenizer
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-
-    def __missing__(self, run: bytes) -> list[int]:
-        if len(self) >= WORD_CACHE:
+        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 and end < 1 << 16 else "<u4")
+        self.end = np.array([end], self.dtype).tobytes()
+        self.model = self.tokenizer.model
+        self.kind = "H" if self.dtype.itemsize == 2 else "I"
+        self.cores: dict[bytes, bytes] = {b"": b""}
+        # the short cuts hold for a vocabulary that lowers case and splits at marks and digits, over bytes
+        probe = [self._ids(x) for x in ("Ab!?", "ab", "!?", f"ab {self.DIGIT} cd", self.DIGIT, "cd")]
+        self.mark_id = probe[4][0]
+        self.folds = (probe[0] == probe[1] + probe[2] and probe[3] == probe[1] + probe[4] + probe[5] and len(probe[4]) == 1
+                      and all(self._letters(x) == self._bytes(self._ids(x)) for x in ("ab", "zebra", "stra\u00dfe", "d\u00e9j\u00e0", "\u0142\u0101")))
+
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _bytes(self, ids: list[int]) -> bytes:
+        return array(self.kind, ids).tobytes() if sys.byteorder == "little" else np.array(ids, self.dtype).tobytes()
+
+    def _letters(self, word: str) -> bytes:
+        """Ids of one run of lower-case letters, straight from the model: it needs no other step."""
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(BYTE_LETTERS)
+        return self._bytes([t.id for t in self.model.tokenize(word)])
+
+    def learn(self, runs: list[list[bytes]]) -> None:
+        """Make sure that every run of the texts is known."""
+        new = {r for text in runs for r in text if r not in self}
+        if len(self) + len(new) > WORD_CACHE:
             self.clear()
-        ids = self.tokenizer.encode(run.decode(), add_special_tokens=False).ids
-        if len(run) < 64:
-            self[run] = ids
-        return ids
-
-    def encode(self, text: bytes | None, end: int) -> np.ndarray:
-        out: list[int] = []
-        for run in map(self.__getitem__, text.split() if text else ()):
-            out += run
-        out.append(end)
-        return np.array(out, np.uint32)
+            new = {r for text in runs for r in text}
+        if len(self.cores) + len(new) > CORE_CACHE:
+            self.cores = {b"": b""}
+        marks, folds, cores, waiting = self.MARKS, self.folds, self.cores, []
+        tokenize, as_bytes = self.model.tokenize, self._bytes
+        for run in new:
+            core, tail = run, b""
+            if folds and b"<" not in run:
+                if run[-1] in marks:
+                    core = run.rstrip(marks)
+                    tail = run[len(core):]
+                    if not core[-1:].isalnum():  # the marks may be part of a longer run of marks
+                        core, tail = run, b""
+                core = core.lower()
+            ids = cores.get(core)
+            if ids is None and folds:
+                word = core.decode()
+                if core.isalpha():  # of bytes: A-Z and a-z only
+                    ids = cores[core] = as_bytes([t.id for t in tokenize(word)])
+                elif word.isalpha() and max(word) < "\u0250" and "\u0130" not in word:
+                    ids = cores[core] = self._letters(word.lower())
+            if ids is None or tail and tail not in cores:
+                waiting.append((run, core, tail))
+            else:
+                self[run] = ids + cores[tail] if tail else ids
+        self._learn_cores({c for _, *pair in waiting for c in pair if c not in cores})
+        for run, core, tail in waiting:
+            self[run] = cores[core] + cores[tail]
+
+    def _learn_cores(self, new: set[bytes]) -> None:
+        digit, width = self.DIGIT.encode(), self.dtype.itemsize
+        alone = [c for c in new if not self.folds or b"<" in c or digit in c]
+        for c in alone:
+            self.cores[c] = self._bytes(self._ids(c.decode()))
+        together = list(new.difference(alone))
+        for lo in range(0, len(together), JOINED):
+            some = together[lo:lo + JOINED]
+            joined = (b" " + digit + b" ").join(some).decode()
+            ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, np.int64)
+            stops = [*np.flatnonzero(ids == self.mark_id).tolist(), len(ids)]
+            flat, start = ids.astype(self.dtype).tobytes(), 0
+            for c, stop in zip(some, stops, strict=True):
+                self.cores[c] = flat[start * width:stop * width]
+                start = stop + 1
+
+    def encode(self, texts: list[bytes | None]) -> Iterator[np.ndarray]:
+        """Ids of each text, with the end id."""
+        split = [t.split() if t else [] for t in texts]
+        self.learn(split)
+        for runs in split:
+            yield np.frombuffer(b"".join(map(self.__getitem__, runs)) + self.end, self.dtype)
+
+
+@lru_cache(maxsize=1)
+def word_ids(path: str, end: int) -> WordIds:
+    """One cache per Python worker, kept over its tasks."""
+    return WordIds(path, end)
 
 
 def _writer(folder: str, vocabulary: str | None, end: int, mode: str) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        path = vocabulary or _default_vocabulary()
-        words, part = WordIds(path), TaskContext.get().partitionId()
-        width = "<u2" if words.tokenizer.get_vocab_size() <= 1 << 16 and end < 1 << 16 else "<u4"
-        rows = ((d, t) for batch in batches for d, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
+        words, part = word_ids(vocabulary or _default_vocabulary(), end), TaskContext.get().partitionId()
+        rows = _encoded(batches, words)
         done, row = [], next(rows, None)
         while row is not None:
             uri = f"{folder}/part-{part:06d}-{len(done):05d}.planes"
             with writing(uri) as out:
-                planes = PlaneWriter(out, np.dtype(width), mode)
+                planes = PlaneWriter(out, words.dtype, mode)
                 while row is not None and planes.n_ids < FILE_IDS:
-                    planes.add(row[0], words.encode(row[1], end))
+                    planes.add(*row)
                     row = next(rows, None)
                 planes.close()
             done.append((part, len(done), uri, len(planes.docs), planes.n_ids, planes.at))
@@ -211,6 +308,13 @@ def _writer(folder: str, vocabulary: str | None, end: int, mode: str) -> Callabl
     return run
 
 
+def _encoded(batches: Iterator[pa.RecordBatch], words: WordIds) -> Iterator[tuple[int | None, np.ndarray]]:
+    for batch in batches:
+        for lo in range(0, len(batch), TEXTS):
+            part = batch.slice(lo, TEXTS)
+            yield from zip(part.column(0).to_pylist(), words.encode(part.column(1).to_pylist()), strict=True)
+
+
 MANIFEST = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("uri", pa.string()),
                       ("n_docs", pa.int64()), ("n_ids", pa.int64()), ("n_bytes", pa.int64())])
 
@@ -260,7 +364,8 @@ def read_planes(spark: SparkSession, manifest: DataFrame) -> DataFrame:
     The running sum is over files, a row each."""
     before = F.sum("n_ids").over(W.orderBy("part", "seq").rowsBetween(W.unboundedPreceding, -1))
     files = manifest.select("uri", F.coalesce(before, F.lit(0)).cast("long").alias("start"))
-    return files.repartition("uri").mapInArrow(_reader, "doc_id long, start long, n_tokens long, ids_crc32 long, uri string")
+    # a partition per file, given as a number: else the few small rows would be coalesced into one task
+    return files.repartition(max(1, manifest.count())).mapInArrow(_reader, "doc_id long, start long, n_tokens long, ids_crc32 long, uri string")
 
 
 def tokenised(docs: DataFrame, vocabulary: str | None = None, mode: str = "bit") -> DataFrame:
