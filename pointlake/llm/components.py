@@ -17,6 +17,10 @@ from pyspark.sql import functions as F
 
 from .common import store
 
+#: Edges per writing task, and the least number of tasks.
+TASK_EDGES = 200_000
+LEAST_TASKS = 12
+
 
 class UnionFind(dict):
     """Roots by least element, path halving; missing nodes are their own root."""
@@ -55,17 +59,19 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b; no nulls): root is the least
     node of its component. Isolated nodes do not occur in the result."""
     edges = edges.select("a", "b").filter("a <> b")
-    edges = edges.mapInArrow(_forest, edges.schema).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    edges = store(edges.filter("a <> b").distinct(), "components")
+    # the edges left shrink from here on, so their number bounds the tasks that write them
+    tasks = max(LEAST_TASKS, -(-edges.count() // TASK_EDGES))
+    edges = edges.coalesce(tasks).mapInArrow(_forest, edges.schema).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    edges = store(edges.filter("a <> b").distinct().coalesce(tasks), "components")
     seen = _stamp(edges)
     while seen[0]:
         both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.join(low, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        large = store(large, "components-large")
+        large = store(large.coalesce(tasks), "components-large")
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        edges = store(small.unionAll(low.select("a", F.col("m").alias("b"))).distinct(), "components-small")
+        edges = store(small.unionAll(low.select("a", F.col("m").alias("b"))).distinct().coalesce(tasks), "components-small")
         now = _stamp(edges)
         if now == seen:
             break

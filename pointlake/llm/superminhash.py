@@ -282,6 +282,18 @@ def bucket_links(left: DataFrame, sets: DataFrame, num: int, den: int) -> DataFr
     return rows.mapInArrow(_chunk_links(num, den), "a binary, b binary")
 
 
+def hubs(found: DataFrame, score: DataFrame) -> DataFrame:
+    """(fp, root): where a node gets by two steps along links, each to the most central node.
+    Nodes of equal root are connected; it need not tell all that are."""
+    def step(a: str, b: str) -> DataFrame:
+        return found.join(score.withColumnRenamed("fp", b), b).select(F.col(a).alias("fp"), F.struct("score", F.col(b).alias("to")).alias("up"))
+
+    own = score.select("fp", F.struct("score", F.col("fp").alias("to")).alias("up"))
+    up = own.unionAll(step("a", "b")).unionAll(step("b", "a")).groupBy("fp").agg(F.max("up").alias("up"))
+    up = store(up.select("fp", F.col("up.to").alias("to")), "smh-hubs")
+    return up.join(up.select(F.col("fp").alias("to"), F.col("to").alias("root")), "to").select("fp", "root")
+
+
 def links(docs: DataFrame, signed: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """(a, b): verified links that connect the nodes of every component."""
     reps = signed.filter("fp is not null").groupBy("fp").agg(
@@ -290,7 +302,7 @@ def links(docs: DataFrame, signed: DataFrame, k: int, num: int, den: int) -> Dat
     places = nodes.select("fp", "size", F.explode("bands").alias("band"))
     shared = places.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     members = store(places.join(shared, "band"), "smh-members")
-    score = members.groupBy("fp").agg(F.sum("n").alias("score"))
+    score = store(members.groupBy("fp").agg(F.sum("n").alias("score")), "smh-scores")
     # the score comes first: max picks the most central member, then the fingerprint decides
     members = store(members.select("band", "fp", "size").join(score, "fp"), "smh-scored")
     wanted = members.select("fp").distinct().join(nodes.select("fp", "doc_id"), "fp")
@@ -325,10 +337,8 @@ def links(docs: DataFrame, signed: DataFrame, k: int, num: int, den: int) -> Dat
         if last:
             break
         before = pairs
-        comp = connected_components(found)
         left = joined.filter("fp <> center").drop("center", "few", "root")
-        left = left.join(comp.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-        left = store(left, "smh-left")
+        left = store(left.join(hubs(found, score), "fp"), "smh-left")
     return members.sparkSession.createDataFrame([], "a binary, b binary") if found is None else found
 
 
