@@ -59,6 +59,8 @@ INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em fo
 #: Elements that are told apart by place if they have no name, and how many places there are.
 CONTAINERS = frozenset("div section table ul ol dl".split())
 PLACES = 8
+#: Elements nested deeper than this share the place of the one at this depth.
+DEEPEST = 100
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CLOSES_P = frozenset("address article aside blockquote details dialog div dl fieldset figcaption figure footer form h1 h2 h3 h4 "
                      "h5 h6 header hgroup hr main menu nav ol p pre search section table ul".split())
@@ -134,7 +136,7 @@ def blocks(page: str | None) -> list[tuple[str, str, int, int]]:
             in_link -= tag == "a"
         if size <= block:
             flush()
-            block = max(i for i in range(size) if stack[i][0] not in INLINE)
+            block = next(i for i in range(size - 1, -1, -1) if stack[i][0] not in INLINE)
         del stack[size:]
 
     at, page = 0, page or ""
@@ -191,7 +193,8 @@ def blocks(page: str | None) -> list[tuple[str, str, int, int]]:
                 if label == tag and tag in CONTAINERS:  # nothing but its place tells it from its siblings
                     n = children[tag] = children.get(tag, 0) + 1
                     label = f"{tag}[{min(n, PLACES)}]"
-                path = path if tag in ("html", "body") else f"{path}/{label}"
+                if tag not in ("html", "body") and path.count("/") < DEEPEST:
+                    path = f"{path}/{label}"
                 block = len(stack)
             in_link += tag == "a"
             stack.append((tag, path, up_bad or bad, up_header or header, max(up_rank, rank), {}))

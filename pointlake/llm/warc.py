@@ -188,7 +188,8 @@ def normalise(spark: SparkSession, source: str, target: str) -> DataFrame:
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(source).select("path")
     name = F.concat(F.lit(f"{target}/"), F.regexp_replace(F.regexp_extract("path", "([^/]+)$", 1), r"(\.txt)?\.gz$", ".warc.gz"))
     files = store(files.select("path", name.alias("target")).filter(F.col("path").isNotNull()), "warc-files")
-    return store(files.repartition("path").mapInArrow(_normaliser, "archive string, n_records long, n_bytes long"), "warc-archives")
+    # a partition per file, given as a number: else the few small rows would be coalesced into one task
+    return store(files.repartition(max(1, files.count())).mapInArrow(_normaliser, "archive string, n_records long, n_bytes long"), "warc-archives")
 
 
 RECORD = pa.schema([("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()),
@@ -235,7 +236,7 @@ def read_records(archives: DataFrame) -> DataFrame:
     """One row per record of the archives, found through their sidecars; payloads of responses are checked."""
     kinds = ("page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, "
              "url string, archive string, offset long")
-    return archives.select("archive").repartition("archive").mapInArrow(_reader, kinds)
+    return archives.select("archive").repartition(max(1, archives.count())).mapInArrow(_reader, kinds)
 
 
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -48,7 +48,7 @@ def test_file_round_trip(tmp_path, monkeypatch, mode):
 def test_runs_are_encoded_as_in_the_whole_text(tokenizer):
     rnd = random.Random(3)
     parts = ["a", "B", "I", "'s", "é", "İ", "　", "\u0085", "​", "\t", "\n", "\x0b", "\x1c", "\x00", "一", "二", "3", "0", "²", "<|endoftext|>",
-             "<|ENDOFTEXT|>", "ﬁ", "각", "ß", "Σ", "🙂", "̸", " ", ". ", "! ", ",", "'re", '"', "x", "<"]
+             "<|ENDOFTEXT|>", "ﬁ", "각", "ß", "Σ", "🙂", "̸", " ", ". ", "! ", ",", "'re", '"', "x", "<", "***", "'", "_", "-", "»", "…", "é,", "ß's", "&&&", ")."]
     texts = ["".join(rnd.choices(parts, k=rnd.randint(0, 12))) for _ in range(4000)]
     words = P.WordIds(VOCABULARY, 2)
     for text, ids in zip(texts, words.encode([t.encode() for t in texts]), strict=True):
