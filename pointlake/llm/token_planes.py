@@ -45,7 +45,7 @@ LEVEL = 3
 END_ID = 2
 #: Runs and cores that a worker keeps, cores and texts that it encodes together.
 WORD_CACHE = 300_000
-CORE_CACHE = 500_000
+CORE_CACHE = 700_000
 JOINED = 200
 TEXTS = 256
 
@@ -183,6 +183,11 @@ def byte_letters() -> dict[int, int]:
 BYTE_LETTERS = byte_letters()
 
 
+def simple_letters(word: str) -> bool:
+    """Latin letters that stay letters, one for one, in lower case (U+0130 gains a mark)."""
+    return word.isalpha() and max(word) < "\u0250" and "\u0130" not in word
+
+
 class WordIds(dict):
     """Ids (little-endian bytes of one width) of runs of non-blank bytes, each encoded once.
 
@@ -193,7 +198,8 @@ class WordIds(dict):
     by a digit that tells them apart again. A vocabulary that does otherwise has
     every run encoded by itself."""
 
-    MARKS = b".,;:!?"
+    #: ASCII punctuation but "<", which special tokens begin with.
+    MARKS = b"!\"#$%&'()*+,-./:;=>?@[\\]^_`{|}~"
     #: Joins cores without this digit: the vocabulary makes it a token of its own.
     DIGIT = "0"
 
@@ -208,7 +214,7 @@ class WordIds(dict):
         self.kind = "H" if self.dtype.itemsize == 2 else "I"
         self.cores: dict[bytes, bytes] = {b"": b""}
         # the short cuts hold for a vocabulary that lowers case and splits at marks and digits, over bytes
-        probe = [self._ids(x) for x in ("Ab!?", "ab", "!?", f"ab {self.DIGIT} cd", self.DIGIT, "cd")]
+        probe = [self._ids(x) for x in ("Ab!*", "ab", "!*", f"ab {self.DIGIT} cd", self.DIGIT, "cd")]
         self.mark_id = probe[4][0]
         self.folds = (probe[0] == probe[1] + probe[2] and probe[3] == probe[1] + probe[4] + probe[5] and len(probe[4]) == 1
                       and all(self._letters(x) == self._bytes(self._ids(x)) for x in ("ab", "zebra", "stra\u00dfe", "d\u00e9j\u00e0", "\u0142\u0101")))
@@ -241,15 +247,15 @@ class WordIds(dict):
                 if run[-1] in marks:
                     core = run.rstrip(marks)
                     tail = run[len(core):]
-                    if not core[-1:].isalnum():  # the marks may be part of a longer run of marks
-                        core, tail = run, b""
+                    if not (core[-1:].isalnum() or core and core[-1] > 127 and simple_letters(core.decode()[-1])):
+                        core, tail = run, b""  # the marks may be part of a longer run of marks
                 core = core.lower()
             ids = cores.get(core)
             if ids is None and folds:
                 word = core.decode()
                 if core.isalpha():  # of bytes: A-Z and a-z only
                     ids = cores[core] = as_bytes([t.id for t in tokenize(word)])
-                elif word.isalpha() and max(word) < "\u0250" and "\u0130" not in word:
+                elif simple_letters(word):
                     ids = cores[core] = self._letters(word.lower())
             if ids is None or tail and tail not in cores:
                 waiting.append((run, core, tail))
