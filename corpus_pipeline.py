@@ -10,14 +10,17 @@ group stays (the one with the smallest id), documents that contain a benchmark i
 left out as the mix of sources asks. The last writes the token files and
 returns their documents (doc_id, start, n_tokens, ids_crc32): a document that the mix holds twice is there twice.
 
-Edge cases: a null id is a row like any other; an empty table passes through every stage as an empty table;
-rows that repeat an id and a text are near duplicates of each other: the decision is on the
-id, so all rows of a kept id stay, as a mix that repeats documents needs.
+Stages 2 and 3 know a document by its id and its text together (``document_key``), never by the id
+alone: rows without an id, and different texts under one id, are documents of their own.
+
+Edge cases: a null id comes after all others; an empty table passes through every stage as an empty table;
+rows that repeat an id (or the lack of one) and a text are one document: all of them stay or
+all go, as a mix that repeats documents needs.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pointlake.llm import decontam, mixing, superminhash, token_planes, toxicity
@@ -31,13 +34,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays."""
-    gone = superminhash.near_duplicates(docs).filter("not kept").select("doc_id").distinct()
+    gone = superminhash.near_duplicates(_by_key(docs)).filter("not kept").select("doc_id").distinct()
     return _without(docs, store(gone, "pipeline-copies"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain no benchmark item."""
-    found = decontam.contaminated(docs, read_table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
+    found = decontam.contaminated(_by_key(docs), read_table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
     return _without(docs, store(found, "pipeline-contaminated"))
 
 
@@ -51,10 +54,22 @@ def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return token_planes.tokenised(docs).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def document_key() -> Column:
+    """Id and text of a row as one value that is never null; smaller ids are smaller, no id is the largest."""
+    return F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"),
+                    F.unhex(F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary"))).alias("code"))
+
+
+def _by_key(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) with the key in the place of the id."""
+    return docs.select(document_key().alias("doc_id"), "text")
+
+
 def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose id is not in ``gone``."""
-    d, g = docs.alias("d"), gone.alias("g")
-    return d.join(g, F.col("d.doc_id").eqNullSafe(F.col("g.doc_id")), "left_anti")
+    """Rows of ``docs`` whose key is not in ``gone`` (doc_id)."""
+    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("own")
+    d, g = docs.select(document_key().alias("key"), own).alias("d"), gone.alias("g")
+    return d.join(g, F.col("d.key").eqNullSafe(F.col("g.doc_id")), "left_anti").select("own.*")
 
 
 STAGES = [

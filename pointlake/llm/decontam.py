@@ -106,7 +106,7 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD
     asked = F.element_at(F.array(*[F.lit(class_hits(k)) for k in range(24)]), F.least(level, F.lit(23)) + 1)
     found = hits(docs, sketch).filter(F.col("n_shared") >= asked).select("doc_id", "item_id")
     found = store(found, "bench-candidates")
-    one = broadcast_if_small(store(found.select("doc_id").distinct(), "bench-docs"), 16).alias("c")
+    one = broadcast_if_small(store(found.select("doc_id").distinct(), "bench-docs"), 64).alias("c")
     d = docs.select("doc_id", "text").alias("d")
     again = d.join(one, F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")), "left_semi")
     exact, f = hits(again, table).alias("e"), found.alias("f")
