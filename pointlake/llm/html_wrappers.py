@@ -14,7 +14,9 @@ The wrapper then says what the host's template is: texts that are the same on ev
 them (with at least ``LEAST_PAGES`` pages, at least half of the parent's, and most of the
 text variable), link lists, and, where pages name no article element, the node that holds
 most of the variable text. Regions that name themselves (navigation, header, footer, aside, form,
-advert, notice, comments ...) are dropped on every page.
+advert, notice, comments ...) are dropped on every page; one that only its names tell to drop stays if it holds
+most of the host's variable text. The article element is kept whole where a page has one (unless it is less than half of the
+ranked text around it), else all that lies in elements named as content, if that is most of the page's text.
 
 Edge cases: a null or empty html gives an empty text; a null url, or one without a host,
 belongs to the host ""; broken markup is closed where HTML implies it, an unfinished tag at
@@ -79,41 +81,52 @@ BAD_HINTS = frozenset(
     "masthead toolbar topbar login search copyright legal disclaimer skip tags tagcloud toc".split())
 #: The ones that tell an article element is not the article (one comment, a teaser ...).
 ARTICLE_HINTS = frozenset("ad ads advert advertisement sponsored promo related recommended comment comments reply replies".split())
+#: Parts of a name that make it a state of the element (no-sidebar, share-enabled), not what it is.
+STATES = frozenset("no not without has have with is enabled disabled".split())
 HEADER_HINTS = frozenset("header hdr".split())
 RANK_TOKENS = {"article": 2, "articlebody": 2, "post": 2, "entry": 2, "story": 2, "content": 1, "main": 1, "maincontent": 1, "text": 1}
+#: Elements that are a paragraph, heading or item of a text, whatever their class says.
+PARTS = HEADINGS | frozenset("p li dt dd tr pre blockquote figure figcaption address ul ol dl".split())
+#: Why an element is dropped: by its names only, or by what it is.
+BY_HINT, BY_KIND = 1, 2
 
 
 @lru_cache(maxsize=50_000)
-def tag_facts(tag: str, attributes: str) -> tuple[str, bool, bool, int]:
-    """(label, bad region, header region, article rank) of a start tag."""
+def tag_facts(tag: str, attributes: str) -> tuple[str, int, bool, int]:
+    """(label, why it is dropped or 0, header region, article rank) of a start tag."""
     found = {}
     for m in ATTRIBUTE.finditer(attributes):
         found[(m[1] or m[5]).lower()] = m[2] or m[3] or m[4] or ""
     names = f"{found.get('id', '')} {found.get('class', '')}"
-    tokens = set(re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", names).lower()))
+    parted = [frozenset(re.findall(r"[a-z]+", x.lower())) for x in re.sub(r"([a-z])([A-Z])", r"\1-\2", names).split()]
+    tokens = set().union(*parted)
     role = found.get("role", "").lower()
     style = found.get("style", "").replace(" ", "").lower()
     header = tag == "header" or bool(tokens & HEADER_HINTS)
-    rank = 3 if tag == "article" or role == "article" else max((RANK_TOKENS.get(t, 0) for t in tokens), default=0)
+    rank = 3 if tag == "article" or role == "article" else max((RANK_TOKENS.get(t, 0) for t in tokens), default=0) if tag not in PARTS else 0
     if tag == "main" or role == "main":
         rank = max(rank, 1)
     if found.get("itemprop", "").lower() == "articlebody":
         rank = max(rank, 2)
     hints = ARTICLE_HINTS if tag == "article" else () if tag in ("body", "html", "main") else BAD_HINTS
-    bad = (tag in BAD_TAGS or role in BAD_ROLES or bool(tokens.intersection(hints)) or "hidden" in found
-           or found.get("aria-hidden") == "true" or "display:none" in style)
+    # beside a name that only says article, a name with a state in it is no hint
+    article = any(not x.isdisjoint(RANK_TOKENS) and x.isdisjoint(BAD_HINTS) for x in parted)
+    hinted = any(not x.isdisjoint(hints) and not (article and not x.isdisjoint(STATES)) for x in parted)
+    bad = (BY_KIND if tag in BAD_TAGS or role in BAD_ROLES or "hidden" in found or found.get("aria-hidden") == "true"
+           or "display:none" in style or not tokens.isdisjoint(ARTICLE_HINTS) and hinted else BY_HINT if hinted else 0)
     names = " ".join([*found.get("id", "").split(), *sorted(found.get("class", "").split())])
     label = f"{tag} {re.sub(r'[0-9]+', '#', names)}".strip().replace("/", "|")
     return label, bad, header, 0 if bad else rank
 
 
-def blocks(page: str | None) -> list[tuple[str, str, int, int]]:
-    """(path, text, characters of link text, rank) of every block with text, in page order.
+def blocks(page: str | None) -> list[tuple[str, str, int, int, tuple[str, ...]]]:
+    """(path, text, characters of link text, rank, hinted) of every block with text, in page order.
 
-    path: labels of the enclosing block elements; rank: -1 in a dropped region, else the highest article rank around it."""
-    out: list[tuple[str, str, int, int]] = []
-    # tag, path, bad, header, rank, unnamed containers among the children so far
-    stack: list[tuple[str, str, bool, bool, int, dict[str, int]]] = [("", "", False, False, 0, {})]
+    path: labels of the enclosing block elements; rank: -1 in a region dropped for what it is, else the highest article
+    rank around it; hinted: paths of the enclosing elements that only their names tell to drop."""
+    out: list[tuple[str, str, int, int, tuple[str, ...]]] = []
+    # tag, path, bad, header, rank, unnamed containers among the children so far, hinted
+    stack: list[tuple[str, str, bool, bool, int, dict[str, int], tuple[str, ...]]] = [("", "", False, False, 0, {}, ())]
     parts: list[str] = []
     linked = 0
     in_link = 0
@@ -124,10 +137,10 @@ def blocks(page: str | None) -> list[tuple[str, str, int, int]]:
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                tag, path, bad, header, rank, _ = stack[block]
+                tag, path, bad, header, rank, _, hinted = stack[block]
                 if header and not (rank and tag in HEADINGS):
                     bad = True
-                out.append((path, text, linked, -1 if bad else rank))
+                out.append((path, text, linked, -1 if bad else rank, hinted))
             parts, linked = [], 0
 
     def pop_to(size: int) -> None:
@@ -145,8 +158,8 @@ def blocks(page: str | None) -> list[tuple[str, str, int, int]]:
         piece = page[at:m.start()] if m else page[at:]
         if piece:
             piece = htmllib.unescape(piece)
-            if stack[-1][2]:  # a dropped inline region inside a kept block
-                if stack[block][2]:
+            if stack[-1][2] or stack[-1][6]:  # a dropped inline region inside a kept block
+                if (stack[block][2], stack[block][6]) == (stack[-1][2], stack[-1][6]):
                     parts.append(piece)
             else:
                 parts.append(piece)
@@ -187,7 +200,7 @@ def blocks(page: str | None) -> list[tuple[str, str, int, int]]:
                     at = end.end() if end else len(page)
                 continue
             label, bad, header, rank = tag_facts(tag, attributes)
-            _, path, up_bad, up_header, up_rank, children = stack[-1]
+            _, path, up_bad, up_header, up_rank, children, hinted = stack[-1]
             if tag not in INLINE:
                 flush()
                 if label == tag and tag in CONTAINERS:  # nothing but its place tells it from its siblings
@@ -197,7 +210,9 @@ def blocks(page: str | None) -> list[tuple[str, str, int, int]]:
                     path = f"{path}/{label}"
                 block = len(stack)
             in_link += tag == "a"
-            stack.append((tag, path, up_bad or bad, up_header or header, max(up_rank, rank), {}))
+            if bad == BY_HINT:
+                hinted = (*hinted, path if tag not in INLINE else f"{path}/{label}")
+            stack.append((tag, path, up_bad or bad == BY_KIND, up_header or header, max(up_rank, rank), {}, hinted))
         elif m[1]:
             tag = m[1].lower()
             for i in range(len(stack) - 1, 0, -1):
@@ -217,11 +232,11 @@ def new_node(pages: int = 0) -> list:
     return [pages, 0, 0, None, 0, 0, 0, {}]
 
 
-def page_wrapper(found: list[tuple[str, str, int, int]]) -> list:
+def page_wrapper(found: list[tuple[str, str, int, int, tuple[str, ...]]]) -> list:
     """The expression of one page."""
     root = new_node(1)
     opened: list[str] = []
-    for path, text, linked, _ in found:
+    for path, text, linked, *_ in found:
         labels = path.split("/")[1:]
         node, depth = root, 0
         for label in labels:
@@ -283,33 +298,38 @@ def expression(node: list, label: str = "") -> str:
     return f"({body}){mark}" if mark else body
 
 
-def _label_facts(label: str) -> tuple[bool, int]:
-    """(bad, rank) by a label alone, as its start tag gave them."""
+def _label_facts(label: str) -> tuple[int, int]:
+    """(why it is dropped or 0, rank) by a label alone, as its start tag gave them."""
     tag, *names = label.partition("[")[0].split(" ")
     _, bad, header, rank = tag_facts(tag, f'class="{" ".join(names)}"')
-    return bad or header, rank
+    return BY_KIND if header else bad, rank
 
 
 def template(root: list) -> dict:
-    """What the wrapper says of its host: {"fixed": paths, "menus": paths, "root": path or ""}."""
-    found: list[tuple[str, list, list, bool, int]] = []
+    """What the wrapper says of its host: {"fixed": paths, "menus": paths, "root": path or "",
+    "kept": paths of elements that hold most of the variable text, though their names tell to drop them}."""
+    found: list[tuple[str, list, list, bool, int, tuple[str, ...]]] = []
 
-    def walk(node: list, path: str, bad: bool, rank: int) -> tuple[int, int]:
+    def walk(node: list, path: str, bad: bool, rank: int, hinted: tuple[str, ...]) -> tuple[int, int]:
         moving, linked = node[MOVING], node[LINKED]
         at = len(found)
         for label, below in node[BELOW].items():
             own_bad, own_rank = _label_facts(label)
-            found.append((f"{path}/{label}", below, node, bad or own_bad, max(rank, own_rank)))
-            m, k = walk(below, f"{path}/{label}", bad or own_bad, max(rank, own_rank))
+            facts = (bad or own_bad == BY_KIND, max(rank, own_rank), (*hinted, f"{path}/{label}") if own_bad == BY_HINT else hinted)
+            found.append((f"{path}/{label}", below, node, *facts))
+            m, k = walk(below, f"{path}/{label}", *facts)
             moving, linked = moving + m, linked + k
-        sums[path] = (moving, linked, sum(n[FIXED] for _, n, _, _, _ in found[at:]) + node[FIXED])
+        sums[path] = (moving, linked, sum(n[FIXED] for _, n, *_ in found[at:]) + node[FIXED])
         return moving, linked
 
     sums: dict[str, tuple[int, int, int]] = {}
-    walk(root, "", False, 0)
+    walk(root, "", False, 0, ())
     moving, _, fixed = sums[""]
     told = root[PAGES] >= LEAST_PAGES and moving >= VARIABLE * (moving + fixed)
-    out = {"fixed": [], "menus": [], "root": ""}
+    kept = {h[-1] for p, _, _, bad, _, h in found
+            if root[PAGES] >= LEAST_PAGES and moving and not bad and h and p == h[-1] and sums[p][0] >= MAJORITY * moving}
+    found = [(p, n, up, bad or not kept.issuperset(h), rank) for p, n, up, bad, rank, h in found]
+    out = {"fixed": [], "menus": [], "root": "", "kept": sorted(kept)}
     for path, node, parent, bad, rank in found:
         if bad:
             continue
@@ -337,19 +357,28 @@ def template(root: list) -> dict:
 
 def main_text(page: str | None, said: dict | None) -> str:
     """The page's article blocks, one per line."""
-    found = [b for b in blocks(page) if b[3] >= 0]
+    kept = set(said["kept"]) if said else set()
+    found = [b for b in blocks(page) if b[3] >= 0 and kept.issuperset(b[4])]
     fixed, menus = (set(said["fixed"]), said["menus"]) if said else ((), ())
     found = [b for b in found if b[0] not in fixed]
-    rank = max((b[3] for b in found), default=0)
-    if rank:
-        found = [b for b in found if b[3] == rank]
-    elif said:
+    # the article element, if it is most of what is ranked, else all below the outermost ranked elements, if that is most
+    ranked, article = [b for b in found if b[3]], [b for b in found if b[3] == 3]
+    if article and 2 * _size(article) >= _size(ranked):
+        found = article
+    else:
         found = [b for b in found if not any(b[0] == m or b[0].startswith(f"{m}/") for m in menus)]
-        below = [b for b in found if b[0] == said["root"] or b[0].startswith(f"{said['root']}/")]
-        found = below or found
+        if ranked and 2 * _size(ranked) > _size(found):
+            found = ranked
+        elif said:
+            below = [b for b in found if b[0] == said["root"] or b[0].startswith(f"{said['root']}/")]
+            found = below or found
     return "\n".join(b[1] for b in found)
 
 
+def _size(found: list[tuple[str, str, int, int, tuple[str, ...]]]) -> int:
+    return sum(len(b[1]) for b in found)
+
+
 def _page_wrappers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: dict[str, list] = {}
 

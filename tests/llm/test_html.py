@@ -100,3 +100,22 @@ def test_deep_and_long_pages(spark):
 
 def test_empty_table(spark):
     assert H.extract(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+@pytest.mark.parametrize("page,text", [
+    ("<main><p>Intro</p><div class='entry'>Body</div><p>End</p></main>", "Intro\nBody\nEnd"),
+    ("<div><p class='lead'>A</p><p class='text'>B is longer</p></div>", "A\nB is longer"),
+    ("<div class='content no-sidebar'><p>x</p></div>", "x"), ("<div class='main-content has-sidebar'><p>x</p></div>", "x"),
+    ("<div class='story share-enabled'><p>x</p></div>", "x"),
+    ("<div class='story'><p>first a long text</p><article>quoted</article><p>end</p></div>", "first a long text\nquoted\nend"),
+    ("<div class='content'>long text</div><div class='comment-content'>c</div><div class='widget widget_text'>d</div>", "long text"),
+    ("<p>a whole article of many words</p><div class='text'>b</div>", "a whole article of many words\nb"),
+])
+def test_names_of_inner_blocks_do_not_erase_the_rest(page, text):
+    assert H.main_text(page, None) == text
+
+
+def test_region_named_to_drop_that_holds_the_text_of_the_host_stays(spark):
+    pages = [("http://n.org/1", f"<div class='banner-page'><p>{f'w{i} ' * 40}</p></div><div class='sidebar'>s{i}</div>") for i in range(6)]
+    got = _extract(spark, pages)
+    assert all(got[i] == " ".join([f"w{i}"] * 40) for i in range(6))
