@@ -12,7 +12,7 @@ and those per host. No host is ever gathered in one task.
 
 The wrapper then says what the host's template is: texts that are the same on every page that has
 them (with at least ``LEAST_PAGES`` pages, at least half of the parent's, and most of the
-text variable), link lists, and, where pages name no article element, the node that holds
+text variable; never inside an element named as article or content, nor headings inside the content node), link lists, and, where pages name no article element, the node that holds
 most of the variable text. Regions that name themselves (navigation, header, footer, aside, form,
 advert, notice, comments ...) are dropped on every page; one that only its names tell to drop stays if it holds
 most of the host's variable text. The article element is kept whole where a page has one (unless it is less than half of the
@@ -334,7 +334,7 @@ def template(root: list) -> dict:
         if bad:
             continue
         same = node[TEXT] not in (None, SLOT) and node[PAGES] >= max(LEAST_PAGES, parent[PAGES] / 2)
-        if told and same:
+        if told and same and not rank:
             out["fixed"].append(path)
         m, k, f = sums[path]
         if not rank and node[BELOW] and k >= LINKS * max(1, m + f):
@@ -352,6 +352,8 @@ def template(root: list) -> dict:
             break
         path, here = f"{path}/{label}", here[BELOW][label]
     out["root"] = path
+    # equal titles are part of the articles they head
+    out["fixed"] = [p for p in out["fixed"] if not (path and p.startswith(f"{path}/") and re.split("[ [/]", p.rpartition("/")[2])[0] in HEADINGS)]
     return out
 
 
@@ -360,7 +362,7 @@ def main_text(page: str | None, said: dict | None) -> str:
     kept = set(said["kept"]) if said else set()
     found = [b for b in blocks(page) if b[3] >= 0 and kept.issuperset(b[4])]
     fixed, menus = (set(said["fixed"]), said["menus"]) if said else ((), ())
-    found = [b for b in found if b[0] not in fixed]
+    found = [b for b in found if b[3] or b[0] not in fixed]
     # the article element, if it is most of what is ranked, else all below the outermost ranked elements, if that is most
     ranked, article = [b for b in found if b[3]], [b for b in found if b[3] == 3]
     if article and 2 * _size(article) >= _size(ranked):

@@ -119,3 +119,17 @@ def test_region_named_to_drop_that_holds_the_text_of_the_host_stays(spark):
     pages = [("http://n.org/1", f"<div class='banner-page'><p>{f'w{i} ' * 40}</p></div><div class='sidebar'>s{i}</div>") for i in range(6)]
     got = _extract(spark, pages)
     assert all(got[i] == " ".join([f"w{i}"] * 40) for i in range(6))
+
+
+def test_equal_text_inside_the_article_is_kept(spark):
+    rnd = random.Random(3)
+    words = lambda n: " ".join(f"w{rnd.randrange(999)}" for _ in range(n))
+    pages, want = [], []
+    for i in range(12):
+        one, two = words(30), words(30)
+        host, start, end = (("a", "<article>", "</article>"), ("b", "<div><div>", "</div></div>"))[i % 2]
+        pages.append((f"http://{host}.org/{i}", f"<div>The site</div>{start}<h1>Daily briefing</h1><p>{one}</p><h2>Abstract</h2><p>{two}</p>{end}"
+                                                "<div>All rights of this site</div>"))
+        want.append(f"Daily briefing\n{one}\nAbstract\n{two}")
+    got = _extract(spark, pages)
+    assert [got[i] for i in range(12)] == want
