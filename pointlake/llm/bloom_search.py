@@ -30,19 +30,20 @@ from __future__ import annotations
 import heapq
 import math
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Collection, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import BROADCAST_BYTES, LOWER, UPPER, read_table, store
-from .superminhash import WordHashes, mix64
+from .superminhash import mix64
 
 TOP = 10
 #: Occurrences from which a document sets a term's rows of the next level.
@@ -50,9 +51,9 @@ LEVELS = np.array([1, 2, 3, 4, 6, 8, 12, 16, 24, 32, 48, 64, 96, 128, 256, 512,
 #: Rows of a block per pair of its largest document, and rows that a pair sets.
 ROWS_PER_PAIR, HASHES = 12, 4
 #: Documents of a block, cells (documents x rows) of its matrix, and most rows.
-BLOCK_DOCS, BLOCK_CELLS, MOST_ROWS = 2_048, 1 << 25, 1 << 22
+BLOCK_DOCS, BLOCK_CELLS, MOST_ROWS = 2_048, 1 << 24, 1 << 22
 #: Documents, and their distinct terms, that a task sorts by size at once.
-HELD_DOCS, HELD_TERMS = 8_192, 1_500_000
+HELD_DOCS, HELD_TERMS = 8_192, 2_000_000
 #: Documents whose bounds set the threshold, per result wanted.
 SEEDS = 2
 #: Bytes of query texts that are searched at once; of these, queries and terms that a task bounds at once.
@@ -91,6 +92,10 @@ class Index:
     n_terms: int           # all their terms, repeats included
 
 
+def term_hashes(found: Collection[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found))
+
+
 def pair_rows(hashes: np.ndarray, level: int, rows: int) -> np.ndarray:
     """terms x HASHES: the rows that terms set at a level, in a matrix of ``rows`` rows."""
     a = mix64(hashes + np.uint64(level * _GOLD & 0xFFFFFFFFFFFFFFFF))
@@ -98,18 +103,25 @@ def pair_rows(hashes: np.ndarray, level: int, rows: int) -> np.ndarray:
     return ((a[:, None] + np.arange(HASHES, dtype=np.uint64) * b[:, None]) % np.uint64(rows)).astype(np.int64)
 
 
+class Numbers(dict):
+    """Numbers terms in the order they come."""
+
+    def __missing__(self, term: bytes) -> int:
+        n = self[term] = len(self)
+        return n
+
+
 @dataclass
 class Doc:
     key: int
     id: int | None
     length: int
-    hashes: np.ndarray   # of its distinct terms
+    terms: np.ndarray    # numbers of its distinct terms
     top: np.ndarray      # highest level reached by each
-    terms: list[bytes]
 
     @property
     def pairs(self) -> int:
-        return int(self.top.sum()) + len(self.top)
+        return int(self.top.sum(dtype=np.int64)) + len(self.top)
 
 
 def sized_blocks(docs: list[Doc]) -> Iterator[list[Doc]]:
@@ -125,44 +137,49 @@ def sized_blocks(docs: list[Doc]) -> Iterator[list[Doc]]:
         at = end
 
 
-def block_row(docs: list[Doc]) -> dict:
+def block_row(docs: list[Doc], names: pa.Array, hashes: np.ndarray) -> pa.RecordBatch:
     rows = min(MOST_ROWS, max(64, ROWS_PER_PAIR * docs[-1].pairs))
     cells = np.zeros((rows, -(-len(docs) // 8) * 8), np.uint8)
     for i, d in enumerate(docs):
-        for level in range(int(d.top.max(initial=-1)) + 1):
-            cells[pair_rows(d.hashes[d.top >= level], level, rows).reshape(-1), i] = 1
-    held = Counter()
-    for d in docs:
-        held.update(d.terms)
-    return {"keys": [d.key for d in docs], "ids": [d.id for d in docs], "lengths": [d.length for d in docs], "rows": rows,
-            "bits": np.packbits(cells, axis=1).tobytes(), "terms": list(held), "counts": list(held.values())}
+        for level in range(int(d.top.max()) + 1):
+            cells[pair_rows(hashes[d.terms[d.top >= level]], level, rows).reshape(-1), i] = 1
+    held, counts = np.unique(np.concatenate([d.terms for d in docs]), return_counts=True)
+
+    def one(values: pa.Array) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
+    return pa.RecordBatch.from_arrays(
+        [one(pa.array([d.key for d in docs], pa.int64())), one(pa.array([d.id for d in docs], pa.int64())),
+         one(pa.array([d.length for d in docs], pa.int64())), pa.array([rows], pa.int64()), pa.array([np.packbits(cells, axis=1).tobytes()], pa.binary()),
+         one(names.take(pa.array(held))), one(pa.array(counts.astype(np.int64)))], names=["keys", "ids", "lengths", "rows", "bits", "terms", "counts"])
 
 
 BLOCK = "keys array<bigint>, ids array<bigint>, lengths array<bigint>, rows bigint, bits binary, terms array<binary>, counts array<bigint>"
-BLOCK_ARROW = pa.schema([("keys", pa.list_(pa.int64())), ("ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("rows", pa.int64()),
-                         ("bits", pa.binary()), ("terms", pa.list_(pa.binary())), ("counts", pa.list_(pa.int64()))])
 
 
 def _indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes, held, size = WordHashes(), [], 0
+    numbers, held, size = Numbers(), [], 0
 
     def blocks() -> Iterator[pa.RecordBatch]:
+        names, hashes = pa.array(list(numbers), pa.binary()), term_hashes(numbers)
         for part in sized_blocks(held):
-            yield pa.RecordBatch.from_pylist([block_row(part)], BLOCK_ARROW)
+            yield block_row(part, names, hashes)
 
     for batch in batches:
-        for key, id_, text in zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True):
-            found = terms(text)
-            if not found:
-                continue
-            tf = Counter(found)
-            counts = np.fromiter(tf.values(), np.int64, len(tf))
-            held.append(Doc(key, id_, len(found), np.fromiter(map(hashes.__getitem__, tf), np.uint64, len(tf)),
-                            np.searchsorted(LEVELS, counts, "right") - 1, list(tf)))
-            size += len(tf)
-            if len(held) >= HELD_DOCS or size >= HELD_TERMS:
-                yield from blocks()
-                held, size = [], 0
+        for lo in range(0, len(batch), 500):
+            part = batch.slice(lo, 500)
+            for key, id_, text in zip(*[part.column(i).to_pylist() for i in range(3)], strict=True):
+                found = terms(text)
+                if not found:
+                    continue
+                tf = Counter(found)
+                counts = np.fromiter(tf.values(), np.int64, len(tf))
+                held.append(Doc(key, id_, len(found), np.fromiter(map(numbers.__getitem__, tf), np.int32, len(tf)),
+                                (np.searchsorted(LEVELS, counts, "right") - 1).astype(np.int8)))
+                size += len(tf)
+                if len(held) >= HELD_DOCS or size >= HELD_TERMS:
+                    yield from blocks()
+                    numbers, held, size = Numbers(), [], 0
     yield from blocks()
 
 
@@ -236,8 +253,7 @@ class Plan:
 
     @classmethod
     def of(cls, q: Queries) -> Plan:
-        hashes = WordHashes()
-        every = np.fromiter(map(hashes.__getitem__, q.terms), np.uint64, len(q.terms))
+        every = term_hashes(q.terms)
         counted = [np.sort(u[q.weights[u] > 0]) for u in q.uses]
         asked = [i for i, u in enumerate(counted) if len(u)]
         groups = []
@@ -340,9 +356,9 @@ def _scored(q: Queries, n_docs: int, n_terms: int) -> Callable:
     """(query, doc_id, score) from whole texts, for the queries of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for part in (b.slice(lo, 500) for b in batches for lo in range(0, len(b), 500)):
             rows = []
-            for doc_id, text, queries in zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True):
+            for doc_id, text, queries in zip(*[part.column(i).to_pylist() for i in range(3)], strict=True):
                 tf = Counter(found := terms(text))
                 m = 10 + 90 * len(found) * n_docs // n_terms
                 for i in queries:

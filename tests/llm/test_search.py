@@ -95,7 +95,7 @@ def test_documents_out_of_reach_are_not_rescored(spark, sf):
 
 
 def test_blocks_hold_documents_of_like_size():
-    docs = [B.Doc(i, i, n, np.arange(n, dtype=np.uint64), np.zeros(n, np.int64), []) for i, n in enumerate([1, 3, 9000, 2, 40, 80, 170, 10**6])]
+    docs = [B.Doc(i, i, n, np.arange(n, dtype=np.int32), np.zeros(n, np.int8)) for i, n in enumerate([1, 3, 9000, 2, 40, 80, 170, 10**6])]
     blocks = list(B.sized_blocks(docs))
     assert sorted(d.id for b in blocks for d in b) == list(range(8))
     assert all(b[-1].pairs <= 2 * b[0].pairs + 32 for b in blocks)
