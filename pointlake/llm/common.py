@@ -21,7 +21,7 @@ BLANKS = " \t\n\x0b\x0c\r"
 BROADCAST_BYTES = 32 << 20
 
 __all__ = ["BLANKS", "BROADCAST_BYTES", "ascii_lower", "broadcast_if_small", "open_store", "read_table",
-           "shared_folder", "store", "word_count", "words", "writing"]
+           "scratch", "shared_folder", "store", "word_count", "words", "writing"]
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -29,15 +29,34 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def store(df: DataFrame, name: str) -> DataFrame:
+#: Tables stored in the scratch scopes that are open, innermost last.
+_SCOPES: list[list[str]] = []
+
+
+def store(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back: cuts the
-    lineage, survives lost executors, and lets later scans prune columns."""
+    lineage, survives lost executors, and lets later scans prune columns. ``keep``:
+    the table outlives the innermost ``scratch`` scope (but not one around it)."""
     spark = df.sparkSession
     path = shared_folder(spark, name)
     df.write.parquet(path)
+    if len(_SCOPES) > keep:
+        _SCOPES[-1 - keep].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes the tables stored inside at its end, when what was made of them is stored with ``keep`` or outside."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for name in _SCOPES.pop():
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def broadcast_if_small(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
     """Hint a broadcast of a stored table only if its counted rows fit the
     limit; beyond it the join is left to shuffle. Results are the same."""

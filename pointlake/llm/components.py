@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import store
+from .common import scratch, store
 
 #: Edges per writing task, and the least number of tasks.
 TASK_EDGES = 200_000
@@ -58,7 +58,11 @@ def _stamp(edges: DataFrame) -> tuple:
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b; no nulls): root is the least
     node of its component. Isolated nodes do not occur in the result."""
-    edges = edges.select("a", "b").filter("a <> b")
+    with scratch(edges.sparkSession):
+        return store(_contracted(edges.select("a", "b").filter("a <> b")), "components-found", keep=True)
+
+
+def _contracted(edges: DataFrame) -> DataFrame:
     # the edges left shrink from here on, so their number bounds the tasks that write them
     tasks = max(LEAST_TASKS, -(-edges.count() // TASK_EDGES))
     edges = edges.coalesce(tasks).mapInArrow(_forest, edges.schema).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))

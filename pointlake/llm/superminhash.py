@@ -43,7 +43,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import read_table, store
+from .common import broadcast_if_small, read_table, scratch, store
 from .components import UnionFind, connected_components
 
 BANDS, ROWS = 30, 5
@@ -158,8 +158,9 @@ def _signer(k: int, bands: int, rows: int) -> Callable:
                 yield pa.RecordBatch.from_arrays([
                     part.column(0), pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([fingerprint(s) if len(s) else None for s in sets], pa.binary()),
-                    pa.ListArray.from_arrays(np.arange(0, len(sets) * bands + 1, bands, dtype=np.int32), pa.array(keys.reshape(-1)))],
-                    names=["doc_id", "n_shingles", "fp", "bands"])
+                    pa.ListArray.from_arrays(np.arange(0, len(sets) * bands + 1, bands, dtype=np.int32), pa.array(keys.reshape(-1))),
+                    part.column(2)],
+                    names=["doc_id", "n_shingles", "fp", "bands", "code"])
 
     return sign
 
@@ -185,15 +186,23 @@ def _setter(k: int) -> Callable:
     return build
 
 
+def _coded(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, code): ``code`` tells apart the texts of rows that share an id or have none."""
+    return docs.select("doc_id", F.col("text").cast("binary").alias("text"), F.xxhash64("text").alias("code"))
+
+
 def signatures(docs: DataFrame, k: int, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(doc_id, n_shingles, fp, bands) per row of ``docs``; fp is null for an empty set."""
-    texts = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
+    """(doc_id, n_shingles, fp, bands, code) per row of ``docs``; fp is null for an empty set."""
     kind = dict(docs.dtypes)["doc_id"]
-    return texts.mapInArrow(_signer(k, bands, rows), f"doc_id {kind}, n_shingles long, fp binary, bands array<long>")
+    return _coded(docs).mapInArrow(_signer(k, bands, rows), f"doc_id {kind}, n_shingles long, fp binary, bands array<long>, code long")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Rows of ``pairs`` (a, b) whose sets have den * |intersection| >= num * |union|."""
+    """Rows of ``pairs`` (a, b) whose sets have den * |intersection| >= num * |union|.
+    Only the sets of these pairs move."""
+    pairs = store(pairs, "smh-pairs")
+    wanted = store(pairs.select(F.col("a").alias("fp")).unionAll(pairs.select("b")).distinct(), "smh-wanted")
+    sets = sets.join(broadcast_if_small(wanted, 48), "fp", "left_semi")
     left = sets.select(F.col("fp").alias("a"), F.col("hashes").alias("ha"))
     right = sets.select(F.col("fp").alias("b"), F.col("hashes").alias("hb"))
     both = pairs.join(left, "a").join(right, "b")
@@ -203,10 +212,10 @@ def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
 
 
 def candidate_sets(docs: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
-    """(fp, hashes) of the nodes (fp, doc_id): one representing document's text per node."""
-    texts = docs.select("doc_id", F.col("text").cast("binary").alias("text")).alias("t")
-    rows = texts.join(nodes.alias("n"), F.col("t.doc_id").eqNullSafe(F.col("n.doc_id"))).select("text", "fp")
-    return rows.mapInArrow(_setter(k), "fp binary, hashes array<long>")
+    """(fp, hashes) of the nodes (fp, doc_id, code; stored): the text of one representing document per node."""
+    rows, n = _coded(docs).alias("t"), broadcast_if_small(nodes, 128).alias("n")
+    same = (F.col("t.code") == F.col("n.code")) & F.col("t.doc_id").eqNullSafe(F.col("n.doc_id"))
+    return rows.join(n, same).select("text", "fp").mapInArrow(_setter(k), "fp binary, hashes array<long>")
 
 
 @dataclass
@@ -294,18 +303,32 @@ def hubs(found: DataFrame, score: DataFrame) -> DataFrame:
     return up.join(up.select(F.col("fp").alias("to"), F.col("to").alias("root")), "to").select("fp", "root")
 
 
+def stray_pairs(few: DataFrame) -> DataFrame:
+    """(a, b): the pairs of different roots in buckets (band, fp, root, common). Members of the bucket's
+    commonest root are not compared with each other: one side is always a member of another root."""
+    stray = few.filter(F.col("root") != F.col("common")).select("band", F.col("fp").alias("x"), "root")
+    every = few.select("band", F.col("fp").alias("y"), F.col("root").alias("other"))
+    return stray.join(every, "band").filter("root <> other").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+
+
 def links(docs: DataFrame, signed: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """(a, b): verified links that connect the nodes of every component."""
+    with scratch(docs.sparkSession):
+        return store(_links(docs, signed, k, num, den), "smh-found", keep=True)
+
+
+def _links(docs: DataFrame, signed: DataFrame, k: int, num: int, den: int) -> DataFrame:
     reps = signed.filter("fp is not null").groupBy("fp").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("size"), F.first("bands").alias("bands"))
-    nodes = store(reps, "smh-nodes")
+        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "code")).alias("rep"),
+        F.first("n_shingles").alias("size"), F.first("bands").alias("bands"))
+    nodes = store(reps.select("fp", "rep.doc_id", "rep.code", "size", "bands"), "smh-nodes")
     places = nodes.select("fp", "size", F.explode("bands").alias("band"))
     shared = places.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     members = store(places.join(shared, "band"), "smh-members")
     score = store(members.groupBy("fp").agg(F.sum("n").alias("score")), "smh-scores")
     # the score comes first: max picks the most central member, then the fingerprint decides
     members = store(members.select("band", "fp", "size").join(score, "fp"), "smh-scored")
-    wanted = members.select("fp").distinct().join(nodes.select("fp", "doc_id"), "fp")
+    wanted = store(members.select("fp").distinct().join(nodes.select("fp", "doc_id", "code"), "fp"), "smh-texts")
     sets = store(candidate_sets(docs, wanted, k).dropDuplicates(["fp"]), "smh-sets")
     left = members.withColumn("root", F.col("fp"))
     found, before = None, None
@@ -313,19 +336,18 @@ def links(docs: DataFrame, signed: DataFrame, k: int, num: int, den: int) -> Dat
         # members per bucket that have not been a center yet, by component
         per = left.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("score", "fp")).alias("best"))
         per = per.groupBy("band").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"),
-                                      F.count(F.lit(1)).alias("kinds"), F.max("best").alias("best"))
+                                      F.count(F.lit(1)).alias("kinds"), F.max("best").alias("best"),
+                                      F.max(F.struct("n", "root")).alias("top"))
         cross = (F.col("n") * F.col("n") - F.col("same")) / 2
         open_bands = store(per.filter("kinds > 1").select("band", F.col("best.fp").alias("center"), (cross <= PAIRS_LEFT * F.col("n")).alias("few"),
-                                                          "n", cross.alias("pairs")), "smh-open")
+                                                          F.col("top.root").alias("common"), "n", cross.alias("pairs")), "smh-open")
         rows, pairs = open_bands.agg(F.sum("n"), F.sum("pairs")).first()
         if not rows:
             break
-        joined = left.join(open_bands.select("band", "center", "few"), "band")
+        joined = left.join(open_bands.select("band", "center", "few", "common"), "band")
         last = pairs <= PAIRS_LEFT * rows or before is not None and pairs > before / 2
         if last:
-            few = joined.filter("few")
-            right = few.select("band", F.col("fp").alias("b"), F.col("root").alias("other"))
-            cand = few.select("band", F.col("fp").alias("a"), "root").join(right, "band").filter("a < b and root <> other")
+            cand = stray_pairs(joined.filter("few"))
         else:
             roots = left.select("fp", "root").distinct().select(F.col("fp").alias("center"), F.col("root").alias("other"))
             cand = joined.join(roots, "center").filter("root <> other").select(
@@ -337,7 +359,7 @@ def links(docs: DataFrame, signed: DataFrame, k: int, num: int, den: int) -> Dat
         if last:
             break
         before = pairs
-        left = joined.filter("fp <> center").drop("center", "few", "root")
+        left = joined.filter("fp <> center").drop("center", "few", "common", "root")
         left = store(left.join(hubs(found, score), "fp"), "smh-left")
     return members.sparkSession.createDataFrame([], "a binary, b binary") if found is None else found
 
@@ -349,15 +371,15 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100)
     smallest doc_id reachable over links, kept = it is the row's own."""
     signed = store(signatures(docs, k), "smh-signed")
     rows = signed.select("doc_id", "n_shingles", "fp")
-    comp = store(connected_components(links(docs, signed, k, num, den)), "smh-components")
+    comp = connected_components(links(docs, signed, k, num, den))
     least = rows.filter("fp is not null").groupBy("fp").agg(F.min("doc_id").alias("low"))
     least = least.join(comp.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = store(least, "smh-least")
     groups = least.groupBy("root").agg(F.min("low").alias("component_id"))
     ids = least.select("fp", "root").join(groups, "root").select("fp", "component_id")
-    out = rows.join(ids, "fp", "left")
-    own = F.when(F.col("fp").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", own.alias("component_id"), F.col("doc_id").eqNullSafe(own).alias("kept"))
+    alone = rows.filter("fp is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"))
+    out = rows.join(ids, "fp").select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    return out.unionAll(alone)
 
 
 def op10(spark, sf_dir: str) -> DataFrame:

@@ -193,3 +193,46 @@ def test_decoding_finds_the_nearest_lattice_point():
     near = (got[:, None, :] + np.concatenate([L.minimal_vectors() / 2, np.zeros((1, 8))])[None]) - y[:, None, :]
     assert ((near**2).sum(axis=2).min(axis=1) >= ((got - y) ** 2).sum(axis=1) - 1e-9).all()
     assert len(L.minimal_vectors()) == 240 and (np.abs(got.sum(axis=1) % 2) < 1e-9).all()
+
+
+def test_rows_without_an_id_meet_their_own_node_only(spark):
+    rnd = random.Random(4)
+    texts = [" ".join(f"w{rnd.randrange(10**6)}" for _ in range(30)) for _ in range(1500)]
+    docs = spark.createDataFrame([(i, t) for t in texts for i in (None, None)] + [(7, t + " end") for t in texts], "doc_id long, text string")
+    signed = S.signatures(docs, 4)
+    nodes = signed.groupBy("fp").agg(S.F.min(S.F.struct(S.F.col("doc_id").isNull().alias("no_id"), "doc_id", "code")).alias("rep"))
+    nodes = S.store(nodes.select("fp", "rep.doc_id", "rep.code"), "test-nodes")
+    found = S.candidate_sets(docs, nodes, 4)
+    assert nodes.count() == found.select("fp").distinct().count() == 3000
+    assert found.count() == 4500  # a row per document that repeats its node's id and text, none across texts
+    got = S.near_duplicates(docs, k=4).collect()
+    assert len(got) == 4500 and {r.component_id for r in got} == {7}
+
+
+def test_members_of_the_commonest_root_are_not_compared_with_each_other(spark):
+    rows = [("b", f"m{i:05}".encode(), b"r") for i in range(3000)] + [("b", x, x) for x in (b"s1", b"s2", b"a3")]
+    few = spark.createDataFrame(bytearrays(rows), "band string, fp binary, root binary").withColumn("common", S.F.lit(b"r"))
+    pairs = S.stray_pairs(few)
+    assert pairs.count() == 3 * 3000 + 2 * 3 and pairs.distinct().count() == 3 * 3000 + 3
+    # with strays inside real buckets, in the last round
+    rnd = random.Random(3)
+    base = [f"w{i}" for i in range(200)]
+    docs = [(i, " ".join(base[:190] + [f"x{i}"])) for i in range(40)] + [(100 + i, " ".join(base[:150] + [f"y{i}-{rnd.random()}" for _ in range(10)])) for i in range(3)]
+    got = {r.doc_id: r.component_id for r in S.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), k=4).collect()}
+    assert got == brute(docs, 4)
+
+
+def bytearrays(rows):
+    return [tuple(bytearray(x) if isinstance(x, bytes) else x for x in r) for r in rows]
+
+
+def test_scratch_tables_go_when_the_result_is_stored(spark):
+    from pathlib import Path
+
+    from pointlake.llm.common import scratch, store
+    with scratch(spark):
+        inner = store(spark.range(5).toDF("n"), "gone")
+        kept = store(inner.filter("n > 2"), "kept", keep=True)
+        path = Path(inner.inputFiles()[0].removeprefix("file:")).parent
+        assert path.exists()
+    assert not path.exists() and kept.count() == 2
