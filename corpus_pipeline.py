@@ -2,7 +2,7 @@
 
 Each stage takes (spark, docs, sf_dir), works on all rows its predecessor
 kept, and returns a DataFrame; ``run`` writes each stage's rows as Parquet into the
-shared folder and reads them again as the next stage's docs. All but
+shared folder, deletes the stage's own tables, and reads the rows again as the next stage's docs. All but
 the last return the columns of ``documents``.
 
 Stages 1 to 4 decide on rows: toxic documents go, one document of each near-duplicate
@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pointlake.llm import decontam, mixing, superminhash, token_planes, toxicity
-from pointlake.llm.common import read_table, store
+from pointlake.llm.common import read_table, scratch, store
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -87,5 +87,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = store(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with scratch(spark):  # what a stage stored on its way goes when its rows are written
+            docs = store(stage(spark, docs, sf_dir), f"pipeline-{name}", keep=True)
     return docs
