@@ -323,8 +323,8 @@ def _links(docs: DataFrame, signed: DataFrame, k: int, num: int, den: int) -> Da
         F.first("n_shingles").alias("size"), F.first("bands").alias("bands"))
     nodes = store(reps.select("fp", "rep.doc_id", "rep.code", "size", "bands"), "smh-nodes")
     places = nodes.select("fp", "size", F.explode("bands").alias("band"))
-    shared = places.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    members = store(places.join(shared, "band"), "smh-members")
+    shared = store(places.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "smh-shared")
+    members = store(places.join(broadcast_if_small(shared, 48), "band"), "smh-members")
     score = store(members.groupBy("fp").agg(F.sum("n").alias("score")), "smh-scores")
     # the score comes first: max picks the most central member, then the fingerprint decides
     members = store(members.select("band", "fp", "size").join(score, "fp"), "smh-scored")
