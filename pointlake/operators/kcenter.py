@@ -13,16 +13,12 @@ the smallest feasible one, which is what the doubling loop returns (doubling is
 exact in floating point). The last guess of the ladder covers everything with
 one ball: (3+4α)·r0·2^(G-1) ≥ 2·max_x d(x, first point) ≥ diameter.
 
-Ball weights compare every point with every uncovered one, so P is cut into
-blocks of at most ``BLOCK`` points and the blocks into a grid, built once and
-cached: a candidate block followed by all member blocks. A round is one job
-without a shuffle: a task streams the member blocks past a candidate block in
-NumPy, works out from the centers chosen so far which members are uncovered,
-and returns the best candidate per guess; the driver sees one row per candidate
-block and guess. A pair's distance is computed once per round for all guesses.
-The work of a round is quadratic in P by the method; P is meant to be a
-coreset, whose size L·(k+z+1) the parameters fix, and whole datasets go through
-:func:`mr_kcenter_outliers`, which is linear in them.
+Ball weights come from a range join on metric blocks (``metric``): only blocks that the
+triangle inequality lets come within a ball of each other meet, and no pair becomes a row. They
+are counted once per chunk of guesses; a round then lowers them by the points that its new centers
+cover, which touches the blocks near those centers only (``Cover``). A round is one job that moves these blocks;
+the driver sees the best point per changed block and guess, and keeps a few numbers per block.
+How many pairs were compared is part of the solution.
 """
 
 from __future__ import annotations
@@ -35,7 +31,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,11 +38,12 @@ from pyspark.sql import types as T
 
 from ..functions.distance import euclidean
 from ..plans.limits import check_broadcast_bound, point_bytes
+from ..plans.session import Stored, cut_lineage
 from .fft import distances, fft_coreset, matrix
 from .geometry import kcenter_objective
+from .metric import PIVOTS, SLACK, Blocks, pivots_of, range_grid
 
-#: Points of a grid block, and cells of a distance matrix computed at once.
-BLOCK = 2_048
+#: Cells of a distance matrix computed at once.
 CELLS = 1_000_000
 
 
@@ -58,6 +54,7 @@ class KCenterSolution:
     initial_guess: float
     final_guess: float
     n_guesses: int
+    pairs_compared: int       # in all rounds of all guesses
 
 
 def _solver_input(P: DataFrame) -> DataFrame:
@@ -65,38 +62,7 @@ def _solver_input(P: DataFrame) -> DataFrame:
                     F.col("point").cast("array<double>").alias("point"), F.col("weight").cast("bigint").alias("weight"))
 
 
-# ---------------------------------------------------------------- block grid
-
-def _packed(P: DataFrame, blocks: int) -> DataFrame:
-    """One row per block: its points as arrays, by idx."""
-    block = F.pmod(F.xxhash64("idx"), F.lit(blocks)).cast("int")
-    rows = P.groupBy(block.alias("block")).agg(F.sort_array(F.collect_list(F.struct("idx", "point_id", "weight", "point"))).alias("p"))
-    return rows.select("block", *[F.col(f"p.{c}").alias(c) for c in ("idx", "point_id", "weight", "point")])
-
-
-@contextmanager
-def block_grid(candidates: DataFrame, members: DataFrame, n: int | None = None):
-    """Cached rows (cand, member, idx, point_id, weight, point): per candidate
-    block the block itself (member -1), then every member block. ``n``: points
-    of either side, where they are counted already."""
-    n_cand, n_mem = (max(1, -(-(x.count() if n is None else n) // BLOCK)) for x in (candidates, members))
-    cand = _packed(candidates, n_cand).select(F.col("block").alias("cand"), F.lit(-1).alias("member"), "idx", "point_id", "weight", "point")
-    mem = _packed(members, n_mem).select(F.explode(F.sequence(F.lit(0), F.lit(n_cand - 1))).alias("cand"), F.col("block").alias("member"),
-                                         "idx", "point_id", "weight", "point")
-    grid = cand.unionAll(mem).repartition("cand").sortWithinPartitions("cand", "member").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        yield grid
-    finally:
-        grid.unpersist()
-
-
-def _blocks(batches: Iterator[pa.RecordBatch]):
-    """(is candidate block, idx, point_id, weight, points) of every grid row in order."""
-    for batch in batches:
-        for i in range(len(batch)):
-            idx, ids, weight = (batch.column(c)[i].values.to_numpy() for c in (2, 3, 4))
-            yield batch.column(1)[i].as_py() < 0, idx, ids, weight, matrix(batch.column(5)[i].values)
-
+# ---------------------------------------------------------------- ball weights by range join
 
 def _near(x: np.ndarray, y: np.ndarray) -> Iterator[tuple[slice, np.ndarray]]:
     """Distance matrices of slices of ``x`` against all of ``y``."""
@@ -114,119 +80,260 @@ def _near(x: np.ndarray, y: np.ndarray) -> Iterator[tuple[slice, np.ndarray]]:
 
 @dataclass
 class Round:
-    """What a task needs: per guess the ball radius, the cover radius and the centers so far."""
+    """What a task needs: per guess the ball radius, the cover radius, the centers before this round, and the new
+    one (None: no change). Without centers at all, a round counts the balls for the first time."""
 
     ball: list[float]
     cover: list[float]
-    centers: list[list[np.ndarray]]
+    before: list[list[np.ndarray]]
+    new: list[np.ndarray | None] | None = None
 
-    def uncovered(self, points: np.ndarray) -> np.ndarray:
-        """guesses x points."""
+    def changed(self, points: np.ndarray) -> np.ndarray:
+        """guesses x points: at first every point, then those that the new centers cover and no earlier one did."""
         out = np.ones((len(self.ball), len(points)), bool)
-        for g, chosen in enumerate(self.centers):
-            for c in chosen:
+        for g in range(len(self.ball)) if self.new is not None else ():
+            if self.new[g] is None:
+                out[g] = False
+                continue
+            out[g] = distances(points, self.new[g]) <= self.cover[g]
+            for c in self.before[g]:
                 out[g] &= ~(distances(points, c) <= self.cover[g])
         return out
 
-    def sums(self, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-        """(idx, point_id, points, guesses x candidates ball weights) per candidate block."""
-        held = None
-        for first, idx, ids, weight, points in _blocks(batches):
-            if first:
-                if held:
-                    yield held
-                held = (idx, ids, points, np.zeros((len(self.ball), len(idx)), np.int64))
-                continue
-            w = np.where(self.uncovered(points), weight, 0).astype(float)  # sums of integers below 2**53 are exact
-            for at, d in _near(held[2], points):
-                for g, r in enumerate(self.ball):
-                    held[3][g, at] += ((d <= r).astype(float) @ w[g]).astype(np.int64)
-        if held:
-            yield held
 
+#: A block's points with the ball weights per guess (flat), the best point per guess, the weight the block lost, and the pairs compared.
+STATE = ("cand int, idx array<bigint>, point_id array<bigint>, point array<array<double>>, weight array<bigint>, "
+         "best array<struct<bw:bigint,idx:bigint,point_id:bigint,point:array<double>>>, lost array<bigint>, pairs bigint")
 
-def _best(round_: Round) -> Callable:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = []
-        for idx, ids, points, weights in round_.sums(batches):
-            for g, own in enumerate(weights):
-                top = own.max(initial=0)
-                if top > 0:
-                    i = np.flatnonzero(own == top)
-                    i = i[idx[i].argmin()]
-                    rows.append((g, int(top), int(idx[i]), int(ids[i]), points[i].tolist()))
-        cols = list(zip(*rows, strict=True)) if rows else [()] * 5
-        kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.float64())]
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["g", "bw", "idx", "point_id", "point"])
 
-    return run
+class _Block:
+    """A candidate block while its members stream by."""
+
+    def __init__(self, cand: int, idx: pa.Array, ids: pa.Array, points: pa.Array, weight: np.ndarray, guesses: int):
+        self.cand, self.idx, self.ids, self.points = cand, idx, ids, points
+        self.at, self.weight = matrix(points), weight.reshape(guesses, -1).copy()
+        self.lost, self.pairs = np.zeros(guesses, np.int64), 0
+
+    def meet(self, member: int, points: np.ndarray, weight: np.ndarray, round_: Round) -> None:
+        changed = round_.changed(points)
+        if member == self.cand and round_.new is not None:
+            self.lost += changed @ weight
+        rows = changed.any(axis=0)
+        if not rows.any():
+            return
+        sign, w = 1 if round_.new is None else -1, np.where(changed, weight, 0)[:, rows].astype(float)  # sums below 2**53 are exact
+        self.pairs += len(self.at) * int(rows.sum())
+        for at, d in _near(self.at, points[rows]):
+            for g, r in enumerate(round_.ball):
+                self.weight[g, at] += sign * ((d <= r).astype(float) @ w[g]).astype(np.int64)
+
+    def row(self) -> dict:
+        idx, best = self.idx.to_numpy(), []
+        for own in self.weight:
+            i = np.flatnonzero(own == own.max())
+            i = int(i[idx[i].argmin()])
+            best.append({"bw": int(own[i]), "idx": int(idx[i]), "point_id": self.ids[i].as_py(), "point": self.at[i].tolist()})
+        return {"cand": self.cand, "idx": self.idx, "point_id": self.ids, "point": self.points, "weight": pa.array(self.weight.reshape(-1)),
+                "best": best, "lost": self.lost.tolist(), "pairs": self.pairs}
+
+
+def _counted(round_: Round) -> Callable:
+    """Streams a range grid; a STATE row per candidate block."""
+    best = pa.list_(pa.struct([("bw", pa.int64()), ("idx", pa.int64()), ("point_id", pa.int64()), ("point", pa.list_(pa.float64()))]))
 
+    def one(value: pa.Array, kind: pa.DataType | None = None) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array([0, len(value)], pa.int32()), value if kind is None else value.cast(kind))
 
-def _left(round_: Round) -> Callable:
-    """Uncovered weight per guess; members count at the first candidate block only."""
+    def batch_of(r: dict) -> pa.RecordBatch:
+        arrays = [pa.array([r["cand"]], pa.int32()), one(r["idx"]), one(r["point_id"]), one(r["point"]), one(r["weight"]),
+                  pa.array([r["best"]], best), pa.array([r["lost"]], pa.list_(pa.int64())), pa.array([r["pairs"]], pa.int64())]
+        return pa.RecordBatch.from_arrays(arrays, names=["cand", "idx", "point_id", "point", "weight", "best", "lost", "pairs"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(round_.ball), np.int64)
-        for first, _, _, weight, points in _blocks(b.filter(pc.equal(b.column(0), 0)) for b in batches):
-            if not first:
-                total += round_.uncovered(points) @ weight
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total), dtype=np.int32)), pa.array(total)], names=["g", "w"])
+        held = None
+        for batch in batches:
+            for i in range(len(batch)):
+                cand, member = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
+                idx, ids, points, weight = (batch.column(c)[i].values for c in (2, 3, 4, 5))
+                if member < 0:
+                    if held:
+                        yield batch_of(held.row())
+                    held = _Block(cand, idx, ids, points, weight.to_numpy(), len(round_.ball))
+                else:
+                    held.meet(member, matrix(points), weight.to_numpy(), round_)
+        if held:
+            yield batch_of(held.row())
 
     return run
 
 
-def _cover_rounds(grid: DataFrame, k: int, radii: list[float], coef1: int, coef2: int):
+def _parts(spark, cands: int) -> int:
+    return max(1, min(cands, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
+class Cover:
+    """The greedy cover of all guesses at once. Ball weights are counted in the first round and from then on lowered
+    by what the new centers cover: a round touches the blocks that a new center reaches, and the candidate blocks
+    within a ball of those. A block's weights live in the version of the last round that changed them."""
+
+    def __init__(self, blocks: Blocks, radii: list[float], coef1: int, coef2: int):
+        self.blocks, self.spark = blocks, blocks.rows.sparkSession
+        self.ball, self.cover = [coef1 * r for r in radii], [coef2 * r for r in radii]
+        self.centers: list[list[np.ndarray]] = [[] for _ in radii]
+        self.picks: list[list[tuple[int, int, list[float]]]] = [[] for _ in radii]
+        near = blocks.between(blocks) <= max(self.ball)
+        self.near = {int(c): blocks.number[near[i]].tolist() for i, c in enumerate(blocks.number)}
+        self.versions: dict[int, Stored] = {}
+        self.where: dict[int, int] = {}
+        self.best: dict[int, list] = {}
+        self.lost = np.zeros(len(radii), np.int64)
+        self.pairs = 0
+
+    def _run(self, state: DataFrame, pairs: list[tuple[int, int]], round_: Round, turn: int) -> None:
+        cands = {c for c, _ in pairs}
+        grid = range_grid(state, self.blocks.rows, pairs, _parts(self.spark, len(cands)))
+        # written: the plan of a round does not hold those before it, and a lost executor repeats no earlier round
+        new = self.versions[turn] = Stored.write(grid.mapInArrow(_counted(round_), STATE), "cover")
+        for r in new.df.select("cand", "best", "lost", "pairs").collect():  # a row per changed block
+            self.best[r.cand] = r.best
+            self.where[r.cand] = turn
+            self.lost += r.lost
+            self.pairs += r.pairs
+        for old in set(self.versions) - set(self.where.values()) - {turn}:
+            self.versions.pop(old).delete()
+
+    def count(self) -> None:
+        """The first round: every ball."""
+        guesses = len(self.ball)
+        zero = F.array_repeat(F.lit(0).cast("bigint"), F.size("idx") * guesses)
+        state = self.blocks.rows.select(F.col("block").alias("cand"), "idx", "point_id", "point", zero.alias("weight"))
+        pairs = [(c, m) for c, own in self.near.items() for m in own]
+        self._run(state, pairs, Round(self.ball, self.cover, self.centers), 0)
+
+    def choose(self) -> list[np.ndarray | None]:
+        """The heaviest ball of each guess (lowest idx on ties); None where none has weight."""
+        new: list[np.ndarray | None] = []
+        for g in range(len(self.ball)):
+            r = max((b[g] for b in self.best.values()), key=lambda r: (r.bw, -r.idx), default=None)
+            new.append(np.array(r.point) if r is not None and r.bw > 0 else None)
+            if new[-1] is not None:
+                self.picks[g].append((r.idx, r.point_id, list(r.point)))
+        return new
+
+    def lower(self, new: list[np.ndarray | None], turn: int, last: bool) -> None:
+        """Take what the new centers cover out of the balls (``last``: only out of the weight that is left)."""
+        reached = np.zeros(len(self.blocks.number), bool)
+        for g, c in enumerate(new):
+            if c is not None:
+                reached |= self.blocks.from_point(c) <= self.cover[g]
+        members = self.blocks.number[reached].tolist()
+        pairs = [(m, m) for m in members] if last else [(c, m) for m in members for c in self.near[m]]
+        cands, parts = {c for c, _ in pairs}, []
+        for v in {self.where[c] for c in cands}:
+            parts.append(self.versions[v].df.filter(F.col("cand").isin([c for c in cands if self.where[c] == v])).select("cand", "idx", "point_id", "point", "weight"))
+        state = parts[0]
+        for more in parts[1:]:
+            state = state.unionAll(more)
+        self._run(state, pairs, Round(self.ball, self.cover, [list(c) for c in self.centers], new), turn)
+        for g, c in enumerate(new):
+            if c is not None:
+                self.centers[g].append(c)
+
+    def release(self) -> None:
+        for stored in self.versions.values():
+            stored.delete()
+
+
+def _cover_rounds(blocks: Blocks, k: int, radii: list[float], coef1: int, coef2: int, total: int):
     """k greedy rounds for all radii at once: per radius the centers
-    ``[(idx, point_id, point)]`` and the uncovered weight."""
-    picks: list[list[tuple[int, int, list[float]]]] = [[] for _ in radii]
-    done = Round([coef1 * r for r in radii], [coef2 * r for r in radii], [[] for _ in radii])
-    for _ in range(k):
-        best: dict[int, tuple] = {}
-        found = grid.mapInArrow(_best(done), "g int, bw bigint, idx bigint, point_id bigint, point array<double>")
-        for r in found.collect():  # a row per candidate block and guess
-            if r.g not in best or (r.bw, -r.idx) > (best[r.g].bw, -best[r.g].idx):
-                best[r.g] = r
-        if not best:
-            break
-        for g, r in best.items():
-            picks[g].append((r.idx, r.point_id, list(r.point)))
-            done.centers[g].append(np.array(r.point))
-    left = np.zeros(len(radii), np.int64)
-    for r in grid.mapInArrow(_left(done), "g int, w bigint").collect():
-        left[r.g] += r.w
-    return picks, left.tolist()
+    ``[(idx, point_id, point)]`` and the uncovered weight; and the pairs compared."""
+    cover = Cover(blocks, radii, coef1, coef2)
+    try:
+        cover.count()
+        for turn in range(1, k + 1):
+            new = cover.choose()
+            if all(c is None for c in new):
+                break
+            cover.lower(new, turn, turn == k)
+        return cover.picks, (total - cover.lost).tolist(), cover.pairs
+    finally:
+        cover.release()
 
 
 # ---------------------------------------------------------------- operators
 
-def _least_positive(grid: DataFrame) -> float | None:
-    """Smallest positive distance of two points of the grid."""
+def _within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Least positive distance inside each block. Points are swept by their distance to the block's first point: only
+    those whose distances to it differ by less than the best so far can be closer."""
+    low = math.inf
+    for batch in batches:
+        for i in range(len(batch)):
+            points = np.unique(matrix(batch.column(0)[i].values), axis=0)
+            if len(points) > 1:
+                order = distances(points, points[0])
+                points, order = points[order.argsort(kind="stable")], np.sort(order)
+                for shift in range(1, len(points)):
+                    close = np.flatnonzero(order[shift:] - order[:-shift] <= low * (1 + SLACK))
+                    if not len(close):
+                        break
+                    d = np.sqrt(sum((points[close + shift, k] - points[close, k]) ** 2 for k in range(points.shape[1])))
+                    low = min(low, d[d > 0].min(initial=math.inf))
+    yield pa.RecordBatch.from_arrays([pa.array([low])], names=["d"])
+
+
+def _across(pivots: np.ndarray, cell: dict[int, int], low: dict[int, float], high: dict[int, float], best: float) -> Callable:
+    """Least positive distance between a block and its neighbours, whose points only count within ``best`` of it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        low, held = math.inf, None
-        for first, _, _, _, points in _blocks(batches):
-            if first:
-                held = points
-                continue
-            for _, d in _near(held, points):
-                low = min(low, d[d > 0].min(initial=math.inf))
-        yield pa.RecordBatch.from_arrays([pa.array([low])], names=["d"])
+        least, held, cand = best, None, -1
+        for batch in batches:
+            for i in range(len(batch)):
+                points, member = matrix(batch.column(4)[i].values), batch.column(1)[i].as_py()
+                if member < 0:
+                    held, cand = np.unique(points, axis=0), batch.column(0)[i].as_py()
+                    continue
+                d = distances(points, pivots[cell[cand]])
+                points = np.unique(points[(d <= (high[cand] + least) * (1 + SLACK)) & (d >= low[cand] - least - SLACK * (d + least))], axis=0)
+                for _, d in _near(held, points) if len(points) else ():
+                    least = min(least, d[d > 0].min(initial=math.inf))
+        yield pa.RecordBatch.from_arrays([pa.array([least])], names=["d"])
+
+    return run
+
 
-    low = min((r.d for r in grid.mapInArrow(run, "d double").collect()), default=math.inf)
-    return None if math.isinf(low) else low
+def closest_pair(blocks: Blocks) -> float | None:
+    """Smallest positive distance of two points; None if all coincide. First inside every block, then between blocks
+    that can come closer than that, where a block sends its points near the border only."""
+    def least(df: DataFrame) -> float:
+        return min((r.d for r in df.collect()), default=math.inf)  # a row per task
+
+    best = least(blocks.rows.select("point").mapInArrow(_within, "d double"))
+    if math.isinf(best):  # every block holds copies of one point
+        best = 2 * float(distances(blocks.pivots, blocks.pivots[0]).max() + blocks.high.max()) + 1  # more than any distance
+    near = blocks.between(blocks) < best
+    number = blocks.number.tolist()
+    pairs = [(number[i], number[j]) for i, j in zip(*np.nonzero(np.triu(near, 1)), strict=True)]
+    if pairs:
+        state = blocks.rows.withColumnRenamed("block", "cand").filter(F.col("cand").isin(sorted({a for a, _ in pairs})))
+        grid = range_grid(state, blocks.rows, pairs, _parts(blocks.rows.sparkSession, len(pairs)))
+        of = lambda x: dict(zip(number, x.tolist(), strict=True))
+        found = least(grid.mapInArrow(_across(blocks.pivots, of(blocks.cell), of(blocks.low), of(blocks.high), best), "d double"))
+        best = min(best, found)
+    ends = blocks.rows.select(F.array_min("point").alias("a"), F.array_max("point").alias("b")).agg(F.min("a"), F.max("b")).first()
+    return None if ends[0] == ends[1] else best
 
 
 def initial_guess(P: DataFrame, k: int, z: int) -> dict:
     """Guess statistics: ``r0`` = half the smallest positive distance among the
     first k+z+1 points by ``idx`` (else among all; 0 if all coincide; infinity
     for a single point), ``reach`` = largest distance from the first point,
-    ``n_points``, ``total_weight``.
+    ``n_points``, ``total_weight``, and the first points themselves (``head``).
 
     The head (≤ k+z+1 points, a parameter bound) travels to the tasks as one
     constant; everything else is a single aggregate over P."""
     head = P.orderBy("idx").limit(k + z + 1).select("idx", "point").collect()
     if not head:
-        return {"r0": None, "reach": None, "n_points": 0, "total_weight": 0, "dim_min": None, "dim_max": None}
+        return {"r0": None, "reach": None, "n_points": 0, "total_weight": 0, "dim_min": None, "dim_max": None, "head": []}
     check_broadcast_bound(len(head), point_bytes(len(head[0]["point"])), "head of the order")
     last = head[-1]["idx"]
     head_val = F.from_json(F.lit(json.dumps([list(r["point"]) for r in head])), "array<array<double>>")
@@ -236,30 +343,52 @@ def initial_guess(P: DataFrame, k: int, z: int) -> dict:
         F.max(euclidean(F.col("point"), F.element_at(head_val, 1))).alias("reach"),
         F.count(F.lit(1)).alias("n_points"), F.sum("weight").cast("bigint").alias("total_weight"),
         F.min(F.size("point")).alias("dim_min"), F.max(F.size("point")).alias("dim_max")).first().asDict()
+    row["head"] = [list(r["point"]) for r in head]
     low = row.pop("head_min")
     if row["dim_min"] != row["dim_max"]:
         raise ValueError("points of different dimension")
     if row["n_points"] == 1:
         row["r0"] = math.inf
     elif low is None and row["reach"] > 0:
-        with block_grid(P, P, row["n_points"]) as grid:
-            row["r0"] = _least_positive(grid) / 2
+        with metric_blocks(P, row) as blocks:
+            row["r0"] = closest_pair(blocks) / 2
     else:
         row["r0"] = 0.0 if low is None else low / 2
     return row
 
 
-def ball_weights(P: DataFrame, uncovered: DataFrame, radius: float) -> DataFrame:
-    """(idx, point_id, ball_weight): for every x in P, the weight of the
-    ``uncovered`` points within ``radius`` of x (one guess, one round)."""
-    one = Round([float(radius)], [0.0], [[]])
+@contextmanager
+def metric_blocks(P: DataFrame, stats: dict) -> Iterator[Blocks]:
+    """Blocks of P around points of the head of its order, until the end of the context."""
+    blocks = Blocks.build(P, pivots_of(stats["head"], stats["n_points"]), stats["n_points"])
+    try:
+        yield blocks
+    finally:
+        blocks.release()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for idx, ids, _, weights in one.sums(batches):
-            yield pa.RecordBatch.from_arrays([pa.array(idx), pa.array(ids), pa.array(weights[0])], names=["idx", "point_id", "ball_weight"])
 
-    with block_grid(_solver_input(P), _solver_input(uncovered)) as grid:
-        return grid.mapInArrow(run, "idx bigint, point_id bigint, ball_weight bigint")
+def ball_weights(P: DataFrame, uncovered: DataFrame, radius: float) -> DataFrame:
+    """(idx, point_id, ball_weight): for every x in P, the weight of the
+    ``uncovered`` points within ``radius`` of x (one guess, one round). Written to
+    the checkpoint folder, as the blocks it is made from are given back."""
+    P, uncovered = _solver_input(P), _solver_input(uncovered)
+    n, left = P.count(), uncovered.count()
+    if not n or not left:
+        return P.select("idx", "point_id", F.lit(0).cast("bigint").alias("ball_weight"))
+    pivots = pivots_of([r.point for r in P.orderBy("idx").limit(PIVOTS).select("point").collect()], n)
+    ours, theirs = Blocks.build(P, pivots, n), Blocks.build(uncovered, pivots, left)
+    try:
+        near = ours.between(theirs) <= radius
+        pairs = [(int(ours.number[i]), int(theirs.number[j])) for i, j in zip(*np.nonzero(near), strict=True)]
+        zero = F.array_repeat(F.lit(0).cast("bigint"), F.size("idx"))
+        state = ours.rows.select(F.col("block").alias("cand"), "idx", "point_id", "point", zero.alias("weight"))
+        grid = range_grid(state, theirs.rows, pairs, _parts(P.sparkSession, len(ours.number)))
+        found = grid.mapInArrow(_counted(Round([float(radius)], [0.0], [[]])), STATE)
+        found = found.select(F.explode(F.arrays_zip("idx", "point_id", "weight")).alias("r"))
+        return cut_lineage(found.select("r.idx", "r.point_id", F.col("r.weight").alias("ball_weight")))
+    finally:
+        ours.release()
+        theirs.release()
 
 
 def heaviest_ball(weights: DataFrame) -> DataFrame:
@@ -295,14 +424,14 @@ def solve_weighted_outliers(P: DataFrame, k: int, z: int, alpha: int = 0, guess_
         stats = initial_guess(P, k, z)
         if not stats["n_points"]:
             raise ValueError("no points to cluster")
-        with block_grid(P, P, stats["n_points"]) as grid:
-            return _solve(grid, stats, k, z, alpha, max(1, int(guess_chunk)))
+        with metric_blocks(P, stats) as blocks:
+            return _solve(blocks, stats, k, z, alpha, max(1, int(guess_chunk)))
     finally:
         P.unpersist()
 
 
-def _solve(grid: DataFrame, stats: dict, k: int, z: int, alpha: int, guess_chunk: int) -> KCenterSolution:
-    spark = grid.sparkSession
+def _solve(blocks: Blocks, stats: dict, k: int, z: int, alpha: int, guess_chunk: int) -> KCenterSolution:
+    spark, pairs = blocks.rows.sparkSession, 0
     coef1, coef2 = 1 + 2 * alpha, 3 + 4 * alpha
     r0, diameter = float(stats["r0"]), 2.0 * float(stats["reach"] or 0.0)
     if r0 == 0.0 or math.isinf(r0) or diameter <= coef2 * r0:
@@ -312,7 +441,8 @@ def _solve(grid: DataFrame, stats: dict, k: int, z: int, alpha: int, guess_chunk
     # the first chunk with a feasible guess ends the search (the doubling loop's answer is the smallest one)
     for lo in range(0, n_guesses, guess_chunk):
         radii = [r0 * 2.0 ** g for g in range(lo, min(n_guesses, lo + guess_chunk))]
-        picks, left = _cover_rounds(grid, k, radii, coef1, coef2)
+        picks, left, compared = _cover_rounds(blocks, k, radii, coef1, coef2, int(stats["total_weight"]))
+        pairs += compared
         feasible = [g for g, w in enumerate(left) if w <= z]
         if feasible:
             break
@@ -327,7 +457,7 @@ def _solve(grid: DataFrame, stats: dict, k: int, z: int, alpha: int, guess_chunk
         [(int(stats["n_points"]), int(stats["total_weight"]), k, z, alpha, r0, radii[g], lo + g + 1, len(rows))],
         "n_points bigint, total_weight bigint, k int, z int, alpha int, initial_guess double, "
         "final_guess double, n_guesses int, n_centers int")
-    return KCenterSolution(centers, report, r0, radii[g], lo + g + 1)
+    return KCenterSolution(centers, report, r0, radii[g], lo + g + 1, pairs)
 
 
 def greedy_cover(P: DataFrame, k: int, r: float, alpha: int = 0):
@@ -337,8 +467,12 @@ def greedy_cover(P: DataFrame, k: int, r: float, alpha: int = 0):
     if k < 1:
         raise ValueError("k must be >= 1")
     P = _solver_input(P)
-    with block_grid(P, P) as grid:
-        picks, left = _cover_rounds(grid, k, [float(r)], 1 + 2 * alpha, 3 + 4 * alpha)
+    n, total = P.agg(F.count(F.lit(1)), F.coalesce(F.sum("weight"), F.lit(0))).first()
+    picks, left = [[]], [0]
+    if n:
+        head = [r.point for r in P.orderBy("idx").limit(PIVOTS).select("point").collect()]
+        with metric_blocks(P, {"head": head, "n_points": n}) as blocks:
+            picks, left, _ = _cover_rounds(blocks, k, [float(r)], 1 + 2 * alpha, 3 + 4 * alpha, int(total))
     centers = P.sparkSession.createDataFrame(
         [(t, pid, point) for t, (_, pid, point) in enumerate(picks[0])],
         "center_no int, point_id bigint, point array<double>")

@@ -1,3 +1,4 @@
+import os
 import random
 
 import numpy as np
@@ -11,10 +12,13 @@ import bruteforce as BF
 from pointlake.operators import fft as FFT
 from pointlake.operators import geometry as G
 from pointlake.operators import kcenter as KC
+from pointlake.operators import metric as M
 from pointlake.operators.fft import fft_centers, fft_coreset
+from pointlake.plans import queries_points as Q
 from pointlake.sources.points import parse_point, read_points
 
 TOL = 1e-9
+SF = "/root/testdata/sf0.001"
 
 # FIXTURES.md §2, sequential solver with unit weights, alpha = 0.
 SEQ_CASES = [
@@ -180,13 +184,84 @@ def test_solver_matches_bruteforce(spark, coords, k, z):
 
 
 def test_several_blocks_per_round(spark, monkeypatch):
-    monkeypatch.setattr(KC, "BLOCK", 7)
+    monkeypatch.setattr(M, "BLOCK", 7)
+    monkeypatch.setattr(M, "CELL", 9)
     rnd = random.Random(5)
     coords = [(rnd.randint(0, 9) / 2, rnd.randint(0, 9) / 2) for _ in range(45)]
     sol = KC.seq_weighted_outliers(_points(spark, coords), 4, 3)
     _check(sol, coords, 4, 3)
 
 
+@pytest.fixture(scope="module")
+def whole_tables(spark):
+    if not os.path.isdir(SF):
+        pytest.skip("test tables not present")
+    points = {"events": Q.pev(spark, SF), "customers": Q.pt2(spark, SF)}
+    return {name: df.select(F.col("point_id").alias("idx"), "point_id", "point", F.lit(1).cast("bigint").alias("weight")) for name, df in points.items()}
+
+
+@pytest.mark.parametrize("name,radius,block", [("events", 2.0, 64), ("customers", 0.4, 8)])
+def test_range_join_compares_few_pairs(spark, monkeypatch, whole_tables, name, radius, block):
+    """Exact ball weights of a whole table; blocks that lie apart never meet."""
+    monkeypatch.setattr(M, "BLOCK", block)
+    monkeypatch.setattr(M, "CELL", block)
+    P = whole_tables[name]
+    rows = P.orderBy("idx").collect()
+    gap = BF.distance_matrix([r.point for r in rows])
+    got = {r.idx: r.ball_weight for r in KC.ball_weights(P, P, radius).collect()}
+    assert got == {r.idx: int(n) for r, n in zip(rows, (gap <= radius).sum(axis=1))}
+    head = {"head": [r.point for r in rows[:M.PIVOTS]], "n_points": len(rows)}
+    with KC.metric_blocks(P, head) as blocks:
+        assert blocks.size.sum() == len(rows) and len(blocks.number) > 10
+        bound, at = blocks.between(blocks), {}
+        for r in blocks.rows.collect():
+            at[r.block] = r.idx
+        place = {r.idx: i for i, r in enumerate(rows)}
+        for i, a in enumerate(blocks.number.tolist()):
+            for j, b in enumerate(blocks.number.tolist()):
+                real = gap[np.ix_([place[x] for x in at[a]], [place[x] for x in at[b]])].min()
+                assert bound[i, j] <= real
+        cover = KC.Cover(blocks, [radius], 1, 3)
+        try:
+            cover.count()
+            first = cover.pairs
+            assert (gap <= radius).sum() <= first < len(rows) ** 2 / 3
+            cover.lower(cover.choose(), 1, False)
+            assert 0 < cover.pairs - first < first / 2  # a round only looks around its new center
+        finally:
+            cover.release()
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0
+
+
+def test_rounds_equal_counting_from_scratch(spark, monkeypatch, whole_tables):
+    """Lowered ball weights choose the centers that weights counted anew choose."""
+    monkeypatch.setattr(M, "BLOCK", 32)
+    monkeypatch.setattr(M, "CELL", 50)
+    P = whole_tables["customers"]
+    rows = P.orderBy("idx").collect()
+    for k, r, alpha in ((6, 0.5, 0), (4, 0.3, 2)):
+        centers, left = KC.greedy_cover(P, k, r, alpha)
+        order = {row.point_id: i for i, row in enumerate(rows)}
+        BF.check_cover([row.point for row in rows], [1] * len(rows), [order[i] for i in _ids(centers)], left, k, r, alpha)
+
+
+def test_closest_pair_behind_many_coinciding_points(spark, monkeypatch):
+    monkeypatch.setattr(M, "BLOCK", 16)
+    monkeypatch.setattr(M, "CELL", 30)
+    rnd = random.Random(8)
+    for spread in (0, 3, 300):
+        coords = [(1.0, 2.0)] * 60 + [(rnd.randint(0, 50 * spread) / 7, rnd.randint(0, 50 * spread) / 7) for _ in range(150 if spread else 0)]
+        coords += [(5e4, 5e4)] * 20 if spread else []
+        gap = BF.distance_matrix(coords)
+        P = _solver_input(spark, coords, [1] * len(coords))
+        for head in (coords[:1], coords[:40:9] + coords[-5:]):
+            with KC.metric_blocks(P, {"head": [list(c) for c in head], "n_points": len(coords)}) as blocks:
+                got = KC.closest_pair(blocks)
+            assert got == (gap[gap > 0].min() if spread else None)
+    sol = KC.initial_guess(P, 2, 3)
+    assert sol["r0"] == gap[gap > 0].min() / 2
+
+
 @settings(max_examples=5, deadline=None)
 @given(point_sets, st.integers(1, 5), st.integers(1, 3))
 def test_coreset_matches_bruteforce(spark, coords, k, L):
