@@ -38,5 +38,5 @@ def test_query_matches_oracle(spark, sf, duck, name):
 def test_registered_under_their_numbers():
     names = entry.queries()
     assert "pipeline" in names
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert len([x for x in names if x.startswith(f"op{n}_")]) == 1
