@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pointlake.llm import decontam, mixing, superminhash, token_planes, toxicity
-from pointlake.llm.common import read_table, scratch, store
+from pointlake.llm.common import broadcast_if_small, read_table, scratch, store
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -66,9 +66,9 @@ def _by_key(docs: DataFrame) -> DataFrame:
 
 
 def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose key is not in ``gone`` (doc_id)."""
+    """Rows of ``docs`` whose key is not in ``gone`` (doc_id; stored). Texts only move where the keys are too many to broadcast."""
     own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("own")
-    d, g = docs.select(document_key().alias("key"), own).alias("d"), gone.alias("g")
+    d, g = docs.select(document_key().alias("key"), own).alias("d"), broadcast_if_small(gone, 128).alias("g")
     return d.join(g, F.col("d.key").eqNullSafe(F.col("g.doc_id")), "left_anti").select("own.*")
 
 
