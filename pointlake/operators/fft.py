@@ -8,8 +8,9 @@ Every point carries a state: ``mind`` (distance to the nearest chosen center of
 its part) and ``near`` (that center's step). A pass does two things in NumPy,
 batch by batch:
 
-* fold the centers chosen by the last pass into the state, one distance per
-  point and new center;
+* fold the centers chosen by the last pass into the state: at most one distance per
+  point and new center, none where the new center is at least twice as far from
+  the point's center as the point is (the triangle inequality);
 * emit, per (part, salt), a fixed number of points with the largest distance
   (``candidates``: 16 to 512, fewer for more parts).
 
@@ -104,8 +105,46 @@ class Part:
         return chosen
 
 
-def _folder(new: dict[int, list[tuple[int, np.ndarray]]]) -> Callable:
-    """Folds ``new`` centers (step, point) per part into the state columns."""
+#: Bounds leave this much room for rounding.
+SLACK = 1e-9
+
+
+@dataclass
+class Fold:
+    """New centers of one part: (step, point, distances to all centers of earlier steps)."""
+
+    new: list[tuple[int, np.ndarray, np.ndarray]]
+
+    @classmethod
+    def of(cls, earlier: list[list[float]], new: list[tuple[int, np.ndarray]]) -> Fold:
+        """``earlier``: the part's centers before ``new``, in order of their steps."""
+        known, folds = np.array([*earlier, *[p for _, p in new]], float), []
+        for step, point in new:
+            folds.append((step, point, distances(known[:step], point) if step else np.empty(0)))
+        return cls(folds)
+
+    def apply(self, points: np.ndarray, mind: np.ndarray, near: np.ndarray) -> int:
+        """Folds the centers into (mind, near) in place; the number of distances computed.
+
+        A point x with center a at distance m cannot be nearer to a new center c unless d(a, c) < 2 m: the
+        triangle inequality gives d(x, c) >= d(a, c) - m. Points beyond that are skipped."""
+        compared = 0
+        for step, center, gaps in self.new:
+            if step:
+                rows = np.flatnonzero((gaps[near] * (1 - SLACK) < 2 * mind) | np.isinf(mind))
+                if not len(rows):
+                    continue
+            else:
+                rows = np.arange(len(points))
+            d = distances(points[rows], center)
+            compared += len(rows)
+            closer = d < mind[rows]
+            mind[rows[closer]], near[rows[closer]] = d[closer], step
+        return compared
+
+
+def _folder(new: dict[int, Fold]) -> Callable:
+    """Folds ``new`` centers per part into the state columns."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -114,12 +153,12 @@ def _folder(new: dict[int, list[tuple[int, np.ndarray]]]) -> Callable:
             parts, points = batch.column(0).to_numpy(), matrix(batch.column(2))
             mind, near = batch.column(4).to_numpy().copy(), batch.column(5).to_numpy().copy()
             for part in np.unique(parts):
+                if (fold := new.get(int(part))) is None:
+                    continue
                 rows = np.flatnonzero(parts == part)
-                own = points[rows]
-                for step, center in new.get(int(part), ()):
-                    d = distances(own, center)
-                    closer = d < mind[rows]
-                    mind[rows[closer]], near[rows[closer]] = d[closer], step
+                m, who = mind[rows], near[rows]
+                fold.apply(points[rows], m, who)
+                mind[rows], near[rows] = m, who
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(mind), pa.array(near, pa.int32())],
                                              names=batch.schema.names)
 
@@ -233,7 +272,8 @@ class Traversal:
                 return
 
     def fold(self, new: dict[int, list[tuple[int, np.ndarray]]], write: bool) -> None:
-        state, before = self.state.mapInArrow(_folder(new), STATE), None
+        folds = {p: Fold.of([x for _, x in self.parts[p].steps[:got[0][0]]], got) for p, got in new.items()}
+        state, before = self.state.mapInArrow(_folder(folds), STATE), None
         if write:
             before, self.written = self.written, Stored.write(state, "traversal")
             state = self.written.df

@@ -13,6 +13,11 @@ from pyspark.sql import functions as F
 
 from ..functions.distance import min_distance, nearest
 from ..plans.limits import MAX_BROADCAST_BYTES
+from ..plans.session import Stored, cut_lineage
+from .selection import kth_largest, largest_rows
+
+#: Ranks up to here are taken by a top-z of rows in one task; beyond, by bracketing the distance.
+TOP_ROWS = 100_000
 
 
 def centers_value(centers: DataFrame, max_centers: int) -> Column:
@@ -67,6 +72,8 @@ def kcenter_objective(points: DataFrame, centers: DataFrame, z: int, max_centers
     """
     if z < 0:
         raise ValueError("z must be >= 0")
+    if z >= TOP_ROWS:
+        return objective_by_selection(points, centers, z, max_centers)
     d = point_center_distance(points, centers, max_centers)
     top = d.orderBy(F.desc("dist")).limit(z + 1)
     agg = top.agg(F.min("dist").alias("dist"), F.count(F.lit(1)).alias("n"))
@@ -80,5 +87,29 @@ def kcenter_outliers(points: DataFrame, centers: DataFrame, z: int, max_centers:
     """The z points farthest from the centers (ties: lower point_id kept)."""
     if z < 0:
         raise ValueError("z must be >= 0")
+    if z > TOP_ROWS:
+        return outliers_by_selection(points, centers, z, max_centers)
     d = point_center_distance(points, centers, max_centers)
     return d.orderBy(F.desc("dist"), F.asc("point_id")).limit(z)
+
+
+def objective_by_selection(points: DataFrame, centers: DataFrame, z: int, max_centers: int) -> DataFrame:
+    """The objective for any z: distances are written once (16 bytes a point), then the
+    (z+1)-th largest is bracketed in a few passes (``selection``); no task holds z rows.
+    A table of no more than z points is an error; null distances are left out."""
+    stored = Stored.write(point_center_distance(points, centers, max_centers).select("dist"), "distances")
+    try:
+        value = kth_largest(stored.df, "dist", z + 1).value
+    finally:
+        stored.delete()
+    return points.sparkSession.createDataFrame([(value,)], "objective double")
+
+
+def outliers_by_selection(points: DataFrame, centers: DataFrame, z: int, max_centers: int) -> DataFrame:
+    """The z farthest points (point_id, dist) for any z, lower ids among equal distances: a
+    filter at the z-th largest distance, and at the id of the last point that shares it."""
+    stored = Stored.write(point_center_distance(points, centers, max_centers), "distances")
+    try:
+        return cut_lineage(largest_rows(stored.df, "dist", "point_id", z))
+    finally:
+        stored.delete()

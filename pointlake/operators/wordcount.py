@@ -67,6 +67,24 @@ def distinct_word_count(counts: DataFrame) -> DataFrame:
     return counts.agg(F.count(F.lit(1)).alias("distinct_words"))
 
 
+def word_sketches(docs: DataFrame, buckets: int, value_col: str = "value", lg_k: int = 14) -> DataFrame:
+    """(bucket, sketch): a HyperLogLog sketch of the words of each of ``buckets`` shares of the
+    documents (by hash of the text, so reruns agree). Sketches of fixed size are what a store keeps: those of
+    new documents merge with the old ones, and only sketches are shuffled, never words."""
+    if buckets < 1:
+        raise ValueError("buckets must be >= 1")
+    bucket = F.pmod(F.xxhash64(F.col(value_col)), F.lit(buckets)).cast("int")
+    rows = docs.select(bucket.alias("bucket"), F.explode(java_space_split(value_col)).alias("word"))
+    return rows.groupBy("bucket").agg(F.hll_sketch_agg("word", F.lit(lg_k)).alias("sketch"))
+
+
+def approx_distinct_words(sketches: DataFrame) -> DataFrame:
+    """One row ``distinct_words``: the estimate of the union of sketches (0 without any). The relative standard
+    error of a sketch of 2^lg_k registers is about 1.04 / sqrt(2^lg_k): 0.8 % at 14."""
+    union = sketches.agg(F.hll_union_agg("sketch").alias("s"))
+    return union.select(F.coalesce(F.hll_sketch_estimate("s"), F.lit(0)).cast("bigint").alias("distinct_words"))
+
+
 def avg_word_length(counts: DataFrame, utf16: bool = True) -> DataFrame:
     """Mean length over distinct words: integer division as in the reference
     (``avg_length``), plus the exact mean. NULL when there are no words. A length is

@@ -22,14 +22,14 @@ PT64_SQL = ("SELECT CAST(vec_id AS BIGINT) AS point_id, CAST(embedding AS DOUBLE
             "FROM embeddings")
 
 
-def fft_ctes(tag: str, pts: str, n_centers: int, parts: int) -> tuple[list[str], str]:
-    """CTEs for the per-partition traversal over relation ``pts(point_id, point)``.
+def fft_ctes(tag: str, pts: str, n_centers: int, parts: int, weight: str = "1") -> tuple[list[str], str]:
+    """CTEs for the per-partition traversal over relation ``pts(point_id, point)``, each point of the given weight.
     Returns (ctes, name of the final state relation with part_id, point_id, point,
     weight, mind, near, chosen)."""
     L = int(parts)
     ctes = [
         f"{tag}_p AS (SELECT CAST(((point_id % {L}) + {L}) % {L} AS INTEGER) AS part_id, "
-        f"point_id, point, CAST(1 AS BIGINT) AS weight FROM {pts})",
+        f"point_id, point, CAST({weight} AS BIGINT) AS weight FROM {pts})",
         f"{tag}_c0 AS (SELECT p.part_id, p.point_id AS cid, p.point AS cpt FROM {tag}_p p "
         f"JOIN (SELECT part_id, min(point_id) AS cid FROM {tag}_p GROUP BY part_id) f "
         f"ON f.part_id = p.part_id AND f.cid = p.point_id)",
@@ -56,8 +56,8 @@ def fft_ctes(tag: str, pts: str, n_centers: int, parts: int) -> tuple[list[str],
     return ctes, f"{tag}_s{n_centers - 1}"
 
 
-def coreset_ctes(tag: str, pts: str, n_centers: int, parts: int) -> tuple[list[str], str]:
-    ctes, final = fft_ctes(tag, pts, n_centers, parts)
+def coreset_ctes(tag: str, pts: str, n_centers: int, parts: int, weight: str = "1") -> tuple[list[str], str]:
+    ctes, final = fft_ctes(tag, pts, n_centers, parts, weight)
     ctes.append(f"{tag}_w AS (SELECT part_id, near AS step, CAST(sum(weight) AS BIGINT) AS weight "
                 f"FROM {final} GROUP BY part_id, near)")
     ctes.append(f"{tag}_core AS (SELECT s.part_id, CAST(s.chosen AS INTEGER) AS step, s.point_id, "

@@ -7,6 +7,7 @@ both sides.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,9 +15,11 @@ from pyspark.sql import functions as F
 
 from ..operators import baskets as B
 from ..operators import wordcount as W
-from ..sources.text import lines_of_documents
+from ..operators.heavy import top_products_by_summaries
+from ..sources.sink import publish, read_published
+from ..sources.text import lines_of_documents, read_lines
 from ..sources.transactions import TXN_SQL, parse_transactions, transactions_from_tables
-from .session import dealt, read_table, table_path
+from .session import dealt, ensure_checkpoint_dir, read_table, table_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -156,6 +159,26 @@ def q_txn_text_pair_count(spark, sf):
     return B.pair_count(B.product_customer_pairs(parsed, on_error="fail"))
 
 
+@register("top_products_summaries",
+          _TXN + _POP_ALL + f" ORDER BY popularity DESC, product_id LIMIT {TOP_H}")
+def q_top_products_summaries(spark, sf):
+    return top_products_by_summaries(B.product_customer_pairs(bought(spark, sf)), TOP_H)
+
+
+@register("product_popularity_bitmaps", _TXN + _POP_ALL)
+def q_popularity_bitmaps(spark, sf):
+    return B.product_popularity_bitmaps(bought(spark, sf))
+
+
+@register("popularity_sink", _TXN + _POP_ALL)
+def q_popularity_sink(spark, sf):
+    """The result sink on a whole result: popularity written in partitions of product ids, read back."""
+    path = f"{ensure_checkpoint_dir(spark)}/popularity-{uuid.uuid4().hex}"
+    popularity = B.product_popularity(B.product_customer_pairs(bought(spark, sf)))
+    publish(popularity.withColumn("share", F.pmod("product_id", F.lit(SALT_BUCKETS))).repartition("share"), path, ("share",))
+    return read_published(spark, path).drop("share")
+
+
 # ---------------------------------------------------------------- word count
 
 def doc_lines(spark: SparkSession, sf: str) -> DataFrame:
@@ -222,3 +245,26 @@ SELECT count(*) AS distinct_words, CAST(sum(units) AS BIGINT) AS total_length,
 FROM (SELECT length(word) + length(regexp_replace(word, '[\x{0}-\x{FFFF}]', '', 'g')) AS units FROM wc)""")
 def q_avg_word_length(spark, sf):
     return W.avg_word_length(W.word_count(doc_lines(spark, sf)))
+
+
+@register("text_files_word_count", _LINES + "SELECT word, n FROM wc")
+def q_text_files_word_count(spark, sf):
+    """The text source with a least number of partitions: every line written to text files, read and counted."""
+    path = f"{ensure_checkpoint_dir(spark)}/lines-{uuid.uuid4().hex}"
+    doc_lines(spark, sf).select("value").write.text(path)
+    return W.word_count(read_lines(spark, path, min_partitions=2 * SALT_BUCKETS))
+
+
+#: Four standard errors of a sketch of 2^14 registers.
+SKETCH_BOUND = 4 * 1.04 / 2 ** 7
+
+
+@register("approx_distinct_words", _LINES + "SELECT count(*) AS distinct_words, true AS within_bound FROM wc")
+def q_approx_distinct_words(spark, sf):
+    """Exact distinct words, and whether the estimate from merged sketches is within four standard errors of them."""
+    lines = doc_lines(spark, sf)
+    estimate = W.approx_distinct_words(W.word_sketches(lines, SALT_BUCKETS)).select(F.col("distinct_words").alias("estimate"))
+    exact = W.distinct_word_count(W.word_count(lines))
+    off = F.abs(F.col("estimate") - F.col("distinct_words"))
+    return exact.withColumn("estimate", estimate.scalar()).select(
+        "distinct_words", (off <= F.col("distinct_words") * F.lit(SKETCH_BOUND)).alias("within_bound"))

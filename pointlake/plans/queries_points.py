@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from ..operators import geometry as G
 from ..operators import kcenter as KC
+from ..operators.center_index import nearest_of_many
+from ..operators.coreset_tree import tree_coreset
 from ..operators.fft import fft_centers, fft_coreset
 from ..sources.points import points_from_array, points_from_columns
 from . import oracle_points as O
@@ -336,3 +338,57 @@ def q_points_text_source(spark, sf):
     parsed = p.select("point_id", parse_point(line).alias("point"))
     return parsed.select("point_id", F.size("point").alias("dim"),
                          F.aggregate("point", F.lit(0.0), lambda a, b: a + b).alias("coord_sum"))
+
+
+# A tenth of all events as outliers of four whole-table centers: far more than a top-z in one task should hold.
+_CEV, _CEV_FINAL = O.fft_ctes("cev", "pev", EK, 1)
+_CEV = _CEV + [f"centev AS (SELECT chosen AS center_no, point_id, point FROM {_CEV_FINAL} WHERE chosen IS NOT NULL)",
+               f"farev AS (SELECT p.point_id, min({O.dist('p.point', 'c.point')}) AS dist FROM pev p, centev c "
+               "GROUP BY p.point_id)",
+               "rankev AS (SELECT *, row_number() OVER (ORDER BY dist DESC, point_id) AS rn, "
+               "count(*) OVER () // 10 AS z FROM farev)"]
+
+
+def _events_and_centers(spark, sf):
+    pts = pev(spark, sf)
+    centers = fft_centers(pts, EK, 1).select(F.col("step").alias("center_no"), "point")
+    return pts, centers, pts.count() // 10
+
+
+@register("event_objective_tenth", O.with_ctes(_PEV + _CEV, "SELECT dist AS objective FROM rankev WHERE rn = z + 1"))
+def q_event_objective_tenth(spark, sf):
+    pts, centers, z = _events_and_centers(spark, sf)
+    return G.objective_by_selection(pts, centers, z, EK)
+
+
+@register("event_outliers_tenth", O.with_ctes(_PEV + _CEV, "SELECT point_id, dist FROM rankev WHERE rn <= z"))
+def q_event_outliers_tenth(spark, sf):
+    pts, centers, z = _events_and_centers(spark, sf)
+    return G.outliers_by_selection(pts, centers, z, EK)
+
+
+# Hundreds of centers: the coreset of the events as the center set.
+_MANY = [f"manyev AS (SELECT CAST(part_id AS BIGINT) * {EK + EZ + 1} + step AS center_no, point FROM {_COREEV_NAME})",
+         "nearmany AS (SELECT point_id, min(ROW(dist, center_no)) AS m FROM (SELECT p.point_id, c.center_no, "
+         f"{O.dist('p.point', 'c.point')} AS dist FROM pev p, manyev c) GROUP BY point_id)"]
+
+
+@register("event_nearest_many", O.with_ctes(_PEV + _COREEV + _MANY,
+                                            "SELECT point_id, m[2] AS center_no, m[1] AS dist FROM nearmany"))
+def q_event_nearest_many(spark, sf):
+    core = fft_coreset(pev(spark, sf), EK + EZ + 1, EL)
+    centers = core.select((F.col("part_id").cast("bigint") * (EK + EZ + 1) + F.col("step")).alias("center_no"), "point")
+    return nearest_of_many(pev(spark, sf), centers, EL * (EK + EZ + 1))
+
+
+# Merge and reduce: 64 leaves, merged by eight, twice.
+TREE_CENTERS, TREE_LEAVES, TREE_FAN = 16, 64, 8
+_TREE, _LEAVES = O.coreset_ctes("t0", "pev", TREE_CENTERS, TREE_LEAVES)
+_MID, _MID_NAME = O.coreset_ctes("t1", _LEAVES, TREE_CENTERS, TREE_LEAVES // TREE_FAN, "weight")
+_ROOT, _ROOT_NAME = O.coreset_ctes("t2", _MID_NAME, TREE_CENTERS, 1, "weight")
+
+
+@register("event_coreset_tree", O.with_ctes(_PEV + _TREE + _MID + _ROOT,
+                                            f"SELECT step, point_id, weight FROM {_ROOT_NAME}"))
+def q_event_coreset_tree(spark, sf):
+    return tree_coreset(pev(spark, sf), TREE_CENTERS, TREE_LEAVES, TREE_FAN).select("step", "point_id", "weight")
