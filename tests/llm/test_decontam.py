@@ -12,9 +12,11 @@ def shingles(text):
 def brute(docs, items):
     out = {}
     for d, t in docs:
-        have = shingles(t)
+        w = [x for x in re.split(r"[^\w]+|_", (t or "").lower()) if x]
         for i, x in items:
             want = shingles(x)
+            n = len(next(iter(want), ()))
+            have = {tuple(w[k:k + n]) for k in range(len(w) - n + 1)}
             if want and len(want & have) / len(want) >= 0.8:
                 out[d, i] = (len(want), len(want & have))
     return out
@@ -57,6 +59,17 @@ def test_blocks_of_the_benchmark_give_the_same(spark, monkeypatch):
     assert _run(spark, docs, items) == brute(docs, items)
 
 
+def test_items_of_one_to_four_words_inside_long_documents(spark):
+    rnd = random.Random(9)
+    fill = " ".join(rnd.choices([f"x{i}" for i in range(90)], k=4000))
+    items = [(1, "Unique"), (2, "two words"), (3, "just three words"), (4, "Exactly four words here"), (5, "exactly four words")]
+    docs = [(i, f"{fill} {t.upper()}, {fill}") for i, t in items]
+    docs += [(10, "words two"), (11, "two  words"), (12, fill), (13, "exactly four"), (14, "just-three-words"), (15, None), (16, "unique")]
+    got = _run(spark, docs, items)
+    assert got == brute(docs, items)
+    assert set(got) == {(1, 1), (2, 2), (3, 3), (4, 4), (4, 5), (5, 5), (11, 2), (14, 3), (16, 1)}
+
+
 def test_empty_tables(spark):
     docs, items = _corpus()
     assert _run(spark, [], items) == {} and _run(spark, docs, []) == {}
