@@ -48,7 +48,7 @@ def test_query_matches_oracle(spark, duck, name):
     assert got == want
 
 
-_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
           "array<double>": "DOUBLE[]"}
 
 
