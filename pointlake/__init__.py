@@ -16,18 +16,24 @@ from .operators.baskets import (
     product_customer_pairs,
     product_customer_pairs_salted,
     product_popularity,
+    product_popularity_bitmaps,
     product_popularity_distinct,
     purchases,
     top_products,
 )
+from .operators.center_index import nearest_of_many
+from .operators.coreset_tree import tree_coreset
 from .operators.fft import fft_centers, fft_coreset
 from .operators.geometry import (
     cluster_sizes,
     kcenter_objective,
     kcenter_outliers,
     nearest_center,
+    objective_by_selection,
+    outliers_by_selection,
     point_center_distance,
 )
+from .operators.heavy import top_products_by_summaries
 from .operators.kcenter import (
     ball_removal,
     ball_weights,
@@ -39,16 +45,20 @@ from .operators.kcenter import (
     seq_weighted_outliers,
     solve_weighted_outliers,
 )
+from .operators.selection import kth_largest, largest_rows
 from .operators.wordcount import (
+    approx_distinct_words,
     avg_word_length,
     distinct_word_count,
     doc_term_freq,
     word_count,
     word_count_partitioned,
     word_count_salted,
+    word_sketches,
     words,
 )
 from .sources.points import points_from_array, points_from_columns, read_points
+from .sources.sink import publish, read_published
 from .sources.text import lines_of_documents, read_lines
 from .sources.transactions import parse_transactions, read_transactions, transactions_from_tables
 
