@@ -34,14 +34,18 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays."""
-    gone = superminhash.near_duplicates(_by_key(docs)).filter("not kept").select("doc_id").distinct()
-    return _without(docs, store(gone, "pipeline-copies"))
+    with scratch(spark):  # the search's tables go when its decision is stored
+        gone = superminhash.near_duplicates(_by_key(docs)).filter("not kept").select("doc_id").distinct()
+        gone = store(gone, "pipeline-copies", keep=True)
+    return _without(docs, gone)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain no benchmark item."""
-    found = decontam.contaminated(_by_key(docs), read_table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return _without(docs, store(found, "pipeline-contaminated"))
+    with scratch(spark):
+        found = decontam.contaminated(_by_key(docs), read_table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
+        found = store(found, "pipeline-contaminated", keep=True)
+    return _without(docs, found)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
