@@ -13,7 +13,7 @@ mention of one group moves the score no more than of another. Labels, language,
 
 Edge cases: a null or empty text scores by the intercept alone; a text of any length is
 scored whole; labels that are null, or whose document is missing, are not used, and
-neither are ids with both labels; with one class or none every score is 0.0; repeated rows score alike; rows keep
+neither are ids with both labels; an id with several texts is one training row, its least text; with one class or none every score is 0.0; repeated rows score alike; rows keep
 a null id (held_out is false for it); extra columns are ignored.
 """
 
@@ -180,13 +180,15 @@ def in_fold(c: Column, folds: int = FOLDS) -> Column:
 
 
 def training_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(toxic, text) of at most PER_CLASS documents per class; held-out ids never."""
+    """(doc_id, toxic, text) of at most PER_CLASS documents per class, a row each; held-out ids never.
+    Of several texts under one id the least is taken, so that the bound holds for rows too."""
     usable = (labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~in_fold(F.col("doc_id")))
               .groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("other"))
               .filter("toxic = other").drop("other"))
     parts = [usable.filter(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n) for c, n in PER_CLASS.items()]
     chosen = parts[0].unionAll(parts[1])  # at most sum(PER_CLASS) rows of two numbers
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "toxic", "text")
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    return rows.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -68,3 +68,10 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert T.without_toxic(odd_docs, None).count() == 11
     assert T.score_documents(no_docs, model).count() == 0
     assert T.fit(odd_docs, labels.filter("toxic = 0")) is None and T.fit(no_docs, labels) is None
+
+
+def test_sample_bounds_rows_not_only_ids(spark):
+    docs = spark.createDataFrame([(1, f"text {i}") for i in range(600)] + [(2, "other")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int")
+    rows = {(r.doc_id, r.text) for r in T.training_sample(docs, labels).collect()}
+    assert rows <= {(1, "text 0"), (2, "other")} and rows
