@@ -60,3 +60,26 @@ def test_null_ids_and_repeats(spark, rows):
     df, ledger = spark.createDataFrame(rows, "path long, text string"), shared_folder(spark, "t")
     assert L.update_ledger(df, ledger) == 3
     assert [r.spans for r in L.findings(df, ledger).collect()] == ["assign:0:15"] * 3
+
+
+def test_instalments_scan_each_pair_once(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").selectExpr("doc_id path", "text")
+    docs = docs.unionAll(spark.createDataFrame([(None, "token=abcdef"), (None, None)], "path long, text string"))
+    ledger = shared_folder(spark, "t")
+    parts = L.update_in_instalments(docs, ledger, instalments=3)
+    blobs = docs.selectExpr("sha2(coalesce(text, ''), 256) b").distinct().count()
+    assert all(parts) and sum(parts) == 3 * blobs == L.read_ledger(spark, ledger).count()
+    got = sorted((str(r.path), r.spans) for r in L.findings(docs, ledger).collect())
+    assert got == sorted((str(r.path), brute(r.text)) for r in docs.collect())
+
+
+def test_two_writers_at_once(spark, monkeypatch):
+    df = spark.createDataFrame(list(enumerate(TEXTS[:8])), "path long, text string")
+    ledger = shared_folder(spark, "t")
+    L.update_ledger(df, ledger)
+    once = sorted(L.findings(df, ledger).collect())
+    with monkeypatch.context() as m:  # the second writer looked before the first one wrote
+        m.setattr(L, "read_ledger", lambda s, path: s.createDataFrame([], L.LEDGER))
+        assert L.update_ledger(df, ledger) == 24
+    assert L.read_ledger(spark, ledger).count() == 48
+    assert sorted(L.findings(df, ledger).collect()) == once
