@@ -19,7 +19,7 @@ result; a text of any length is scanned whole; extra columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -131,6 +131,10 @@ def read_ledger(spark, ledger: str) -> DataFrame:
     return spark.read.schema(LEDGER).parquet(ledger)
 
 
+def _named(name: str) -> Callable[[Column], Column]:
+    return lambda s: s["name"] == name
+
+
 def findings(versions: DataFrame, ledger: str, rules: Sequence[Rule] = RULES) -> DataFrame:
     """Per row of ``versions`` (path, text): path, blob, counts per rule name, and
     all spans as ``rule:start:end`` by start, then rule order, comma-joined."""
@@ -143,7 +147,7 @@ def findings(versions: DataFrame, ledger: str, rules: Sequence[Rule] = RULES) ->
     # a set: a pair that two writers scanned at once is there twice, with equal spans
     per = hits.groupBy("blob").agg(F.sort_array(F.collect_set("s")).alias("found"))
     per = per.select("blob", F.array_join(F.transform("found", lambda s: F.concat_ws(":", s["name"], s["start"], s["end"])), ",").alias("spans"),
-                     *[F.size(F.filter("found", lambda s, n=r.name: s["name"] == n)).alias(f"n_{r.name}") for r in rules])
+                     *[F.size(F.filter("found", _named(r.name))).alias(f"n_{r.name}") for r in rules])
     rows = versions.select("path", text_blob().alias("blob")).join(per, "blob", "left")
     return rows.select("path", "blob", *[F.coalesce(f"n_{r.name}", F.lit(0)).cast("long").alias(f"n_{r.name}") for r in rules],
                        F.coalesce("spans", F.lit("")).alias("spans"))
