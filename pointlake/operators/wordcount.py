@@ -9,8 +9,10 @@ task, because every plan aggregates before its shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -56,11 +58,37 @@ def word_count_salted(docs: DataFrame, id_cols: Sequence[str], buckets: int,
     return per_salt.groupBy("word").agg(F.sum("n").cast("bigint").alias("n"))
 
 
+#: A task of ``word_count_partitioned`` passes its counts on beyond this many rows held.
+HELD_ROWS = 500_000
+
+
+def _combined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(word, n) of a partition: the counts of its batches merged, in bounded memory."""
+    held, rows = [], 0
+
+    def merged() -> pa.Table:
+        return pa.Table.from_batches(held).group_by("word").aggregate([("n", "sum")]).select(["word", "n_sum"]).rename_columns(["word", "n"])
+
+    for batch in batches:
+        counts = pc.value_counts(batch.column(0).cast(pa.string()))
+        held.append(pa.RecordBatch.from_arrays(counts.flatten(), names=["word", "n"]))
+        rows += len(counts)
+        if rows > HELD_ROWS:
+            held = merged().to_batches()
+            rows = sum(map(len, held))
+            if rows > HELD_ROWS // 2:  # mostly different words: holding them longer would not combine much
+                yield from held
+                held, rows = [], 0
+    if held:
+        yield from merged().to_batches()
+
+
 def word_count_partitioned(docs: DataFrame, value_col: str = "value") -> DataFrame:
-    """Counts combined per input partition first, then summed: the combine is the
-    partial aggregate inside each task, so only (word, partial count) rows move, once."""
-    ones = words(docs, (), value_col).select("word", F.lit(1).cast("bigint").alias("one"))
-    return ones.groupBy("word").agg(F.sum("one").alias("n"))
+    """Counts combined per input partition by a step of its own (MapInArrow in the plan), then summed:
+    only a partition's (word, count) rows move, once. The combine is not the partial aggregate of ``word_count``;
+    it holds at most ``HELD_ROWS`` rows and passes them on beyond that, so a word may come several times from a partition."""
+    combined = words(docs, (), value_col).mapInArrow(_combined, "word string, n bigint")
+    return combined.groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def distinct_word_count(counts: DataFrame) -> DataFrame:

@@ -72,7 +72,7 @@ def test_term_frequency_has_no_hash_exchange(spark):
 
 def test_partition_combine_has_one_exchange(spark):
     plan = _plan(QUERIES["word_count_partitioned"](spark, SF))
-    assert plan.count("Arguments: hashpartitioning") == 1 and "partial_sum" in plan
+    assert plan.count("Arguments: hashpartitioning") == 1 and "partial_sum" in plan and "MapInArrow" in plan
 
 
 def test_salted_dedup_has_both_rounds(spark):

@@ -1,3 +1,6 @@
+from collections import Counter
+
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from pointlake.functions.text import java_comma_split, java_space_split, split_lines
@@ -73,3 +76,15 @@ def test_utf16_length(spark):
     df = spark.createDataFrame([("a\U0001F600b",), ("héllo",)], "w string")
     rows = df.select(utf16_length("w").alias("u"), F.length("w").alias("c")).collect()
     assert [(r.u, r.c) for r in rows] == [(4, 3), (5, 5)]
+
+
+def test_partition_combine_passes_on_when_full(monkeypatch):
+    monkeypatch.setattr(W, "HELD_ROWS", 10)
+    words = [f"w{i % 7}" for i in range(60)] + [f"x{i}" for i in range(40)] + [None, None, ""]
+    batches = [pa.RecordBatch.from_arrays([pa.array(words[i:i + 9], pa.string())], names=["word"]) for i in range(0, len(words), 9)]
+    out = [(w, n) for b in W._combined(iter(batches)) for w, n in zip(*(c.to_pylist() for c in b.columns))]
+    got = Counter()
+    for w, n in out:
+        got[w] += n
+    assert got == Counter(words) and len(out) < len(words)
+    assert list(W._combined(iter([]))) == []
