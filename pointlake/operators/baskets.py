@@ -94,17 +94,20 @@ def product_popularity_distinct(txn: DataFrame, country: str = ALL,
 
 
 def product_popularity_bitmaps(txn: DataFrame, country: str = ALL, on_error: str | None = None) -> DataFrame:
-    """Popularity from bitmaps of customers: per product and bucket of 32,768 customer numbers one
-    bitmap (4 KB), made per task and merged after one shuffle on (product, bucket); a product's popularity is
+    """Popularity from bitmaps of customers: per product and bucket of 64 customer numbers one
+    bitmap (a bigint), made per task and merged after one shuffle on (product, bucket); a product's popularity is
     the sum of its bitmaps' set bits. A repeated pair sets a bit again, so no pair is deduplicated by a shuffle.
 
-    Pays where products have many purchases per customer bucket; with a few pairs a
-    bucket the pair route moves less. Customer ids must be whole numbers (any bigint); rows without one count nothing."""
+    There are at most as many bitmaps as pairs, each the size of a customer number, so a product whose customers lie
+    far apart takes no more than its pairs do. Customer ids must be whole numbers (any bigint); rows without one count nothing."""
     customer = F.col("customer_id").cast("bigint")
     per_bucket = (purchases(txn, country, on_error)
-                  .groupBy("product_id", F.bitmap_bucket_number(customer).alias("bucket"))
-                  .agg(F.bitmap_construct_agg(F.bitmap_bit_position(customer)).alias("bits")))
-    return per_bucket.groupBy("product_id").agg(F.sum(F.bitmap_count("bits")).cast("bigint").alias("popularity"))
+    bit = F.expr("shiftleft(1L, CAST(customer & 63 AS INT))")
+                  .select("product_id", customer.alias("customer"))
+                  .groupBy("product_id", F.shiftright("customer", 6).alias("bucket"))
+                  .agg(F.bit_or(bit).alias("bits")))
+    counted = F.sum(F.bit_count("bits")).cast("bigint")
+    return per_bucket.groupBy("product_id").agg(F.coalesce(counted, F.lit(0).cast("bigint")).alias("popularity"))
 
 
 def popularity_crosscheck(pop_a: DataFrame, pop_b: DataFrame) -> DataFrame:

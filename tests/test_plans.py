@@ -83,6 +83,11 @@ def test_salted_dedup_has_both_rounds(spark):
     assert "HashAggregate" in rest.partition("Arguments: hashpartitioning(product_id")[0]
 
 
+def test_bitmaps_are_merged_by_hash_and_no_larger_than_a_pair(spark):
+    plan = _plan(QUERIES["product_popularity_bitmaps"](spark, SF))
+    assert "SortAggregate" not in plan and "bitmap_construct_agg" not in plan and "partial_bit_or" in plan
+
+
 def test_traversal_pass_has_no_sort_aggregate_and_no_group_of_a_part(spark, monkeypatch):
     plans = []
     frame = type(spark.range(1))
