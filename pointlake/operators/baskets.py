@@ -64,13 +64,14 @@ def product_customer_pairs_salted(txn: DataFrame, country: str = ALL,
     groups (a hash of the pair and ``salt_cols``, so task retries agree) and
     deduplicated there, so repeats of one pair are split over all groups; what is left
     of a pair, at most a row per group, meets in the second round. Both exchanges are explicit: the optimizer
-    would otherwise fold the two rounds into one."""
+    would otherwise fold the two rounds into one. Either deals by the pair too, to as many tasks as the session
+    asks for: ``buckets`` bounds the groups of a pair, not the tasks."""
     if buckets < 1:
         raise ValueError("buckets must be >= 1")
     pair = ["product_id", "customer_id"]
     rows = purchases(txn, country, on_error)
     salt = F.pmod(F.xxhash64(*pair, *salt_cols), F.lit(buckets))
-    local = rows.select(salt.alias("salt"), *pair).repartition(buckets, "salt").dropDuplicates(["salt", *pair])
+    local = rows.select(salt.alias("salt"), *pair).repartition("salt", *pair).dropDuplicates(["salt", *pair])
     return local.select(*pair).repartition(*pair).dropDuplicates(pair)
 
 
@@ -101,8 +102,8 @@ def product_popularity_bitmaps(txn: DataFrame, country: str = ALL, on_error: str
     There are at most as many bitmaps as pairs, each the size of a customer number, so a product whose customers lie
     far apart takes no more than its pairs do. Customer ids must be whole numbers (any bigint); rows without one count nothing."""
     customer = F.col("customer_id").cast("bigint")
-    per_bucket = (purchases(txn, country, on_error)
     bit = F.expr("shiftleft(1L, CAST(customer & 63 AS INT))")
+    per_bucket = (purchases(txn, country, on_error)
                   .select("product_id", customer.alias("customer"))
                   .groupBy("product_id", F.shiftright("customer", 6).alias("bucket"))
                   .agg(F.bit_or(bit).alias("bits")))

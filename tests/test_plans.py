@@ -83,6 +83,12 @@ def test_salted_dedup_has_both_rounds(spark):
     assert "HashAggregate" in rest.partition("Arguments: hashpartitioning(product_id")[0]
 
 
+def test_salted_dedup_deals_to_as_many_tasks_as_the_session_asks_for(spark):
+    plan = _plan(QUERIES["product_customer_pairs_salted"](spark, SF))
+    assert "REPARTITION_BY_NUM" not in plan
+    assert re.search(r"hashpartitioning\(salt#\d+L?, product_id#\d+L?, customer_id#\d+L?, ", plan)
+
+
 def test_bitmaps_are_merged_by_hash_and_no_larger_than_a_pair(spark):
     plan = _plan(QUERIES["product_popularity_bitmaps"](spark, SF))
     assert "SortAggregate" not in plan and "bitmap_construct_agg" not in plan and "partial_bit_or" in plan
