@@ -47,7 +47,9 @@ def java_space_split(line: Column | str) -> Column:
 def java_comma_split(line: Column | str) -> Column:
     """Fields of ``line.split(",")`` in Java: trailing empty fields dropped."""
     v = _col(line)
-    trimmed = F.regexp_replace(v, ",+$", "")
+    # the regex matches only lines that end with a comma or a line break
+    ends = F.right(v, F.lit(1)).isin(",", "\n", "\r", "\x85", "\u2028", "\u2029")
+    trimmed = F.when(ends, F.regexp_replace(v, ",+$", "")).otherwise(v)
     return (F.when(v == F.lit(""), F.array(F.lit("")))
              .when(trimmed == F.lit(""), F.array().cast("array<string>"))
              .otherwise(F.split(trimmed, ",", -1)))

@@ -34,7 +34,9 @@ def parse_transactions(lines: DataFrame, on_error: str = "fail",
     """
     if on_error not in ("fail", "drop"):
         raise ValueError("on_error must be 'fail' or 'drop'")
-    t = java_comma_split(value_col)
+    # a row of its own for the fields: a line is split once, not for each field and again in the filter
+    lines = lines.select(F.col(value_col).alias("line"), F.explode(F.array(java_comma_split(value_col))).alias("fields"))
+    t = F.col("fields")
     n = F.size(t)
 
     def field(i: int):
@@ -42,7 +44,7 @@ def parse_transactions(lines: DataFrame, on_error: str = "fail",
 
     quantity = F.try_element_at(t, F.lit(4)).try_cast("int")
     if on_error == "fail":  # explicit, so that it fails whatever the session's ANSI mode
-        quantity = F.when(quantity.isNull(), F.raise_error(F.concat(F.lit("malformed transaction row: "), F.col(value_col)))) \
+        quantity = F.when(quantity.isNull(), F.raise_error(F.concat(F.lit("malformed transaction row: "), F.col("line")))) \
                     .otherwise(quantity)
     out = lines.select(
         field(0).alias("transaction_id"),

@@ -94,6 +94,11 @@ def test_bitmaps_are_merged_by_hash_and_no_larger_than_a_pair(spark):
     assert "SortAggregate" not in plan and "bitmap_construct_agg" not in plan and "partial_bit_or" in plan
 
 
+def test_text_lines_are_split_once(spark):
+    plan = QUERIES["txn_text_pair_count"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"\bsplit\(", plan)) == 1 and len(re.findall(r"\bconcat_ws\(", plan)) == 1
+
+
 def test_traversal_pass_has_no_sort_aggregate_and_no_group_of_a_part(spark, monkeypatch):
     plans = []
     frame = type(spark.range(1))
