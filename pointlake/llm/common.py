@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Hashable, Iterator
 from contextlib import contextmanager
 
 import pyarrow as pa
@@ -20,10 +20,40 @@ BLANKS = " \t\n\x0b\x0c\r"
 #: A relation is broadcast only when its measured size is below this many bytes.
 BROADCAST_BYTES = 32 << 20
 
-__all__ = ["BLANKS", "BROADCAST_BYTES", "ascii_lower", "broadcast_if_small", "open_store", "read_table",
+__all__ = ["BLANKS", "BROADCAST_BYTES", "Recent", "ascii_lower", "broadcast_if_small", "open_store", "read_table", "released",
            "scratch", "shared_folder", "store", "word_count", "words", "writing"]
 
 
+class Recent(dict):
+    """``of`` a key, kept for the keys used last: at least LIMIT of them, at most twice as many. Keys that
+    come once only, as most do in large texts, do not push out those that come again."""
+
+    LIMIT = 25_000
+
+    def __init__(self):
+        super().__init__()
+        self.before: dict = {}
+
+    def of(self, key: Hashable):
+        raise NotImplementedError
+
+    def __missing__(self, key: Hashable):
+        if len(self) >= self.LIMIT:
+            self.before = dict(self)
+            self.clear()
+        value = self.before.get(key)
+        if value is None:
+            value = self.of(key)
+        self[key] = value
+        return value
+
+
+def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches of a task; after the last, what Arrow holds unused goes back, as idle workers stay for other stages."""
+    yield from batches
+    pa.default_memory_pool().release_unused()
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder name below the folder that driver and executors share."""
     return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"

@@ -43,7 +43,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, read_table, scratch, store
+from .common import Recent, broadcast_if_small, read_table, released, scratch, store
 from .components import UnionFind, connected_components
 
 BANDS, ROWS = 30, 5
@@ -53,7 +53,6 @@ BLOCK = 200_000
 PAIRS_LEFT = 4
 #: Hashes of one chunk of a large bucket.
 CHUNK = 2_000_000
-WORD_CACHE = 500_000
 
 _U = np.uint64
 _GOLD, _M1, _M2 = _U(0x9E3779B97F4A7C15), _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB)
@@ -66,14 +65,11 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-class WordHashes(dict):
-    """64-bit hash of a word, computed once; emptied when it grows too large."""
+class WordHashes(Recent):
+    """64-bit hash of a word."""
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= WORD_CACHE:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
+    def of(self, word: bytes) -> int:
+        return xxhash.xxh3_64_intdigest(word)
 
 
 def shingle_set(text: bytes | None, k: int, hashes: WordHashes) -> np.ndarray:
@@ -162,7 +158,7 @@ def _signer(k: int, bands: int, rows: int) -> Callable:
                     part.column(2)],
                     names=["doc_id", "n_shingles", "fp", "bands", "code"])
 
-    return sign
+    return lambda batches: released(sign(batches))
 
 
 def _setter(k: int) -> Callable:

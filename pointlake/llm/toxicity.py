@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import read_table
+from .common import Recent, read_table, released
 
 DIM = 1 << 18
 PREFIXES = (4, 5, 6, 7, 8)
@@ -42,7 +42,6 @@ L2 = 0.2
 PENALTY = 1.0
 STEPS = 150
 FOLDS = 5
-WORD_CACHE = 500_000
 STRIP = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~“”‘’«»…¡¿"
 
 #: Identity terms by group; a counterfactual replaces a term by the next of its group.
@@ -75,14 +74,11 @@ def word_features(word: str) -> list[int]:
     return [_hash(f"w {word}"), *[_hash(f"p {word[:n]}") for n in PREFIXES if len(word) > n]]
 
 
-class Normalised(dict):
+class Normalised(Recent):
     """Raw token to word: lower case without outer punctuation."""
 
-    def __missing__(self, token: str) -> str:
-        if len(self) >= WORD_CACHE:
-            self.clear()
-        word = self[token] = token.lower().strip(STRIP)
-        return word
+    def of(self, token: str) -> str:
+        return token.lower().strip(STRIP)
 
 
 def distinct_words(text: str | None, normal: Normalised) -> set[str]:
@@ -154,18 +150,17 @@ def train(texts: Sequence[np.ndarray], swaps: Mapping[int, tuple[Sequence[int],
     return Model(float(bias), float(length), w)
 
 
-class WordScores(dict):
+class WordScores(Recent):
     """Raw token's word and the word's summed weight."""
 
+    LIMIT = 250_000  # a weight costs far more than a look-up
+
     def __init__(self, model: Model):
         super().__init__()
         self.w = model.weights
 
-    def __missing__(self, word: str) -> float:
-        if len(self) >= WORD_CACHE:
-            self.clear()
-        s = self[word] = float(self.w[word_features(word)].sum())
-        return s
+    def of(self, word: str) -> float:
+        return float(self.w[word_features(word)].sum())
 
 
 def score_text(text: str | None, model: Model, scores: WordScores, normal: Normalised) -> float:
@@ -236,7 +231,7 @@ def _scorer(model: Model | None) -> Callable:
                 s = [score_text(t, model, scores, normal) if model else 0.0 for t in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(s, pa.float64())], names=[*part.schema.names, "toxic_score"])
 
-    return run
+    return lambda batches: released(run(batches))
 
 
 def score_documents(docs: DataFrame, model: Model | None) -> DataFrame:

@@ -75,3 +75,14 @@ def test_sample_bounds_rows_not_only_ids(spark):
     labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int")
     rows = {(r.doc_id, r.text) for r in T.training_sample(docs, labels).collect()}
     assert rows <= {(1, "text 0"), (2, "other")} and rows
+
+
+def test_word_caches_are_bounded_and_keep_the_words_that_come_again(monkeypatch):
+    monkeypatch.setattr(T.WordScores, "LIMIT", 10)
+    asked = []
+    monkeypatch.setattr(T, "word_features", lambda w: asked.append(w) or [len(w)])
+    scores = T.WordScores(T.Model(0.0, 0.0, np.arange(T.DIM, dtype=float)))
+    for i in range(200):
+        assert scores["often"] == 5.0 and scores[f"once{i}"] == len(f"once{i}")
+        assert len(scores) <= 10 and len(scores.before) <= 10
+    assert asked.count("often") == 1
